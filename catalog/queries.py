@@ -45,6 +45,7 @@ from wattlane.plans import jobs, serving
 from wattlane.schemas import RAW
 from wattlane.sources import landing, pages
 from wattlane.sources.events import as_pages
+from wattlane.streaming.windows import load_arriving
 from wattlane.window import BatchWindow, daily_window
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
@@ -1095,3 +1096,13 @@ def latest_load_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.build_staging(lake, batch_dates=days)
     jobs.build_fact(lake)
     return marts.load_daily(lake["fct_grid_metrics"])
+
+
+@register("streamed_load", DAILY_COLUMNS, "select * from agg_load_daily")
+def streamed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows landed, then loaded as a stream of arriving files."""
+    lake = fresh_lake(spark, "stream")
+    landed = f"{lake.root}/landing"
+    landing.land(raw_rows(spark, sf_dir), landed)
+    load_arriving(lake, landed, f"{lake.root}/progress").awaitTermination()
+    return lake["agg_load_daily"]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wattlane.functions.periods import in_dates, parse_period
-from wattlane.lake import Lake, union_all
+from wattlane.lake import Lake
 from wattlane.operators import anomalies, control, marts, quality, staging
 from wattlane.operators.ingest import normalise, require_rows, stamp_batch
 from wattlane.schemas import RAW
@@ -110,18 +110,20 @@ def build_staging(
     first. By ``batch_dates``, a day's rows come from those batch days only.
     """
     raw = lake.stored(RAW_TABLE)
+    # The stored observation date is the parsed period, so filtering on it prunes
+    # folders and spares a second parse of each row.
+    dated = raw.where(DAY.isNotNull())
     if batch_dates is not None:
-        rows = raw.where(in_dates(F.col("batch_date"), batch_dates))
-        staged = staging.canonicalise(rows, incremental=True)
-        lake.replace_partitions("stg_grid_metrics", staged)
+        rows = dated.where(in_dates(F.col("batch_date"), batch_dates))
+        lake.replace_partitions("stg_grid_metrics", staging.canonicalise(rows))
     elif dates is not None:
         days = in_dates(DAY, dates)
-        staged = staging.canonicalise(raw.where(days), incremental=True)
+        staged = staging.canonicalise(dated.where(days))
         lake.replace_partitions("stg_grid_metrics", staging.newest_batch(staged), days)
     else:
-        dated = staging.canonicalise(raw.where(DAY.isNotNull()))
+        newest = staging.newest_batch(staging.canonicalise(dated))
         undated = staging.canonicalise(raw.where(DAY.isNull()))
-        lake.replace("stg_grid_metrics", staging.newest_batch(dated).unionByName(undated))
+        lake.replace("stg_grid_metrics", newest.unionByName(undated))
 
 
 def build_fact(lake: Lake, dates: Iterable[date] | None = None) -> None:
@@ -281,8 +283,7 @@ def land_window(
     """Normalise and land one window's API rows; returns them as read back."""
     stamped = stamp_batch(require_rows(tagged_rows), window, ingested_at)
     land(normalise(stamped), landing)
-    landed = read_landed(lake.spark, landing)
-    return landed.where(F.col("_batch_id") == window.batch_id)
+    return read_landed(lake.spark, landing, [window])
 
 
 def run_window(
@@ -373,8 +374,3 @@ def bulk_backfill(lake: Lake, raw_rows: DataFrame, windows: Iterable[BatchWindow
     loaded = load_raw(lake, raw_rows, windows)
     rebuild(lake, loaded.affected_dates)
     return loaded
-
-
-def union_raw(frames: Iterable[DataFrame]) -> DataFrame:
-    """Raw rows of several windows as one frame, for a bulk load."""
-    return union_all(frame.select(*RAW.fieldNames()) for frame in frames)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlane.lake import enforce, missing_required
 from wattlane.schemas import RAW, TABLES
+from wattlane.window import BatchWindow
 
 LANDING_KEYS = ("year", "month", "day", "window")
 
@@ -36,10 +39,18 @@ def land(rows: DataFrame, root: str) -> None:
     )
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed rows under the raw schema; malformed text or a missing required value fails."""
-    rows = spark.read.schema(RAW).option("mode", "FAILFAST").json(path).select(*RAW.fieldNames())
-    return enforce_required(rows)
+def read_landed(
+    spark: SparkSession, path: str, windows: Iterable[BatchWindow] | None = None
+) -> DataFrame:
+    """Landed rows under the raw schema, of all windows or of the folders of some.
+
+    Malformed text or a missing required value fails the job.
+    """
+    rows = spark.read.schema(RAW).option("mode", "FAILFAST").json(path)
+    if windows is not None:
+        starts = [F.lit(window.start) for window in windows]
+        rows = rows.where(F.col("window").cast("timestamp").isin(*starts))
+    return enforce_required(rows.select(*RAW.fieldNames()))
 
 
 def enforce_required(rows: DataFrame) -> DataFrame:

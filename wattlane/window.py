@@ -20,6 +20,11 @@ class BatchWindow:
             raise InvalidRequest("window end must be later than window start")
         return window
 
+    @classmethod
+    def from_batch_id(cls, batch_id: str) -> BatchWindow:
+        start, end = (datetime.strptime(text, "%Y%m%dT%H%M%S") for text in batch_id.split("_"))
+        return cls.of(start, end)
+
     @property
     def batch_date(self) -> date:
         return self.start.date()
