@@ -19,8 +19,8 @@ from wattlane.schemas import (
     DIM_REGION,
 )
 
-DEMAND = F.col("metric_name") == "demand"
-KNOWN_GENERATION = (F.col("metric_name") == "generation") & F.col("energy_source").isNotNull()
+DEMAND = "metric_name = 'demand'"
+KNOWN_GENERATION = "metric_name = 'generation' and energy_source is not null"
 
 
 def dim_region(staged: DataFrame) -> DataFrame:

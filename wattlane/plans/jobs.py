@@ -21,7 +21,7 @@ from wattlane.window import BatchWindow, utc_now
 LOGGER = logging.getLogger(__name__)
 
 RAW_TABLE = "eia_grid_batch"
-DAY = F.col("observation_date")
+DAY = "observation_date"
 
 # What a load replaces: its own windows, or the whole batch days they fall on.
 REPLACE_WINDOW = "window"
@@ -112,17 +112,17 @@ def build_staging(
     raw = lake.stored(RAW_TABLE)
     # The stored observation date is the parsed period, so filtering on it prunes
     # folders and spares a second parse of each row.
-    dated = raw.where(DAY.isNotNull())
+    dated = raw.where(F.col(DAY).isNotNull())
     if batch_dates is not None:
         rows = dated.where(in_dates(F.col("batch_date"), batch_dates))
         lake.replace_partitions("stg_grid_metrics", staging.canonicalise(rows))
     elif dates is not None:
-        days = in_dates(DAY, dates)
+        days = in_dates(F.col(DAY), dates)
         staged = staging.canonicalise(dated.where(days))
         lake.replace_partitions("stg_grid_metrics", staging.newest_batch(staged), days)
     else:
         newest = staging.newest_batch(staging.canonicalise(dated))
-        undated = staging.canonicalise(raw.where(DAY.isNull()))
+        undated = staging.canonicalise(raw.where(F.col(DAY).isNull()))
         lake.replace("stg_grid_metrics", newest.unionByName(undated))
 
 
@@ -131,7 +131,7 @@ def build_fact(lake: Lake, dates: Iterable[date] | None = None) -> None:
     if dates is None:
         lake.replace("fct_grid_metrics", staged)
     else:
-        days = in_dates(DAY, dates)
+        days = in_dates(F.col(DAY), dates)
         lake.replace_partitions("fct_grid_metrics", staged.where(days), days)
 
 
@@ -147,7 +147,7 @@ def merge_dimensions(lake: Lake, staged: DataFrame | None = None) -> None:
 
 def build_aggregates(lake: Lake, dates: Iterable[date] | None = None) -> None:
     """The four aggregates, whole or for the affected days: each is keyed by day."""
-    days = in_dates(DAY, dates) if dates is not None else None
+    days = in_dates(F.col(DAY), dates) if dates is not None else None
 
     def build(name: str, rows: DataFrame) -> None:
         if days is None:
@@ -231,7 +231,7 @@ def run_checks(lake: Lake, dates: Iterable[date] | None = None) -> DataFrame:
     """
     tables = {name: lake[name] for name in {check.table for check in quality.CHECKS}}
     if dates is not None:
-        days = in_dates(DAY, dates)
+        days = in_dates(F.col(DAY), dates)
         for name in ("stg_grid_metrics", "fct_grid_metrics"):
             tables[name] = tables[name].where(days)
     return quality.check_results(tables)
@@ -355,7 +355,7 @@ def _newly_staged(lake: Lake, loaded: Loaded, newest_before: datetime | None) ->
         return None
     if loaded.first_ingested <= newest_before:
         return None
-    staged = lake["stg_grid_metrics"].where(in_dates(DAY, loaded.affected_dates))
+    staged = lake["stg_grid_metrics"].where(in_dates(F.col(DAY), loaded.affected_dates))
     return staged.where(F.col("_ingestion_timestamp") >= F.lit(loaded.first_ingested))
 
 

@@ -34,14 +34,14 @@ from wattlane.operators.anomalies import latest_scores
 
 Tables = Mapping[str, DataFrame]
 
-DAY = F.col("observation_date")
+DAY = "observation_date"
 
 
 def _in_range(rows: DataFrame, start: date | None, end: date | None) -> DataFrame:
     if start is not None:
-        rows = rows.where(F.lit(start) <= DAY)
+        rows = rows.where(F.col(DAY) >= F.lit(start))
     if end is not None:
-        rows = rows.where(F.lit(end) >= DAY)
+        rows = rows.where(F.col(DAY) <= F.lit(end))
     return rows
 
 
@@ -242,7 +242,7 @@ def anomaly_summary(tables: Tables) -> DataFrame:
     """
     results = tables["anomaly_results"]
     latest = results.agg(F.max("observation_date")).scalar()
-    return results.where(F.date_sub(latest, 6) <= DAY).agg(
+    return results.where(F.col(DAY) >= F.date_sub(latest, 6)).agg(
         F.max("observation_date").alias("latest_observation_date"),
         F.max("checked_at").alias("latest_anomaly_checked_at"),
         F.count_if("anomaly_flag").alias("flagged_anomaly_count_last_7_days"),
