@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from wattlane.schemas import TABLES, Table
 from wattlane.session import prepare, shared_folder
 
+# Partition column to wanted values, as they are spelt in folder names.
+Leaves = Mapping[str, Iterable[str]]
+
 DATASETS = ("raw", "staging", "marts", "meta")
 CONTROL_TABLES = ("pipeline_state", "run_metrics", "freshness_log", "anomaly_results")
 
@@ -46,13 +49,30 @@ class Lake:
     def __getitem__(self, name: str) -> DataFrame:
         return self.stored(name).select(*TABLES[name].schema.fieldNames())
 
-    def stored(self, name: str) -> DataFrame:
-        """The table with its layout-only columns; empty while nothing was written."""
+    def stored(self, name: str, leaves: Leaves | None = None) -> DataFrame:
+        """The table with its layout-only columns; empty while nothing was written.
+
+        ``leaves`` names wanted partition values as text. Only their folders are listed,
+        where a filter would first list the whole table.
+        """
         schema = TABLES[name].stored
-        if not self.exists(name):
+        path = self._pattern(name, leaves) if leaves else self.path(name)
+        folder, files = self._folder(path)
+        if not (files.globStatus(folder) or ()):
             return self.spark.createDataFrame([], schema)
-        found = self.spark.read.schema(schema).parquet(self.path(name))
-        return found.select(*schema.fieldNames())
+        reader = self.spark.read.schema(schema).option("basePath", self.path(name))
+        return reader.parquet(path).select(*schema.fieldNames())
+
+    def on_days(self, name: str, dates: Iterable[date]) -> DataFrame:
+        """The table's rows of some observation days."""
+        return self.stored(name, day_leaves(dates)).select(*TABLES[name].schema.fieldNames())
+
+    def _pattern(self, name: str, leaves: Leaves) -> str:
+        levels = [
+            f"{key}={{{','.join(sorted(leaves[key]))}}}" if key in leaves else f"{key}=*"
+            for key in TABLES[name].partition_by
+        ]
+        return "/".join([self.path(name), *levels])
 
     def exists(self, name: str) -> bool:
         folder, files = self._folder(self.path(name))
@@ -82,35 +102,33 @@ class Lake:
         self._writer(name, rows).mode("append").parquet(self.path(name))
 
     def replace_partitions(
-        self, name: str, rows: DataFrame, scope: Column | None = None
+        self, name: str, rows: DataFrame, leaves: Leaves | None = None
     ) -> list[str]:
         """Overwrite the partitions that ``rows`` holds; return the ones dropped.
 
-        ``scope`` is a condition on partition columns naming what the rows stand for. A
-        partition in scope that got no new rows is dropped: an overwrite by partition
-        cannot see it, but its old files are still listed afterwards.
+        ``leaves`` names the partitions that the rows stand for. One of them that got no
+        new rows is dropped: an overwrite by partition cannot see it, but its old files
+        are still listed afterwards.
         """
-        before = self.files(name, scope) if scope is not None else set()
+        before = self.files(name, leaves) if leaves else set()
         (
             self._writer(name, rows)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(self.path(name))
         )
-        untouched = before & self.files(name, scope) if before else set()
+        untouched = before & self.files(name, leaves) if before else set()
         stale = sorted({file.rsplit("/", 1)[0] for file in untouched})
         for leaf in stale:
             folder, files = self._folder(f"{self.path(name)}/{leaf}")
             files.delete(folder, True)
         return stale
 
-    def files(self, name: str, scope: Column | None = None) -> set[str]:
-        """Data files of the partitions in scope, below the table's path; a listing only."""
-        rows = self.stored(name)
-        if scope is not None:
-            rows = rows.where(scope)
+    def files(self, name: str, leaves: Leaves) -> set[str]:
+        """Data files of some partitions, below the table's path; a listing only."""
         depth = len(TABLES[name].partition_by) + 1
-        return {"/".join(file.split("/")[-depth:]) for file in rows.inputFiles()}
+        found = self.stored(name, leaves).inputFiles()
+        return {"/".join(file.split("/")[-depth:]) for file in found}
 
     def merge(self, name: str, rows: DataFrame, keys: list[str]) -> None:
         """Update or insert by key into a small unpartitioned table, never delete.
@@ -147,6 +165,10 @@ class Lake:
         return ordered.write.partitionBy(*table.partition_by)
 
 
+def day_leaves(dates: Iterable[date]) -> dict[str, set[str]]:
+    return {"observation_date": {day.isoformat() for day in dates}}
+
+
 def check_schema(name: str, rows: DataFrame) -> None:
     """Refuse to write columns or types the table does not have."""
     expected = [(field.name, field.dataType) for field in TABLES[name].stored.fields]

@@ -10,8 +10,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from wattlane.functions.periods import in_dates, parse_period
-from wattlane.lake import Lake
+from wattlane.functions.periods import parse_period, with_history
+from wattlane.functions.scoring import BASELINE_DAYS
+from wattlane.lake import Lake, day_leaves
 from wattlane.operators import anomalies, control, marts, quality, staging
 from wattlane.operators.ingest import normalise, require_rows, stamp_batch
 from wattlane.schemas import RAW
@@ -61,9 +62,9 @@ def load_raw(
     """
     windows = list(windows)
     batch_dates = sorted({window.batch_date for window in windows})
-    scope = in_dates(F.col("batch_date"), batch_dates)
+    leaves = {"batch_date": {day.isoformat() for day in batch_dates}}
     if replace == REPLACE_WINDOW:
-        scope &= F.col("_batch_id").isin(*{window.batch_id for window in windows})
+        leaves["_batch_id"] = {window.batch_id for window in windows}
     written = Observation()
     table = (
         enforce_required(rows)
@@ -76,13 +77,13 @@ def load_raw(
             *RAW.fieldNames(), F.to_date(parse_period(F.col("period"))).alias("observation_date")
         )
     )
-    stale = lake.replace_partitions(RAW_TABLE, table, scope)
-    leaves = {file.rsplit("/", 1)[0] for file in lake.files(RAW_TABLE, scope)} | set(stale)
+    stale = lake.replace_partitions(RAW_TABLE, table, leaves)
+    written_leaves = {file.rsplit("/", 1)[0] for file in lake.files(RAW_TABLE, leaves)}
     return Loaded(
         rows=written.get["rows"],
         first_ingested=written.get["first_ingested"],
         batch_dates=batch_dates,
-        affected_dates=sorted(_leaf_dates(leaves)),
+        affected_dates=sorted(_leaf_dates(written_leaves.union(stale))),
     )
 
 
@@ -109,30 +110,29 @@ def build_staging(
     By ``dates``, each day is rebuilt from every batch that touches it, newest ingestion
     first. By ``batch_dates``, a day's rows come from those batch days only.
     """
-    raw = lake.stored(RAW_TABLE)
-    # The stored observation date is the parsed period, so filtering on it prunes
-    # folders and spares a second parse of each row.
-    dated = raw.where(F.col(DAY).isNotNull())
+    # The stored observation date is the parsed period, so picking folders by it spares
+    # a second parse of each row.
     if batch_dates is not None:
-        rows = dated.where(in_dates(F.col("batch_date"), batch_dates))
+        batches = {"batch_date": {day.isoformat() for day in batch_dates}}
+        rows = lake.stored(RAW_TABLE, batches).where(F.col(DAY).isNotNull())
         lake.replace_partitions("stg_grid_metrics", staging.canonicalise(rows))
     elif dates is not None:
-        days = in_dates(F.col(DAY), dates)
-        staged = staging.canonicalise(dated.where(days))
+        days = day_leaves(dates)
+        staged = staging.canonicalise(lake.stored(RAW_TABLE, days))
         lake.replace_partitions("stg_grid_metrics", staging.newest_batch(staged), days)
     else:
-        newest = staging.newest_batch(staging.canonicalise(dated))
+        raw = lake.stored(RAW_TABLE)
+        newest = staging.newest_batch(staging.canonicalise(raw.where(F.col(DAY).isNotNull())))
         undated = staging.canonicalise(raw.where(F.col(DAY).isNull()))
         lake.replace("stg_grid_metrics", newest.unionByName(undated))
 
 
 def build_fact(lake: Lake, dates: Iterable[date] | None = None) -> None:
-    staged = lake["stg_grid_metrics"]
     if dates is None:
-        lake.replace("fct_grid_metrics", staged)
+        lake.replace("fct_grid_metrics", lake["stg_grid_metrics"])
     else:
-        days = in_dates(F.col(DAY), dates)
-        lake.replace_partitions("fct_grid_metrics", staged.where(days), days)
+        days = day_leaves(dates)
+        lake.replace_partitions("fct_grid_metrics", lake.on_days("stg_grid_metrics", dates), days)
 
 
 def merge_dimensions(lake: Lake, staged: DataFrame | None = None) -> None:
@@ -147,16 +147,16 @@ def merge_dimensions(lake: Lake, staged: DataFrame | None = None) -> None:
 
 def build_aggregates(lake: Lake, dates: Iterable[date] | None = None) -> None:
     """The four aggregates, whole or for the affected days: each is keyed by day."""
-    days = in_dates(F.col(DAY), dates) if dates is not None else None
+    dates = None if dates is None else list(dates)
 
     def build(name: str, rows: DataFrame) -> None:
-        if days is None:
+        if dates is None:
             lake.replace(name, rows)
         else:
-            lake.replace_partitions(name, rows, days)
+            lake.replace_partitions(name, rows, day_leaves(dates))
 
     def source(name: str) -> DataFrame:
-        return lake[name] if days is None else lake[name].where(days)
+        return lake[name] if dates is None else lake.on_days(name, dates)
 
     fact = source("fct_grid_metrics")
     build("agg_load_hourly", marts.load_hourly(fact))
@@ -181,12 +181,16 @@ def score_anomalies(
     lake: Lake, dates: Iterable[date] | None, run_id: str, checked_at: datetime | None = None
 ) -> int:
     """Append the scores of the affected days; returns the number of rows."""
-    metrics = anomalies.daily_metrics(lake["agg_load_daily"], lake["agg_generation_mix"])
-    if dates is not None:
+    sources = ("agg_load_daily", "agg_generation_mix")
+    if dates is None:
+        load, mix = (lake[name] for name in sources)
+    else:
         dates = list(dates)
         if not dates:
             return 0
-    scored = anomalies.score(metrics, dates)
+        wanted = with_history(dates, BASELINE_DAYS)
+        load, mix = (lake.on_days(name, wanted) for name in sources)
+    scored = anomalies.score(anomalies.daily_metrics(load, mix), dates)
     rows = anomalies.anomaly_rows(scored, run_id, checked_at or utc_now())
     written = Observation()
     lake.append("anomaly_results", rows.observe(written, F.count(F.lit(1)).alias("rows")))
@@ -231,9 +235,9 @@ def run_checks(lake: Lake, dates: Iterable[date] | None = None) -> DataFrame:
     """
     tables = {name: lake[name] for name in {check.table for check in quality.CHECKS}}
     if dates is not None:
-        days = in_dates(F.col(DAY), dates)
+        dates = list(dates)
         for name in ("stg_grid_metrics", "fct_grid_metrics"):
-            tables[name] = tables[name].where(days)
+            tables[name] = lake.on_days(name, dates)
     return quality.check_results(tables)
 
 
@@ -355,7 +359,7 @@ def _newly_staged(lake: Lake, loaded: Loaded, newest_before: datetime | None) ->
         return None
     if loaded.first_ingested <= newest_before:
         return None
-    staged = lake["stg_grid_metrics"].where(in_dates(F.col(DAY), loaded.affected_dates))
+    staged = lake.on_days("stg_grid_metrics", loaded.affected_dates)
     return staged.where(F.col("_ingestion_timestamp") >= F.lit(loaded.first_ingested))
 
 
