@@ -43,6 +43,12 @@ def run(lake, raw_frame, batch, rows=None, run_id="r", **options):
     return jobs.run_window(lake, frame, batch, run_id, checked_at=checked, **options)
 
 
+def load(lake, raw_frame, batch, rows=None):
+    """Loading and rebuilding alone, without checks, scores and records."""
+    frame = raw_frame(rows if rows is not None else window_rows(batch))
+    return jobs.bulk_backfill(lake, frame, [batch])
+
+
 def snapshot_of(lake):
     return {name: rows_of(snapshots.snapshot(lake[name])) for name in DATA_TABLES}
 
@@ -78,19 +84,30 @@ def test_two_hours_of_a_day_add_up_or_the_latest_replaces(spark, tmp_path, raw_f
     totals = {}
     for replace in (jobs.REPLACE_WINDOW, jobs.REPLACE_DAY):
         lake = Lake(spark, str(tmp_path / replace))
-        run(lake, raw_frame, MIDNIGHT, replace=replace)
-        run(lake, raw_frame, ONE, replace=replace)
+        for batch in (MIDNIGHT, ONE):
+            rows = raw_frame(window_rows(batch))
+            loaded = jobs.load_raw(lake, rows, [batch], replace)
+        if replace == jobs.REPLACE_DAY:
+            jobs.build_staging(lake, batch_dates=loaded.batch_dates)
+        else:
+            jobs.build_staging(lake, loaded.affected_dates)
         totals[replace] = (
             lake["eia_grid_batch"].count(),
-            rows_of(lake["agg_load_daily"], "total_load"),
+            rows_of(lake["stg_grid_metrics"].where("metric_name = 'demand'"), "metric_value"),
         )
-    assert totals[jobs.REPLACE_WINDOW] == (6, [(200.0,)])
+    assert totals[jobs.REPLACE_WINDOW] == (6, [(100.0,), (100.0,)])
     assert totals[jobs.REPLACE_DAY] == (3, [(100.0,)])
 
 
+def test_a_run_that_replaces_its_day(lake, raw_frame):
+    run(lake, raw_frame, MIDNIGHT, replace=jobs.REPLACE_DAY)
+    run(lake, raw_frame, ONE, replace=jobs.REPLACE_DAY)
+    assert rows_of(lake["agg_load_daily"], "total_load") == [(100.0,)]
+
+
 def test_window_over_midnight_rebuilds_both_days(lake, raw_frame):
     rows = window_rows(ELEVEN) + window_rows(ELEVEN, period="2026-03-27T00")
-    loaded = run(lake, raw_frame, ELEVEN, rows)
+    loaded = load(lake, raw_frame, ELEVEN, rows)
     assert loaded.affected_dates == [date(2026, 3, 26), D]
     for name in ("stg_grid_metrics", "fct_grid_metrics", "agg_load_daily", "agg_top_regions"):
         found = {row["observation_date"] for row in lake[name].collect()}
@@ -98,15 +115,15 @@ def test_window_over_midnight_rebuilds_both_days(lake, raw_frame):
 
 
 def test_overlapping_windows_keep_the_newest_value(lake, raw_frame):
-    run(lake, raw_frame, ELEVEN, window_rows(ELEVEN, 1.0, period="2026-03-27T00"))
-    run(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT, 2.0))
+    load(lake, raw_frame, ELEVEN, window_rows(ELEVEN, 1.0, period="2026-03-27T00"))
+    load(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT, 2.0))
     assert rows_of(lake["agg_load_daily"], "total_load") == [(2.0,)]
 
 
 def test_late_rows_reach_their_old_day(lake, raw_frame):
-    run(lake, raw_frame, MIDNIGHT)
+    load(lake, raw_frame, MIDNIGHT)
     late = window_rows(ONE) + [raw_row(ONE, value=7.0, period="2026-03-20T05")]
-    loaded = run(lake, raw_frame, ONE, late)
+    loaded = load(lake, raw_frame, ONE, late)
     assert loaded.affected_dates == [date(2026, 3, 20), D]
     assert rows_of(lake["agg_load_daily"], "observation_date", "total_load") == [
         (date(2026, 3, 20), 7.0),
@@ -116,9 +133,9 @@ def test_late_rows_reach_their_old_day(lake, raw_frame):
 
 def test_rows_lost_in_a_rerun_leave_every_table(lake, raw_frame):
     extra = [raw_row(MIDNIGHT, value=7.0, period="2026-03-28T00")]
-    run(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT) + extra)
+    load(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT) + extra)
     assert lake["agg_load_daily"].count() == 2
-    loaded = run(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT)[1:])
+    loaded = load(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT)[1:])
     assert loaded.affected_dates == [D, date(2026, 3, 28)]
     assert lake["stg_grid_metrics"].count() == 2
     assert lake["agg_load_daily"].count() == 0
@@ -212,10 +229,10 @@ def test_watermark_holds_one_row(lake):
 
 
 def test_dimensions_update_and_insert_but_never_delete(lake, raw_frame):
-    run(lake, raw_frame, MIDNIGHT)
+    load(lake, raw_frame, MIDNIGHT)
     renamed = window_rows(ONE, respondent_name="MISO renamed")
     other = [raw_row(ONE, respondent="ERCO", respondent_name="ERCOT")]
-    run(lake, raw_frame, ONE, renamed + other)
+    load(lake, raw_frame, ONE, renamed + other)
     assert rows_of(lake["dim_region"]) == [("ERCO", "ERCOT"), ("MISO", "MISO renamed")]
     lake.merge("dim_region", lake["dim_region"].limit(0), ["region"])
     assert lake["dim_region"].count() == 2
@@ -264,7 +281,7 @@ def test_batch_copy_and_column_update(lake, raw_frame, spark, tmp_path):
 
 
 def test_bound_query_over_the_tables(lake, raw_frame):
-    run(lake, raw_frame, MIDNIGHT)
+    load(lake, raw_frame, MIDNIGHT)
     found = lake.sql(
         "select region, total_load from agg_load_daily where observation_date = :day", day=D
     )
