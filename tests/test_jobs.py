@@ -156,6 +156,13 @@ def test_unparsable_rows_are_kept_raw_and_fail_a_full_build(lake, raw_frame):
     )
 
 
+def test_a_window_without_any_dated_row_touches_no_day(lake, raw_frame):
+    loaded = load(lake, raw_frame, MIDNIGHT, [raw_row(MIDNIGHT, period="soon")])
+    assert (loaded.rows, loaded.affected_dates) == (1, [])
+    assert lake["stg_grid_metrics"].count() == 0
+    assert jobs.score_anomalies(lake, loaded.affected_dates, "r") == 0
+
+
 def test_failed_check_stops_the_run_and_is_recorded(lake, raw_frame):
     rows = window_rows(MIDNIGHT) + window_rows(MIDNIGHT)
     with pytest.raises(quality.CheckFailure, match="unique"):

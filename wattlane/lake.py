@@ -13,7 +13,7 @@ from wattlane.schemas import TABLES, Table
 from wattlane.session import prepare, shared_folder
 
 # Partition column to wanted values, as they are spelt in folder names.
-Leaves = Mapping[str, Iterable[str]]
+Leaves = Mapping[str, set[str]]
 
 DATASETS = ("raw", "staging", "marts", "meta")
 CONTROL_TABLES = ("pipeline_state", "run_metrics", "freshness_log", "anomaly_results")
@@ -56,10 +56,13 @@ class Lake:
         where a filter would first list the whole table.
         """
         schema = TABLES[name].stored
-        path = self._pattern(name, leaves) if leaves else self.path(name)
+        nothing = self.spark.createDataFrame([], schema)
+        if leaves is not None and not all(leaves.values()):
+            return nothing
+        path = self._pattern(name, leaves) if leaves is not None else self.path(name)
         folder, files = self._folder(path)
         if not (files.globStatus(folder) or ()):
-            return self.spark.createDataFrame([], schema)
+            return nothing
         reader = self.spark.read.schema(schema).option("basePath", self.path(name))
         return reader.parquet(path).select(*schema.fieldNames())
 
@@ -94,15 +97,20 @@ class Lake:
                 self[name].createOrReplaceTempView(name)
         return self.spark.sql(query, args=parameters)
 
-    def replace(self, name: str, rows: DataFrame) -> None:
+    def replace(self, name: str, rows: DataFrame, *, laid_out: bool = False) -> None:
         """Rebuild a whole table."""
-        self._writer(name, rows).mode("overwrite").parquet(self.path(name))
+        self._writer(name, rows, laid_out).mode("overwrite").parquet(self.path(name))
 
     def append(self, name: str, rows: DataFrame) -> None:
         self._writer(name, rows).mode("append").parquet(self.path(name))
 
     def replace_partitions(
-        self, name: str, rows: DataFrame, leaves: Leaves | None = None
+        self,
+        name: str,
+        rows: DataFrame,
+        leaves: Leaves | None = None,
+        *,
+        laid_out: bool = False,
     ) -> list[str]:
         """Overwrite the partitions that ``rows`` holds; return the ones dropped.
 
@@ -110,9 +118,9 @@ class Lake:
         new rows is dropped: an overwrite by partition cannot see it, but its old files
         are still listed afterwards.
         """
-        before = self.files(name, leaves) if leaves else set()
+        before = self.files(name, leaves) if leaves is not None else set()
         (
-            self._writer(name, rows)
+            self._writer(name, rows, laid_out)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(self.path(name))
@@ -153,15 +161,17 @@ class Lake:
         rows = self.stored("eia_grid_batch").where(F.col("batch_date") == F.lit(batch_date))
         target.replace("eia_grid_batch", rows)
 
-    def _writer(self, name: str, rows: DataFrame):
+    def _writer(self, name: str, rows: DataFrame, laid_out: bool = False):
+        """``laid_out`` rows come from files that already lie by the same partitions."""
         table = TABLES[name]
         check_schema(name, rows)
         if not table.partition_by:
             return rows.write
         # Rebalancing by partition keeps files few, yet splits a day (or batch) that
         # holds most of the rows over several tasks.
-        layout = rows.hint("rebalance", *[F.col(key) for key in table.partition_by])
-        ordered = layout.sortWithinPartitions(*table.partition_by, *table.sort_by)
+        if not laid_out:
+            rows = rows.hint("rebalance", *[F.col(key) for key in table.partition_by])
+        ordered = rows.sortWithinPartitions(*table.partition_by, *table.sort_by)
         return ordered.write.partitionBy(*table.partition_by)
 
 

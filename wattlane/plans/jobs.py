@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wattlane.functions.periods import parse_period, with_history
 from wattlane.functions.scoring import BASELINE_DAYS
-from wattlane.lake import Lake, day_leaves
+from wattlane.lake import Lake, Leaves, day_leaves
 from wattlane.operators import anomalies, control, marts, quality, staging
 from wattlane.operators.ingest import normalise, require_rows, stamp_batch
 from wattlane.schemas import RAW
@@ -118,8 +120,7 @@ def build_staging(
         lake.replace_partitions("stg_grid_metrics", staging.canonicalise(rows))
     elif dates is not None:
         days = day_leaves(dates)
-        staged = staging.canonicalise(lake.stored(RAW_TABLE, days))
-        lake.replace_partitions("stg_grid_metrics", staging.newest_batch(staged), days)
+        lake.replace_partitions("stg_grid_metrics", _newest_staged(lake, days), days)
     else:
         raw = lake.stored(RAW_TABLE)
         newest = staging.newest_batch(staging.canonicalise(raw.where(F.col(DAY).isNotNull())))
@@ -127,12 +128,33 @@ def build_staging(
         lake.replace("stg_grid_metrics", newest.unionByName(undated))
 
 
+def _newest_staged(lake: Lake, days: Leaves) -> DataFrame:
+    """Staged rows of some days, newest batch first.
+
+    A day that lies in one batch alone has nothing to choose between: its rows skip the
+    join. The partition listing tells these days apart.
+    """
+    leaves = {file.rsplit("/", 1)[0] for file in lake.files(RAW_TABLE, days)}
+    batches = Counter(leaf.rsplit("observation_date=", 1)[1] for leaf in leaves)
+    shared = {day for day, count in batches.items() if count > 1}
+
+    def staged(wanted: set[str]) -> DataFrame:
+        return staging.canonicalise(lake.stored(RAW_TABLE, {"observation_date": wanted}))
+
+    single = batches.keys() - shared
+    if not shared:
+        return staged(single)
+    newest = staging.newest_batch(staged(shared))
+    return newest.unionByName(staged(single)) if single else newest
+
+
 def build_fact(lake: Lake, dates: Iterable[date] | None = None) -> None:
     if dates is None:
-        lake.replace("fct_grid_metrics", lake["stg_grid_metrics"])
+        lake.replace("fct_grid_metrics", lake["stg_grid_metrics"], laid_out=True)
     else:
-        days = day_leaves(dates)
-        lake.replace_partitions("fct_grid_metrics", lake.on_days("stg_grid_metrics", dates), days)
+        dates = list(dates)
+        rows, days = lake.on_days("stg_grid_metrics", dates), day_leaves(dates)
+        lake.replace_partitions("fct_grid_metrics", rows, days, laid_out=True)
 
 
 def merge_dimensions(lake: Lake, staged: DataFrame | None = None) -> None:
@@ -141,8 +163,12 @@ def merge_dimensions(lake: Lake, staged: DataFrame | None = None) -> None:
     Given rows must hold the newest ingestion of every region in them.
     """
     rows = lake["stg_grid_metrics"] if staged is None else staged
-    lake.merge("dim_region", marts.dim_region(rows), ["region"])
-    lake.merge("dim_energy_source", marts.dim_energy_source(rows), ["energy_source"])
+    _together(
+        lambda: lake.merge("dim_region", marts.dim_region(rows), ["region"]),
+        lambda: lake.merge(
+            "dim_energy_source", marts.dim_energy_source(rows), ["energy_source"]
+        ),
+    )
 
 
 def build_aggregates(lake: Lake, dates: Iterable[date] | None = None) -> None:
@@ -159,19 +185,40 @@ def build_aggregates(lake: Lake, dates: Iterable[date] | None = None) -> None:
         return lake[name] if dates is None else lake.on_days(name, dates)
 
     fact = source("fct_grid_metrics")
-    build("agg_load_hourly", marts.load_hourly(fact))
-    build("agg_load_daily", marts.load_daily(fact))
-    build("agg_generation_mix", marts.generation_mix(fact))
-    build("agg_top_regions", marts.top_regions(source("agg_load_daily")))
+
+    def build_ranks_after_daily() -> None:
+        build("agg_load_daily", marts.load_daily(fact))
+        build("agg_top_regions", marts.top_regions(source("agg_load_daily")))
+
+    _together(
+        lambda: build("agg_load_hourly", marts.load_hourly(fact)),
+        lambda: build("agg_generation_mix", marts.generation_mix(fact)),
+        build_ranks_after_daily,
+    )
 
 
 def rebuild(lake: Lake, dates: Iterable[date] | None = None) -> None:
     """All tables from raw, whole or for the affected days."""
     dates = None if dates is None else list(dates)
     build_staging(lake, dates)
-    build_fact(lake, dates)
-    merge_dimensions(lake)
-    build_aggregates(lake, dates)
+    _build_marts(lake, dates)
+
+
+def _build_marts(
+    lake: Lake, dates: list[date] | None, newly_staged: DataFrame | None = None
+) -> None:
+    def build_fact_and_aggregates() -> None:
+        build_fact(lake, dates)
+        build_aggregates(lake, dates)
+
+    _together(build_fact_and_aggregates, lambda: merge_dimensions(lake, newly_staged))
+
+
+def _together(*actions: Callable[[], None]) -> None:
+    """Jobs on different tables at once: one alone seldom fills a cluster."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        for started in [pool.submit(action) for action in actions]:
+            started.result()
 
 
 # Scoring and control rows
@@ -319,9 +366,7 @@ def run_window(
             build_staging(lake, batch_dates=loaded.batch_dates)
         else:
             build_staging(lake, dates)
-        build_fact(lake, dates)
-        merge_dimensions(lake, _newly_staged(lake, loaded, newest_before))
-        build_aggregates(lake, dates)
+        _build_marts(lake, dates, _newly_staged(lake, loaded, newest_before))
         built = True
         checks = run_checks(lake, dates).collect()
         failed = sorted(row["check_name"] for row in checks if row["status"] == "fail")
