@@ -74,7 +74,7 @@ def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
         raw = raw_rows(spark, sf_dir)
         windows = [daily_window(day) for day in batch_days(raw)]
         loaded = jobs.bulk_backfill(lake, raw, windows)
-        checks = jobs.run_checks(lake)
+        checks = jobs.run_checks(lake).collect()
         for run, checked_at in enumerate(check_times(loaded.batch_dates), start=1):
             run_id, window = f"run{run}", windows[-1]
             jobs.score_anomalies(lake, loaded.affected_dates, run_id, checked_at)
@@ -85,7 +85,7 @@ def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
                 run_id=run_id,
                 window=window,
                 rows_loaded=loaded.rows,
-                results=jobs.result_rows(lake, checks.collect(), built=True),
+                results=jobs.result_rows(lake, checks, built=True),
                 status="success",
                 started_at=checked_at - timedelta(minutes=10),
                 created_at=checked_at,

@@ -604,7 +604,7 @@ def date_scope_count(spark: SparkSession, sf_dir: str) -> DataFrame:
             as bytes_processed from events""",
 )
 def run_result_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested result documents, one per user, made of the events."""
+    """Nested result documents of up to a hundred entries each, made of the events."""
     kind, value = F.col("event_type"), F.col("value")
     prefix = (
         F.when(kind == "view", "model.")
@@ -622,7 +622,7 @@ def run_result_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     documents = (
         table(spark, sf_dir, "events")
-        .groupBy("user_id", F.date_trunc("day", F.col("ts").cast("timestamp")))
+        .groupBy(F.floor(F.col("event_id") / 100).alias("document"))
         .agg(F.collect_list(entry).alias("results"))
     )
     return control.check_totals(control.run_result_rows(documents))

@@ -245,6 +245,19 @@ def test_dimensions_update_and_insert_but_never_delete(lake, raw_frame):
     assert lake["dim_region"].count() == 2
 
 
+def test_a_merge_cut_short_is_read_and_finished(lake, spark):
+    import shutil
+
+    first = spark.createDataFrame([("A", "Alpha"), ("B", "Beta")], "region string, region_name string")
+    lake.merge("dim_region", first, ["region"])
+    # As if the driver had died after dropping the table and before moving the merge.
+    path = lake.path("dim_region")
+    shutil.move(path, f"{path}__merged")
+    assert lake["dim_region"].count() == 2
+    lake.merge("dim_region", first.limit(0), ["region"])
+    assert rows_of(lake["dim_region"]) == [("A", "Alpha"), ("B", "Beta")]
+
+
 def test_older_ingestion_does_not_win_back_a_name(lake, raw_frame):
     run(lake, raw_frame, ONE, window_rows(ONE, respondent_name="New"))
     run(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT, respondent_name="Old"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlane.schemas import TABLES, Table
-from wattlane.session import prepare, shared_folder
+from wattlane.session import prepare
 
 # Partition column to wanted values, as they are spelt in folder names.
 Leaves = Mapping[str, set[str]]
@@ -59,11 +59,16 @@ class Lake:
         nothing = self.spark.createDataFrame([], schema)
         if leaves is not None and not all(leaves.values()):
             return nothing
-        path = self._pattern(name, leaves) if leaves is not None else self.path(name)
+        if leaves is None:
+            path = self._live_path(name)
+        else:
+            path = self._pattern(name, leaves)
         folder, files = self._folder(path)
         if not (files.globStatus(folder) or ()):
             return nothing
-        reader = self.spark.read.schema(schema).option("basePath", self.path(name))
+        # A pattern's folders are read as partitions of the table they lie in.
+        root = path if leaves is None else self.path(name)
+        reader = self.spark.read.schema(schema).option("basePath", root)
         return reader.parquet(path).select(*schema.fieldNames())
 
     def on_days(self, name: str, dates: Iterable[date]) -> DataFrame:
@@ -141,13 +146,32 @@ class Lake:
     def merge(self, name: str, rows: DataFrame, keys: list[str]) -> None:
         """Update or insert by key into a small unpartitioned table, never delete.
 
-        A path cannot be overwritten while it is read, so the merged rows are first
-        kept in the shared checkpoint folder.
+        A path cannot be overwritten while it is read: the merged rows are written beside
+        the table and then moved into its place. Until they are, reads find one or the
+        other, and a merge that was cut short is finished by the next.
         """
-        shared_folder(self.spark)
+        self._move_into_place(name)
         schema = TABLES[name].schema.fieldNames()
         kept = self[name].join(rows, keys, "left_anti").select(*schema)
-        self.replace(name, kept.unionByName(rows.select(*schema)).checkpoint())
+        merged = kept.unionByName(rows.select(*schema))
+        self._writer(name, merged).mode("overwrite").parquet(self._beside(name))
+        folder, files = self._folder(self.path(name))
+        files.delete(folder, True)
+        self._move_into_place(name)
+
+    def _beside(self, name: str) -> str:
+        return f"{self.path(name)}__merged"
+
+    def _live_path(self, name: str) -> str:
+        """The table's path, or the complete merge about to be moved there."""
+        done, files = self._folder(f"{self._beside(name)}/_SUCCESS")
+        waiting = not self.exists(name) and files.exists(done)
+        return self._beside(name) if waiting else self.path(name)
+
+    def _move_into_place(self, name: str) -> None:
+        if self._live_path(name) != self.path(name):
+            beside, files = self._folder(self._beside(name))
+            files.rename(beside, self._folder(self.path(name))[0])
 
     def set_column(self, name: str, where: Column, column: str, value: Column) -> None:
         """Update one column in the partitions that ``where`` selects whole."""

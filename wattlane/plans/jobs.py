@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -47,7 +48,8 @@ class Loaded:
     """What a load wrote and which days it touched."""
 
     rows: int
-    first_ingested: datetime | None
+    # Microseconds since 1970, to compare without regard to the driver's time zone.
+    first_ingested: int | None
     batch_dates: list[date]
     affected_dates: list[date]
 
@@ -73,7 +75,7 @@ def load_raw(
         .observe(
             written,
             F.count(F.lit(1)).alias("rows"),
-            F.min("_ingestion_timestamp").alias("first_ingested"),
+            F.min(F.unix_micros("_ingestion_timestamp")).alias("first_ingested"),
         )
         .select(
             *RAW.fieldNames(), F.to_date(parse_period(F.col("period"))).alias("observation_date")
@@ -217,7 +219,8 @@ def _build_marts(
 def _together(*actions: Callable[[], None]) -> None:
     """Jobs on different tables at once: one alone seldom fills a cluster."""
     with ThreadPoolExecutor(len(actions)) as pool:
-        for started in [pool.submit(action) for action in actions]:
+        inherited = [inheritable_thread_target(action) for action in actions]
+        for started in [pool.submit(action) for action in inherited]:
             started.result()
 
 
@@ -393,19 +396,20 @@ def run_window(
     return loaded
 
 
-def _newest_ingestion(lake: Lake) -> datetime | None:
-    """Newest ingestion that any earlier run logged."""
-    return lake["freshness_log"].agg(F.max("pipeline_freshness_timestamp")).first()[0]
+def _newest_ingestion(lake: Lake) -> int | None:
+    """Newest ingestion that any earlier run logged, in microseconds."""
+    logged = F.unix_micros(F.max("pipeline_freshness_timestamp"))
+    return lake["freshness_log"].agg(logged).first()[0]
 
 
-def _newly_staged(lake: Lake, loaded: Loaded, newest_before: datetime | None) -> DataFrame | None:
+def _newly_staged(lake: Lake, loaded: Loaded, newest_before: int | None) -> DataFrame | None:
     """Staged rows of this load if it is newer than all before, else None for all rows."""
     if newest_before is None or loaded.first_ingested is None:
         return None
     if loaded.first_ingested <= newest_before:
         return None
     staged = lake.on_days("stg_grid_metrics", loaded.affected_dates)
-    return staged.where(F.col("_ingestion_timestamp") >= F.lit(loaded.first_ingested))
+    return staged.where(F.unix_micros("_ingestion_timestamp") >= loaded.first_ingested)
 
 
 def backfill(
