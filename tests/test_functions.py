@@ -30,6 +30,13 @@ PERIODS = {
     # The full layout needs its offset.
     "2026-03-27T05:06:07": None,
     "2026-03-27T24": None,
+    "2026-03-27T": None,
+    "2026-03-27T05Z": None,
+    "2026-03-27T05 Europe/Paris": None,
+    "2026-02-30T05": None,
+    "T05": None,
+    "2026-03T05": None,
+    " 2026-3-7T5 ": utc("2026-03-07T05:00:00"),
     "2026-13-01": None,
     "27/03/2026": None,
     "soon": None,

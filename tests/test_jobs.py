@@ -248,7 +248,8 @@ def test_dimensions_update_and_insert_but_never_delete(lake, raw_frame):
 def test_a_merge_cut_short_is_read_and_finished(lake, spark):
     import shutil
 
-    first = spark.createDataFrame([("A", "Alpha"), ("B", "Beta")], "region string, region_name string")
+    names = [("A", "Alpha"), ("B", "Beta")]
+    first = spark.createDataFrame(names, "region string, region_name string")
     lake.merge("dim_region", first, ["region"])
     # As if the driver had died after dropping the table and before moving the merge.
     path = lake.path("dim_region")
@@ -294,7 +295,8 @@ def test_batch_copy_and_column_update(lake, raw_frame, spark, tmp_path):
     lake.copy_batch(copy, D)
     assert rows_of(copy["eia_grid_batch"].select("_batch_id").distinct()) == [(ONE.batch_id,)]
     stamp = utc("2026-03-20T00:00:00")
-    copy.set_column("eia_grid_batch", F.col("batch_date") == F.lit(D), "_ingestion_timestamp", F.lit(stamp))
+    batch = F.col("batch_date") == F.lit(D)
+    copy.set_column("eia_grid_batch", batch, "_ingestion_timestamp", F.lit(stamp))
     status = quality.source_freshness(copy["eia_grid_batch"], stamp + timedelta(hours=7)).first()
     assert status["status"] == "warn"
     assert copy["eia_grid_batch"].count() == 3

@@ -42,7 +42,8 @@ def test_exact_percentiles_per_group(spark):
     rows += [("one", None)]
     rng.shuffle(rows)
     frame = spark.createDataFrame(rows, "endpoint string, seconds double").repartition(3)
-    found = {row[0]: tuple(row)[1:] for row in latency_summary(frame, ["endpoint"], "seconds").collect()}
+    summary = latency_summary(frame, ["endpoint"], "seconds").collect()
+    found = {row[0]: tuple(row)[1:] for row in summary}
     assert found.keys() == groups.keys()
     for key, values in groups.items():
         assert found[key] == pytest.approx(expected(values), rel=1e-12, abs=1e-9), key

@@ -100,3 +100,14 @@ def test_percentiles_keep_no_group_in_one_buffer(filled):
     rows = filled["stg_grid_metrics"]
     plan = plan_of(latency.latency_summary(rows, ["region"], "metric_value"))
     assert "ObjectHashAggregate" not in plan and "collect" not in plan
+
+
+def test_writes_rebalance_by_day_but_a_laid_out_copy_is_not_shuffled(filled):
+    rows = filled["stg_grid_metrics"]
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(filled._writer("stg_grid_metrics", rows)._df)
+    assert "Exchange" not in plan_of(filled._writer("fct_grid_metrics", rows, True)._df)
+
+
+def test_usual_labels_are_spelt_when_the_query_is_planned(filled):
+    plan = plan_of(staging.canonicalise(filled["eia_grid_batch"]))
+    assert "THEN net_generation" in plan and "THEN total_interchange" in plan

@@ -9,14 +9,15 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The three period layouts, full timestamp with offset, hour, day.
+# The period layouts, full timestamp with offset, and day. The third is the
+# day, a T and the hour.
 TIMESTAMP_LAYOUTS = (
     "yyyy-M-d'T'H:m:s[.SSSSSSSSS]XXX",
     "yyyy-M-d'T'H:m:s[.SSSSSSSSS]XX",
     "yyyy-M-d'T'H:m:s[.SSSSSSSSS]X",
 )
-HOUR_LAYOUT = "yyyy-M-d'T'H"
 DAY_LAYOUT = "yyyy-M-d"
+SHORTEST_DAY = len("2026-3-7")
 
 
 def parse_period(period: Column) -> Column:
@@ -25,14 +26,17 @@ def parse_period(period: Column) -> Column:
     The layouts exclude each other by shape (a colon, a ``T``, neither), so each text
     meets only the parsers that can accept it: a failed parse costs a JVM exception
     per row, which trying all layouts in turn would raise on nearly every hourly row.
+    The hour, by far the most frequent, is completed to a time that a plain cast reads in
+    half the time; a ``T`` before any full date would read as a time of today.
     """
     text = F.trim(period)
     as_timestamp = F.coalesce(
         *[F.try_to_timestamp(text, F.lit(layout)) for layout in TIMESTAMP_LAYOUTS]
     )
+    hour = F.concat(text, F.lit(":00:00"))
     return (
         F.when(F.contains(text, F.lit(":")), as_timestamp)
-        .when(F.contains(text, F.lit("T")), F.try_to_timestamp(text, F.lit(HOUR_LAYOUT)))
+        .when(F.instr(text, "T") > SHORTEST_DAY, hour.try_cast("timestamp"))
         .otherwise(F.try_to_timestamp(text, F.lit(DAY_LAYOUT)))
     )
 

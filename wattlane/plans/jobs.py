@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wattlane.functions.periods import parse_period, with_history
@@ -166,6 +166,7 @@ def merge_dimensions(lake: Lake, staged: DataFrame | None = None) -> None:
     """
     rows = lake["stg_grid_metrics"] if staged is None else staged
     _together(
+        lake.spark,
         lambda: lake.merge("dim_region", marts.dim_region(rows), ["region"]),
         lambda: lake.merge(
             "dim_energy_source", marts.dim_energy_source(rows), ["energy_source"]
@@ -193,6 +194,7 @@ def build_aggregates(lake: Lake, dates: Iterable[date] | None = None) -> None:
         build("agg_top_regions", marts.top_regions(source("agg_load_daily")))
 
     _together(
+        lake.spark,
         lambda: build("agg_load_hourly", marts.load_hourly(fact)),
         lambda: build("agg_generation_mix", marts.generation_mix(fact)),
         build_ranks_after_daily,
@@ -213,13 +215,17 @@ def _build_marts(
         build_fact(lake, dates)
         build_aggregates(lake, dates)
 
-    _together(build_fact_and_aggregates, lambda: merge_dimensions(lake, newly_staged))
+    _together(
+        lake.spark,
+        build_fact_and_aggregates,
+        lambda: merge_dimensions(lake, newly_staged),
+    )
 
 
-def _together(*actions: Callable[[], None]) -> None:
+def _together(spark: SparkSession, *actions: Callable[[], None]) -> None:
     """Jobs on different tables at once: one alone seldom fills a cluster."""
     with ThreadPoolExecutor(len(actions)) as pool:
-        inherited = [inheritable_thread_target(action) for action in actions]
+        inherited = [inheritable_thread_target(spark)(action) for action in actions]
         for started in [pool.submit(action) for action in inherited]:
             started.result()
 
