@@ -8,7 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import chat, line_windows, mixing, pieces
+from wattlane.llm import (
+    chat,
+    digest,
+    golay_simhash,
+    line_windows,
+    mixing,
+    ordinal,
+    pieces,
+    repetition,
+)
 from wattlane.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,11 +91,35 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(docs, tokenizer_path(PIECE_MODEL), with_ids=False)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition_rules(read_table(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = golay_simhash.near_dedup(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    found = ordinal.classify(docs, labels)
+    return found.select("doc_id", "expected_grade", "tail_probability", "kept")
+
+
+def op9_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return digest.against_next(docs, digest.entropy_ranks(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_simhash": op7_simhash,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_digest": op9_digest,
 }
 
 _ESCAPE = r"regexp_replace({0}, '(<|\[)(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g')"
