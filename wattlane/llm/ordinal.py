@@ -34,7 +34,7 @@ from wattlane.llm.textarrays import Block, blocks, mixed, per_text
 
 SAMPLE_PER_GRADE = 1500
 LEAST_TEXTS = 4
-LEAST_Z = 8.0
+LEAST_Z = 6.5
 STEM_BYTES = 4
 STEPS = 600
 RATE = 0.1
@@ -123,8 +123,10 @@ class OrdinalModel:
 
     def above(self, every: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """For each text and threshold the probability of a grade above it."""
-        place = np.minimum(np.searchsorted(self.hashes, every), len(self.hashes) - 1)
-        weight = np.where(self.hashes[place] == every, self.weights[place], 0.0)
+        weight = np.zeros(len(every))
+        if len(self.hashes):
+            place = np.minimum(np.searchsorted(self.hashes, every), len(self.hashes) - 1)
+            weight = np.where(self.hashes[place] == every, self.weights[place], 0.0)
         total = np.concatenate([[0.0], np.cumsum(weight)])
         score = total[starts[1:]] - total[starts[:-1]]
         return _sigmoid(score[:, None] - self.thresholds[None, :])
