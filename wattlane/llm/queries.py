@@ -16,7 +16,9 @@ from wattlane.llm import (
     mixing,
     ordinal,
     pieces,
+    recompression,
     repetition,
+    suffix_array,
 )
 from wattlane.llm.common import read_table
 
@@ -95,6 +97,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_array.dedup_substrings(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept_bytes"), 256).alias("kept_sha256")
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = golay_simhash.near_dedup(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -111,15 +120,24 @@ def op9_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.against_next(docs, digest.entropy_ranks(docs))
 
 
+def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompression.dedup_substrings(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_array": op6_suffix_array,
     "op7_simhash": op7_simhash,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_digest": op9_digest,
+    "op10_recompression": op10_recompression,
 }
 
 _ESCAPE = r"regexp_replace({0}, '(<|\[)(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g')"

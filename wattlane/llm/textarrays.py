@@ -113,3 +113,30 @@ def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of the values between bounds."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+ODD = np.uint64(0xD1342543DE82EF95)
+_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
+_inverse_powers = np.ones(1, np.uint64)
+
+
+def _inverses(n: int) -> np.ndarray:
+    global _inverse_powers
+    if len(_inverse_powers) < n:
+        steps = np.full(1 << (n - 1).bit_length(), _INVERSE, np.uint64)
+        steps[0] = 1
+        _inverse_powers = np.multiply.accumulate(steps)
+    return _inverse_powers[:n]
+
+
+class RangeHashes:
+    """Hashes of any stretch of a sequence of numbers, from sums over its beginnings."""
+
+    def __init__(self, numbers: np.ndarray) -> None:
+        n = len(numbers)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(numbers * powers(n), out=self.sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        raw = (self.sums[ends] - self.sums[starts]) * _inverses(len(self.sums))[starts]
+        return mixed(raw + (ends - starts).astype(np.uint64) * ODD)
