@@ -98,28 +98,30 @@ def dedup_lines(
         .agg(F.collect_set("line").alias("starts"))
     )
     joined = texts.join(covered, same_document(texts, covered), "left").select(
-        texts["*"],
-        F.array_sort(
-            F.array_distinct(
-                F.flatten(
-                    F.transform(
-                        F.coalesce("starts", F.array().cast("array<int>")),
-                        lambda s: F.sequence(s, s + (n - 1)),
-                    )
-                )
-            )
-        ).alias("removed"),
+        texts["*"], "starts"
     )
-    split = joined.select("doc_id", "text_key", "text", _lines(F.col("text")).alias("lines"), "removed")
-    numbers = F.sequence(F.lit(0), F.size("lines") - 1)
-    kept = F.transform(F.array_except(numbers, F.col("removed")), lambda i: F.get("lines", i))
-    return split.select(
+    cut = without_windows(joined, F.col("text"), n)
+    return cut.select(
         "doc_id",
         "text_key",
         "text",
         F.size("lines").cast("bigint").alias("n_lines"),
         "removed",
-        F.when(F.size("removed") == 0, F.col("text"))
-        .otherwise(F.array_join(kept, "\n"))
-        .alias("kept_text"),
+        F.when(F.size("removed") == 0, F.col("text")).otherwise(F.col("kept_text")).alias("kept_text"),
     )
+
+
+def without_windows(rows: DataFrame, text: Column, n: int = WINDOW_LINES) -> DataFrame:
+    """``rows`` with ``lines``, ``removed`` and ``kept_text``, where ``starts`` (null: none)
+    has the windows that go."""
+    starts = F.coalesce("starts", F.array().cast("array<int>"))
+    runs = F.flatten(F.transform(starts, lambda s: F.sequence(s, s + (n - 1))))
+    split = rows.withColumns(
+        {
+            "removed": F.array_sort(F.array_distinct(runs)),
+            "lines": _lines(F.coalesce(text, F.lit(""))),
+        }
+    )
+    numbers = F.sequence(F.lit(0), F.size("lines") - 1)
+    kept = F.transform(F.array_except(numbers, F.col("removed")), lambda i: F.get("lines", i))
+    return split.withColumn("kept_text", F.array_join(kept, "\n"))
