@@ -37,6 +37,9 @@ SPACE = "▁"
 REMEMBERED_CHUNKS = 400_000
 REMEMBERED_PAIRS = 1_500_000
 
+#: The text on its way to the encoder; a column kept beside it may be named as it likes.
+_WHOLE = "__whole_text"
+
 
 class PieceCodec:
     """Encoder and decoder over the pieces and scores of a model file."""
@@ -267,7 +270,7 @@ def _encoded(model_path: str, with_ids: bool):
         tool = codec(model_path)
         for batch in batches:
             counts, id_hashes, text_hashes, ids = [], [], [], []
-            for text in batch["text"]:
+            for text in batch[_WHOLE]:
                 written = tool.encode_text(text.as_py())
                 counts.append(written.count(" ") + 1)
                 id_hashes.append(hashlib.sha256(written.encode()).hexdigest())
@@ -281,7 +284,7 @@ def _encoded(model_path: str, with_ids: bool):
             }
             if with_ids:
                 columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
-            kept = [n for n in batch.schema.names if n != "text"]
+            kept = [n for n in batch.schema.names if n != _WHOLE]
             yield pa.RecordBatch.from_arrays(
                 [batch[n] for n in kept] + list(columns.values()), names=[*kept, *columns]
             )
@@ -303,9 +306,9 @@ def encode_documents(
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         *(F.col(f"`{name}`") for name in keep),
-        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias(_WHOLE),
     )
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text"]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != _WHOLE]
     fields += ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"]
     fields += ["ids array<int>"] if with_ids else []
     return rows.mapInArrow(_encoded(model_path, with_ids), ", ".join(fields))
