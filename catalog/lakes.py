@@ -73,7 +73,7 @@ def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
         lake = fresh_lake(spark)
         raw = raw_rows(spark, sf_dir)
         windows = [daily_window(day) for day in batch_days(raw)]
-        loaded = jobs.bulk_backfill(lake, raw, windows)
+        loaded = jobs.load_and_rebuild(lake, raw, windows)
         checks = jobs.run_checks(lake).collect()
         for run, checked_at in enumerate(check_times(loaded.batch_dates), start=1):
             run_id, window = f"run{run}", windows[-1]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from catalog.oracle import (
 )
 from catalog.registry import register
 from wattlane.functions import metrics, periods, scoring, status
+from wattlane.lake import Lake, union_all
 from wattlane.operators import (
     anomalies,
     control,
@@ -1058,11 +1060,25 @@ def anomaly_table_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built_lake(spark, sf_dir)["anomaly_results"]
 
 
+DATA_TABLES = (
+    "eia_grid_batch", "stg_grid_metrics", "fct_grid_metrics", "dim_region", "dim_energy_source",
+    "agg_load_hourly", "agg_load_daily", "agg_generation_mix", "agg_top_regions",
+)
+
+
+def _differences(first: Lake, second: Lake, names: Iterable[str] = DATA_TABLES) -> DataFrame:
+    return union_all(
+        snapshots.differences(first[name], second[name]).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_differences")
+        )
+        for name in names
+    )
+
+
 @register(
     "rerun_differences",
     "table_name i:n_differences",
-    """select unnest(['stg_grid_metrics', 'fct_grid_metrics', 'dim_region', 'agg_load_hourly'])
-        as table_name, 0 as n_differences""",
+    f"select unnest({list(DATA_TABLES)}) as table_name, 0 as n_differences",
 )
 def rerun_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything loaded and rebuilt a second time: no row differs from the first."""
@@ -1071,14 +1087,8 @@ def rerun_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_rows(spark, sf_dir)
     windows = [daily_window(day) for day in batch_days(raw)]
     for _ in range(2):
-        jobs.bulk_backfill(second, raw.select(*RAW.fieldNames()), windows)
-    counts = [
-        snapshots.differences(first[name], second[name]).agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_differences")
-        )
-        for name in ("stg_grid_metrics", "fct_grid_metrics", "dim_region", "agg_load_hourly")
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+        jobs.load_and_rebuild(second, raw.select(*RAW.fieldNames()), windows)
+    return _differences(first, second)
 
 
 @register("latest_load_only", DAILY_COLUMNS, """select * from agg_load_daily""")
@@ -1087,22 +1097,164 @@ def latest_load_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = fresh_lake(spark)
     raw = raw_rows(spark, sf_dir)
     days = batch_days(raw)
-    mornings = [BatchWindow(w.start, w.start + timedelta(hours=6)) for w in map(daily_window, days)]
-    early = raw.where(F.substring("period", 12, 2) < "06").withColumn(
-        "_batch_id", F.regexp_replace("_batch_id", "_.*", "_early")
-    )
-    jobs.load_raw(lake, early, mornings, jobs.REPLACE_DAY)
+    mornings, rows = _half_days(raw, days, 0, 6)
+    jobs.load_raw(lake, rows, mornings, jobs.REPLACE_DAY)
     jobs.load_raw(lake, raw, [daily_window(day) for day in days], jobs.REPLACE_DAY)
     jobs.build_staging(lake, batch_dates=days)
     jobs.build_fact(lake)
-    return marts.load_daily(lake["fct_grid_metrics"])
+    jobs.build_aggregates(lake)
+    return lake["agg_load_daily"]
 
 
-@register("streamed_load", DAILY_COLUMNS, "select * from agg_load_daily")
-def streamed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All windows landed, then loaded as a stream of arriving files."""
+def _half_days(
+    raw: DataFrame, days: list[date], start: int, end: int
+) -> tuple[list[BatchWindow], DataFrame]:
+    """A window of some hours of every day, with the raw rows observed in these hours."""
+    hour = timedelta(hours=1)
+    windows = [
+        BatchWindow(w.start + start * hour, w.start + end * hour) for w in map(daily_window, days)
+    ]
+    day = F.date_format("batch_date", "yyyyMMdd")
+    ends = F.date_format(F.col("batch_date").cast("timestamp") + F.expr(f"interval {end} hours"),
+                         "yyyyMMdd'T'HHmmss")
+    batch = F.concat(day, F.lit(f"T{start:02}0000_"), ends)
+    hours = F.substring("period", 12, 2).cast("int")
+    return windows, raw.where(hours.between(start, end - 1)).withColumn("_batch_id", batch)
+
+
+@register("dimension_after_failed_run", "region region_name", "select * from dim_region")
+def dimension_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mornings are loaded by runs that then stop; the afternoons' runs name all regions."""
+    lake = fresh_lake(spark)
+    raw = raw_rows(spark, sf_dir)
+    days = batch_days(raw)
+    mornings, early = _half_days(raw, days, 0, 12)
+    afternoons, late = _half_days(raw, days, 12, 24)
+    jobs.load_raw(lake, early, mornings)
+    jobs.load_and_rebuild(lake, late, afternoons)
+    return lake["dim_region"]
+
+
+@register("dimension_after_late_window", "region region_name", "select * from dim_region")
+def dimension_after_late_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest half of the days first: older days that come late rename nothing."""
+    lake = fresh_lake(spark)
+    raw = raw_rows(spark, sf_dir)
+    days = sorted(batch_days(raw), reverse=True)
+    for some in (days[: len(days) // 2], days[len(days) // 2 :]):
+        rows = raw.where(F.col("batch_date").isin(some))
+        jobs.load_and_rebuild(lake, rows, [daily_window(day) for day in some])
+    return lake["dim_region"]
+
+
+@register(
+    "column_update_inside_partition",
+    "respondent _source_url i:n_rows",
+    """select respondent, case when respondent = 'R7' then 'corrected' else _source_url end
+        as _source_url, count(*) as n_rows from raw group by all""",
+)
+def column_update_inside_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One region's rows updated; the others of the same partitions stay as they are."""
+    lake = fresh_lake(spark)
+    raw = raw_rows(spark, sf_dir)
+    jobs.load_raw(lake, raw, [daily_window(day) for day in batch_days(raw)])
+    picked = F.col("respondent") == REGION
+    lake.set_column("eia_grid_batch", picked, "_source_url", F.lit("corrected"))
+    return lake["eia_grid_batch"].groupBy("respondent", "_source_url").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+@register(
+    "day_rebuild_equals_full_rebuild",
+    "table_name i:n_differences i:n_rows",
+    """select 'stg_grid_metrics' as table_name, 0 as n_differences,
+        (select count(*) from stg) as n_rows""",
+)
+def day_rebuild_equals_full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of every row with equal ingestion times: one of them stays, on any path."""
+    raw = raw_rows(spark, sf_dir)
+    days = batch_days(raw)
+    lakes = []
+    for dates in (days, None):
+        lake = fresh_lake(spark)
+        jobs.load_raw(lake, raw, [daily_window(day) for day in days])
+        for start, end in ((0, 12), (12, 24)):
+            windows, rows = _half_days(raw, days, start, end)
+            jobs.load_raw(lake, rows, windows)
+        jobs.build_staging(lake, dates)
+        lakes.append(lake)
+    staged = lakes[0]["stg_grid_metrics"].agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = staged.select(F.lit("stg_grid_metrics").alias("table_name"), "n_rows")
+    return _differences(*lakes, ["stg_grid_metrics"]).join(counted, "table_name")
+
+
+@register(
+    "landed_microseconds",
+    RAW_COLUMNS,
+    """select * replace (_ingestion_timestamp + interval 123456 microsecond
+        as _ingestion_timestamp) from raw""",
+)
+def landed_microseconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{fresh_lake(spark, 'landing').root}/grid"
+    raw = raw_rows(spark, sf_dir)
+    later = F.col("_ingestion_timestamp") + F.expr("interval 123456 microseconds")
+    landing.land(raw.withColumn("_ingestion_timestamp", later), folder)
+    windows = [daily_window(day) for day in batch_days(raw)]
+    return landing.read_landed(spark, folder, windows)
+
+
+@register("landed_window_run", DAILY_COLUMNS, "select * from agg_load_daily")
+def landed_window_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page rows landed as one window, read back, and run from load to record."""
+    lake = fresh_lake(spark)
+    raw = raw_rows(spark, sf_dir)
+    days = batch_days(raw)
+    window = BatchWindow(daily_window(min(days)).start, daily_window(max(days)).end)
+    rows = _paged(spark, sf_dir)
+    landed = jobs.land_window(lake, f"{lake.root}/landing", window, rows, window.end)
+    jobs.run_window(lake, landed, window, "landed", checked_at=window.end)
+    return lake["agg_load_daily"]
+
+
+@register(
+    "bulk_run_metrics",
+    "run_id t:window_start t:window_end i:rows_loaded i:dbt_tests_passed status",
+    f"""select 'bulk__' || strftime(cast(batch_date as timestamp) + interval 1 day,
+            '%Y-%m-%dT%H:%M:%S') || '+00:00' as run_id,
+        cast(batch_date as timestamp) as window_start,
+        cast(batch_date as timestamp) + interval 1 day as window_end, count(*) as rows_loaded,
+        {len(quality.CHECKS)} as dbt_tests_passed, 'success' as status
+        from raw group by batch_date""",
+)
+def bulk_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many windows run at once leave one record each."""
+    lake = fresh_lake(spark)
+    raw = raw_rows(spark, sf_dir)
+    days = batch_days(raw)
+    windows = [daily_window(day) for day in days]
+    jobs.bulk_backfill(lake, raw, windows, checked_at=check_times(days)[0])
+    return lake["run_metrics"].select(
+        "run_id", "window_start", "window_end", "rows_loaded", "dbt_tests_passed", "status"
+    )
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> Lake:
+    """All windows landed, then run as a stream of arriving files."""
     lake = fresh_lake(spark, "stream")
     landed = f"{lake.root}/landing"
-    landing.land(raw_rows(spark, sf_dir), landed)
-    load_arriving(lake, landed, f"{lake.root}/progress").awaitTermination()
-    return lake["agg_load_daily"]
+    raw = raw_rows(spark, sf_dir)
+    landing.land(raw, landed)
+    checked = check_times(batch_days(raw))[0]
+    load_arriving(lake, landed, f"{lake.root}/progress", checked_at=checked).awaitTermination()
+    return lake
+
+
+@register("streamed_load", DAILY_COLUMNS, "select * from agg_load_daily")
+def streamed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir)["agg_load_daily"]
+
+
+@register("streamed_anomalies", SCORE_COLUMNS, "select * from scores")
+def streamed_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir)["anomaly_results"].drop("run_id", "checked_at")

@@ -11,6 +11,7 @@ from tests.conftest import generation_row, raw_row, rows_of, utc
 from wattlane import Lake
 from wattlane.lake import SchemaDrift
 from wattlane.operators import quality, snapshots
+from wattlane.schemas import TABLES
 from wattlane.plans import jobs, serving
 from wattlane.sources.pages import read_families
 from wattlane.streaming.windows import load_arriving
@@ -46,7 +47,7 @@ def run(lake, raw_frame, batch, rows=None, run_id="r", **options):
 def load(lake, raw_frame, batch, rows=None):
     """Loading and rebuilding alone, without checks, scores and records."""
     frame = raw_frame(rows if rows is not None else window_rows(batch))
-    return jobs.bulk_backfill(lake, frame, [batch])
+    return jobs.load_and_rebuild(lake, frame, [batch])
 
 
 def snapshot_of(lake):
@@ -222,8 +223,11 @@ def test_backfill_runs_each_window_and_again(lake, raw_frame):
     hourly = snapshot_of(lake)
     bulk = Lake(lake.spark, f"{lake.root}-bulk")
     everything = raw_frame([row for w in windows for row in window_rows(w)])
-    jobs.bulk_backfill(bulk, everything, windows)
+    jobs.bulk_backfill(bulk, everything, windows, checked_at=recent)
     assert snapshot_of(bulk) == hourly
+    records = rows_of(bulk["run_metrics"], "window_end", "rows_loaded", "status")
+    assert records == [(w.end.replace(tzinfo=None), 3, "success") for w in windows]
+    assert bulk["freshness_log"].count() == 1 and bulk["pipeline_state"].count() == 1
 
 
 def test_watermark_holds_one_row(lake):
@@ -241,15 +245,15 @@ def test_dimensions_update_and_insert_but_never_delete(lake, raw_frame):
     other = [raw_row(ONE, respondent="ERCO", respondent_name="ERCOT")]
     load(lake, raw_frame, ONE, renamed + other)
     assert rows_of(lake["dim_region"]) == [("ERCO", "ERCOT"), ("MISO", "MISO renamed")]
-    lake.merge("dim_region", lake["dim_region"].limit(0), ["region"])
+    lake.merge("dim_region", lake.stored("dim_region").limit(0), ["region"])
     assert lake["dim_region"].count() == 2
 
 
 def test_a_merge_cut_short_is_read_and_finished(lake, spark):
     import shutil
 
-    names = [("A", "Alpha"), ("B", "Beta")]
-    first = spark.createDataFrame(names, "region string, region_name string")
+    names = [("A", "Alpha", ONE.start, ONE.start), ("B", "Beta", ONE.start, ONE.start)]
+    first = spark.createDataFrame(names, TABLES["dim_region"].stored)
     lake.merge("dim_region", first, ["region"])
     # As if the driver had died after dropping the table and before moving the merge.
     path = lake.path("dim_region")
@@ -302,6 +306,29 @@ def test_batch_copy_and_column_update(lake, raw_frame, spark, tmp_path):
     assert copy["eia_grid_batch"].count() == 3
 
 
+def test_column_update_keeps_rows_it_does_not_pick(lake, raw_frame):
+    rows = window_rows(ONE) + [raw_row(ONE, respondent="A", respondent_name="Other")]
+    jobs.load_raw(lake, raw_frame(rows), [ONE])
+    lake.set_column("eia_grid_batch", F.col("respondent") == "A", "_source_url", F.lit("new"))
+    found = rows_of(lake["eia_grid_batch"], "respondent", "_source_url")
+    assert [url for name, url in found if name == "A"] == ["new"]
+    assert len(found) == 4 and all(url != "new" for name, url in found if name != "A")
+    with pytest.raises(ValueError, match="by partition"):
+        lake.set_column("eia_grid_batch", F.lit(True), "batch_date", F.lit(D))
+
+
+def test_rows_of_undeclared_windows_fail_the_load(lake, raw_frame):
+    with pytest.raises(Exception, match="undeclared window"):
+        jobs.load_raw(lake, raw_frame(window_rows(ELEVEN) + window_rows(ONE)), [ONE])
+    assert lake["eia_grid_batch"].count() == 0
+
+
+def test_newest_name_wins_in_any_order_of_loads(lake, raw_frame):
+    load(lake, raw_frame, ONE, window_rows(ONE, respondent_name="Newest"))
+    load(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT, respondent_name="Middle"))
+    assert rows_of(lake["dim_region"], "region_name") == [("Newest",)]
+
+
 def test_bound_query_over_the_tables(lake, raw_frame):
     load(lake, raw_frame, MIDNIGHT)
     found = lake.sql(
@@ -340,13 +367,14 @@ def test_arriving_windows_are_loaded_once_and_reloaded_when_relanded(lake, raw_f
 
     landing, progress = str(tmp_path / "landing"), str(tmp_path / "progress")
     land(raw_frame(window_rows(MIDNIGHT)), landing)
-    load_arriving(lake, landing, progress).awaitTermination()
+    checked = {"checked_at": ONE.end}
+    load_arriving(lake, landing, progress, **checked).awaitTermination()
     assert rows_of(lake["agg_load_daily"], "total_load") == [(100.0,)]
     land(raw_frame(window_rows(ONE)), landing)
     land(raw_frame(window_rows(MIDNIGHT, 50.0)), landing)
-    load_arriving(lake, landing, progress).awaitTermination()
+    load_arriving(lake, landing, progress, **checked).awaitTermination()
     assert rows_of(lake["agg_load_daily"], "total_load") == [(150.0,)]
-    load_arriving(lake, landing, progress).awaitTermination()
+    load_arriving(lake, landing, progress, **checked).awaitTermination()
     assert lake["eia_grid_batch"].count() == 6
 
 

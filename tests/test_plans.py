@@ -29,7 +29,7 @@ def filled(spark, tmp_path_factory):
     lake = Lake(spark, str(tmp_path_factory.mktemp("plans")))
     rows = [raw_row(WINDOW), generation_row(WINDOW, "NG", 5.0)]
     values = [tuple(row[name] for name in RAW.fieldNames()) for row in rows]
-    jobs.bulk_backfill(lake, spark.createDataFrame(values, RAW), [WINDOW])
+    jobs.load_and_rebuild(lake, spark.createDataFrame(values, RAW), [WINDOW])
     jobs.score_anomalies(lake, [D], "r", WINDOW.end)
     return lake
 

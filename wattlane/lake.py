@@ -143,17 +143,29 @@ class Lake:
         found = self.stored(name, leaves).inputFiles()
         return {"/".join(file.split("/")[-depth:]) for file in found}
 
-    def merge(self, name: str, rows: DataFrame, keys: list[str]) -> None:
+    def merge(
+        self, name: str, rows: DataFrame, keys: list[str], newest_by: Iterable[str] | None = None
+    ) -> None:
         """Update or insert by key into a small unpartitioned table, never delete.
 
+        With ``newest_by``, a key keeps the row that is greatest in these columns, whether
+        it is stored or given; without, the given one.
+
         A path cannot be overwritten while it is read: the merged rows are written beside
         the table and then moved into its place. Until they are, reads find one or the
         other, and a merge that was cut short is finished by the next.
         """
         self._move_into_place(name)
-        schema = TABLES[name].schema.fieldNames()
-        kept = self[name].join(rows, keys, "left_anti").select(*schema)
-        merged = kept.unionByName(rows.select(*schema))
+        schema = TABLES[name].stored.fieldNames()
+        stored, rows = self.stored(name), rows.select(*schema)
+        if newest_by is None:
+            merged = stored.join(rows, keys, "left_anti").select(*schema).unionByName(rows)
+        else:
+            order = [*newest_by]
+            rest = [column for column in schema if column not in (*keys, *order)]
+            newest = F.max(F.struct(*order, *rest)).alias("newest")
+            merged = stored.unionByName(rows).groupBy(*keys).agg(newest)
+            merged = merged.select(*keys, "newest.*").select(*schema)
         self._writer(name, merged).mode("overwrite").parquet(self._beside(name))
         folder, files = self._folder(self.path(name))
         files.delete(folder, True)
@@ -174,11 +186,20 @@ class Lake:
             files.rename(beside, self._folder(self.path(name))[0])
 
     def set_column(self, name: str, where: Column, column: str, value: Column) -> None:
-        """Update one column in the partitions that ``where`` selects whole."""
-        rows = self.stored(name).where(where)
+        """Update one column in the rows that ``where`` selects; all others stay.
+
+        Only the partitions that hold a selected row are read again and rewritten.
+        """
+        keys = TABLES[name].partition_by
+        if not keys or column in keys:
+            raise ValueError(f"{name}.{column} cannot be updated by partition")
         names = TABLES[name].stored.fieldNames()
-        changed = rows.withColumn(column, value).select(*names)
-        self.replace_partitions(name, changed)
+        rows = self.stored(name)
+        touched = rows.where(where).select(*[F.col(key).alias(f"touched_{key}") for key in keys])
+        same = [F.col(key).eqNullSafe(F.col(f"touched_{key}")) for key in keys]
+        whole = rows.join(touched.distinct(), same, "left_semi")
+        changed = whole.withColumn(column, F.when(where, value).otherwise(F.col(column)))
+        self.replace_partitions(name, changed.select(*names))
 
     def copy_batch(self, target: Lake, batch_date: date) -> None:
         """Rebuild the target's raw table from one batch date of this lake."""

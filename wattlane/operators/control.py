@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from wattlane.functions.status import freshness_status
@@ -97,6 +98,29 @@ def run_metrics_row(
     ).select(*RUN_METRICS.fieldNames())
 
 
+def run_metrics_rows(
+    spark: SparkSession,
+    runs: Mapping[str, BatchWindow],
+    rows_by_batch: Mapping[str, int],
+    totals: Row,
+    started_at: datetime,
+    status: str,
+    created_at: datetime,
+) -> DataFrame:
+    """A row for each window of a run; all share its totals, duration and status."""
+    duration = max((created_at - started_at).total_seconds(), 0.0)
+    rows = [
+        (
+            run_id, PIPELINE_NAME, window.end, window.start, window.end,
+            rows_by_batch.get(window.batch_id, 0), totals["models_passed"],
+            totals["tests_passed"], totals["tests_failed"], totals["bytes_processed"],
+            duration, status, created_at,
+        )
+        for run_id, window in runs.items()
+    ]
+    return spark.createDataFrame(rows, RUN_METRICS)
+
+
 def state_row(
     spark: SparkSession, window: BatchWindow, run_id: str, updated_at: datetime
 ) -> DataFrame:

@@ -25,6 +25,11 @@ KNOWN_GENERATION = "metric_name = 'generation' and energy_source is not null"
 
 def dim_region(staged: DataFrame) -> DataFrame:
     """Latest name per region: newest ingestion, then newest observation, then name."""
+    return newest_names(staged).select(*DIM_REGION.fieldNames())
+
+
+def newest_names(staged: DataFrame) -> DataFrame:
+    """``dim_region`` with the times that its names stand for."""
     latest = (
         staged.where(F.col("region").isNotNull())
         .groupBy("region", "region_name", "_ingestion_timestamp")
@@ -34,8 +39,8 @@ def dim_region(staged: DataFrame) -> DataFrame:
     return (
         latest.groupBy("region")
         .agg(newest.alias("newest"))
-        .select("region", F.col("newest.region_name").alias("region_name"))
-        .select(*DIM_REGION.fieldNames())
+        .select("region", "newest.*")
+        .select(*DIM_REGION.fieldNames(), "_ingestion_timestamp", "observation_timestamp")
     )
 
 

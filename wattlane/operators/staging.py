@@ -18,11 +18,10 @@ from wattlane.schemas import METRICS
 GRAIN = ("region", "observation_timestamp", "metric_name", "energy_source")
 
 
-def canonicalise(raw: DataFrame, *, incremental: bool = False) -> DataFrame:
-    """One staged row per raw row.
+def canonicalise(raw: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One staged row per raw row, with the raw columns in ``keep`` beside it.
 
-    An incremental build leaves out rows whose period cannot be parsed; a full build
-    keeps them with a NULL date for the checks to report.
+    Rows whose period cannot be parsed have a NULL date for the checks to report.
     """
     named = raw.select(
         F.col("respondent").alias("region"),
@@ -33,9 +32,8 @@ def canonicalise(raw: DataFrame, *, incremental: bool = False) -> DataFrame:
         energy_source(F.col("fueltype")).alias("energy_source"),
         unit_label(F.col("value_units")).alias("unit"),
         F.col("_ingestion_timestamp").cast("timestamp").alias("_ingestion_timestamp"),
+        *keep,
     )
-    if incremental:
-        named = named.where(F.col("observation_timestamp").isNotNull())
     key = surrogate_key(
         F.col("region"),
         timestamp_text(F.col("observation_timestamp")),
@@ -47,7 +45,7 @@ def canonicalise(raw: DataFrame, *, incremental: bool = False) -> DataFrame:
             "observation_date": F.to_date("observation_timestamp"),
             "metric_surrogate_key": key,
         }
-    ).select(*METRICS.fieldNames())
+    ).select(*METRICS.fieldNames(), *keep)
 
 
 def observation_dates(raw: DataFrame) -> DataFrame:
@@ -59,17 +57,27 @@ def observation_dates(raw: DataFrame) -> DataFrame:
     )
 
 
-def newest_batch(staged: DataFrame) -> DataFrame:
-    """Per grain, the rows of the newest ingestion.
+def newest_staged(raw: DataFrame) -> DataFrame:
+    """Staged rows, of each grain those of its newest batch: one rule for every build."""
+    return newest_batch(canonicalise(raw, keep=("_batch_id",)), "_batch_id")
 
-    Duplicates inside that newest ingestion stay, for the uniqueness checks to find.
+
+def newest_batch(staged: DataFrame, *ties: str) -> DataFrame:
+    """Per grain, the rows of the newest ingestion, of equal ones the greatest ``ties``.
+
+    Duplicates inside that newest batch stay, for the uniqueness checks to find.
     Aggregating and joining back, unlike a window over the grain, never gathers a
     grain with very many copies in one task: the maximum combines on the map side and
     the adaptive join splits a skewed grain.
     """
-    newest = staged.groupBy("metric_surrogate_key").agg(
+    order = ["_ingestion_timestamp", *ties]
+    # Ties are grouped by, so that the pass over all rows stays a hash aggregate.
+    newest = staged.groupBy("metric_surrogate_key", *ties).agg(
         F.max("_ingestion_timestamp").alias("_ingestion_timestamp")
     )
-    return staged.join(
-        newest, ["metric_surrogate_key", "_ingestion_timestamp"], "left_semi"
-    ).select(*METRICS.fieldNames())
+    if ties:
+        newest = newest.groupBy("metric_surrogate_key").agg(F.max(F.struct(*order)).alias("newest"))
+        newest = newest.select("metric_surrogate_key", "newest.*")
+    return staged.join(newest, ["metric_surrogate_key", *order], "left_semi").select(
+        *METRICS.fieldNames()
+    )

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wattlane.functions.periods import parse_period, with_history
 from wattlane.functions.scoring import BASELINE_DAYS
-from wattlane.lake import Lake, Leaves, day_leaves
+from wattlane.lake import Lake, day_leaves, enforce
 from wattlane.operators import anomalies, control, marts, quality, staging
 from wattlane.operators.ingest import normalise, require_rows, stamp_batch
 from wattlane.schemas import RAW
@@ -47,12 +46,14 @@ MODELS = (
 class Loaded:
     """What a load wrote and which days it touched."""
 
-    rows: int
-    # Microseconds since 1970, to compare without regard to the driver's time zone.
-    first_ingested: int | None
+    rows_by_batch: dict[str, int]
     batch_dates: list[date]
     affected_dates: list[date]
 
+    @property
+    def rows(self) -> int:
+        return sum(self.rows_by_batch.values())
+
 
 def load_raw(
     lake: Lake, rows: DataFrame, windows: Iterable[BatchWindow], replace: str = REPLACE_WINDOW
@@ -62,35 +63,44 @@ def load_raw(
     Rerunning a window replaces that window. With ``replace="day"`` a load also drops the
     other windows of its batch days, so that a day holds its latest load only. Days that
     only the replaced rows touched count as affected. They are read off the partition
-    listing, so finding them costs no scan.
+    listing, so finding them costs no scan. A row of a window that is not declared fails the
+    job in the same pass.
     """
     windows = list(windows)
     batch_dates = sorted({window.batch_date for window in windows})
     leaves = {"batch_date": {day.isoformat() for day in batch_dates}}
     if replace == REPLACE_WINDOW:
         leaves["_batch_id"] = {window.batch_id for window in windows}
-    written = Observation()
-    table = (
-        enforce_required(rows)
-        .observe(
-            written,
-            F.count(F.lit(1)).alias("rows"),
-            F.min(F.unix_micros("_ingestion_timestamp")).alias("first_ingested"),
-        )
-        .select(
-            *RAW.fieldNames(), F.to_date(parse_period(F.col("period"))).alias("observation_date")
-        )
+    table = _declared(enforce_required(rows), windows).select(
+        *RAW.fieldNames(), F.to_date(parse_period(F.col("period"))).alias("observation_date")
     )
     stale = lake.replace_partitions(RAW_TABLE, table, leaves)
     written_leaves = {file.rsplit("/", 1)[0] for file in lake.files(RAW_TABLE, leaves)}
     return Loaded(
-        rows=written.get["rows"],
-        first_ingested=written.get["first_ingested"],
+        rows_by_batch=_written_rows(lake, windows),
         batch_dates=batch_dates,
         affected_dates=sorted(_leaf_dates(written_leaves.union(stale))),
     )
 
 
+def _written_rows(lake: Lake, windows: list[BatchWindow]) -> dict[str, int]:
+    """Rows of each window as the files have them: tasks run twice do not count twice."""
+    leaves = {
+        "batch_date": {window.batch_date.isoformat() for window in windows},
+        "_batch_id": {window.batch_id for window in windows},
+    }
+    counts = lake.stored(RAW_TABLE, leaves).groupBy("_batch_id").count().collect()
+    return {row["_batch_id"]: row["count"] for row in counts}
+
+
+def _declared(rows: DataFrame, windows: Iterable[BatchWindow]) -> DataFrame:
+    """The rows; the job fails on one whose batch is not that of a declared window."""
+    batch = F.concat_ws("/", F.col("batch_date").cast("string"), "_batch_id")
+    known = batch.isin(*{f"{w.batch_date.isoformat()}/{w.batch_id}" for w in windows})
+    strange = F.concat(F.lit("rows of an undeclared window: "), batch)
+    return enforce(rows, F.when(~known, strange))
+
+
 def _leaf_dates(leaves: Iterable[str]) -> set[date]:
     """Observation dates in partition paths; unparsable periods lie in a default one."""
     texts = {leaf.rsplit("observation_date=", 1)[1] for leaf in leaves}
@@ -119,37 +129,18 @@ def build_staging(
     if batch_dates is not None:
         batches = {"batch_date": {day.isoformat() for day in batch_dates}}
         rows = lake.stored(RAW_TABLE, batches).where(F.col(DAY).isNotNull())
-        lake.replace_partitions("stg_grid_metrics", staging.canonicalise(rows))
+        lake.replace_partitions("stg_grid_metrics", staging.newest_staged(rows))
     elif dates is not None:
         days = day_leaves(dates)
-        lake.replace_partitions("stg_grid_metrics", _newest_staged(lake, days), days)
+        newest = staging.newest_staged(lake.stored(RAW_TABLE, days))
+        lake.replace_partitions("stg_grid_metrics", newest, days)
     else:
         raw = lake.stored(RAW_TABLE)
-        newest = staging.newest_batch(staging.canonicalise(raw.where(F.col(DAY).isNotNull())))
+        newest = staging.newest_staged(raw.where(F.col(DAY).isNotNull()))
         undated = staging.canonicalise(raw.where(F.col(DAY).isNull()))
         lake.replace("stg_grid_metrics", newest.unionByName(undated))
 
 
-def _newest_staged(lake: Lake, days: Leaves) -> DataFrame:
-    """Staged rows of some days, newest batch first.
-
-    A day that lies in one batch alone has nothing to choose between: its rows skip the
-    join. The partition listing tells these days apart.
-    """
-    leaves = {file.rsplit("/", 1)[0] for file in lake.files(RAW_TABLE, days)}
-    batches = Counter(leaf.rsplit("observation_date=", 1)[1] for leaf in leaves)
-    shared = {day for day, count in batches.items() if count > 1}
-
-    def staged(wanted: set[str]) -> DataFrame:
-        return staging.canonicalise(lake.stored(RAW_TABLE, {"observation_date": wanted}))
-
-    single = batches.keys() - shared
-    if not shared:
-        return staged(single)
-    newest = staging.newest_batch(staged(shared))
-    return newest.unionByName(staged(single)) if single else newest
-
-
 def build_fact(lake: Lake, dates: Iterable[date] | None = None) -> None:
     if dates is None:
         lake.replace("fct_grid_metrics", lake["stg_grid_metrics"], laid_out=True)
@@ -159,15 +150,20 @@ def build_fact(lake: Lake, dates: Iterable[date] | None = None) -> None:
         lake.replace_partitions("fct_grid_metrics", rows, days, laid_out=True)
 
 
-def merge_dimensions(lake: Lake, staged: DataFrame | None = None) -> None:
-    """Merge the dimensions from all staged rows, or from given ones.
+def merge_dimensions(lake: Lake, dates: Iterable[date] | None = None) -> None:
+    """Merge the dimensions from all staged rows of the affected days, or of all days.
 
-    Given rows must hold the newest ingestion of every region in them.
+    The region dimension keeps the times that order its names, so a merge of some days is
+    right whatever was loaded, or failed, before. A merge of all days goes by these alone.
     """
-    rows = lake["stg_grid_metrics"] if staged is None else staged
+    if dates is None:
+        rows, newest_by = lake["stg_grid_metrics"], None
+    else:
+        rows = lake.on_days("stg_grid_metrics", dates)
+        newest_by = ("_ingestion_timestamp", "observation_timestamp")
     _together(
         lake.spark,
-        lambda: lake.merge("dim_region", marts.dim_region(rows), ["region"]),
+        lambda: lake.merge("dim_region", marts.newest_names(rows), ["region"], newest_by),
         lambda: lake.merge(
             "dim_energy_source", marts.dim_energy_source(rows), ["energy_source"]
         ),
@@ -208,9 +204,7 @@ def rebuild(lake: Lake, dates: Iterable[date] | None = None) -> None:
     _build_marts(lake, dates)
 
 
-def _build_marts(
-    lake: Lake, dates: list[date] | None, newly_staged: DataFrame | None = None
-) -> None:
+def _build_marts(lake: Lake, dates: list[date] | None) -> None:
     def build_fact_and_aggregates() -> None:
         build_fact(lake, dates)
         build_aggregates(lake, dates)
@@ -218,7 +212,7 @@ def _build_marts(
     _together(
         lake.spark,
         build_fact_and_aggregates,
-        lambda: merge_dimensions(lake, newly_staged),
+        lambda: merge_dimensions(lake, dates),
     )
 
 
@@ -360,22 +354,72 @@ def run_window(
     A failed check or a stale source stops the run and is recorded as failed; a failed
     scoring only warns. The watermark moves on success alone.
     """
+    return _run(lake, raw_rows, {run_id: window}, replace, checked_at)
+
+
+def backfill(
+    lake: Lake, windows: Iterable[tuple[BatchWindow, DataFrame]], run_prefix: str = "backfill"
+) -> list[Loaded]:
+    """Run windows in order, one run each; running them again changes no data table."""
+    return [
+        run_window(lake, rows, window, _run_id(run_prefix, window)) for window, rows in windows
+    ]
+
+
+def bulk_backfill(
+    lake: Lake,
+    raw_rows: DataFrame,
+    windows: Iterable[BatchWindow],
+    run_prefix: str = "bulk",
+    *,
+    checked_at: datetime | None = None,
+) -> Loaded:
+    """Many windows at once, by the same rules as one.
+
+    One load, one rebuild of every affected day, one gate, one pass of checks and scores;
+    each window gets its ``run_metrics`` row, and the newest stands for all in the
+    freshness log, the scores and the watermark.
+    """
+    runs = {_run_id(run_prefix, w): w for w in sorted(windows, key=lambda w: (w.start, w.end))}
+    return _run(lake, raw_rows, runs, REPLACE_WINDOW, checked_at)
+
+
+def load_and_rebuild(
+    lake: Lake, raw_rows: DataFrame, windows: Iterable[BatchWindow]
+) -> Loaded:
+    """Data tables only: no checks, scores or control rows."""
+    loaded = load_raw(lake, raw_rows, windows)
+    rebuild(lake, loaded.affected_dates)
+    return loaded
+
+
+def _run_id(prefix: str, window: BatchWindow) -> str:
+    return f"{prefix}__{window.end.isoformat()}"
+
+
+def _run(
+    lake: Lake,
+    raw_rows: DataFrame,
+    runs: Mapping[str, BatchWindow],
+    replace: str,
+    checked_at: datetime | None,
+) -> Loaded:
     lake.create_missing()
     started_at = utc_now()
-    loaded = Loaded(0, None, [window.batch_date], [])
+    run_id, window = list(runs.items())[-1]
+    loaded = Loaded({}, sorted({w.batch_date for w in runs.values()}), [])
     checks: list = []
     built = False
     status = "failed"
     try:
-        newest_before = _newest_ingestion(lake)
-        loaded = load_raw(lake, raw_rows, [window], replace)
+        loaded = load_raw(lake, raw_rows, runs.values(), replace)
         gate_freshness(lake, checked_at)
         dates = loaded.affected_dates
         if replace == REPLACE_DAY:
             build_staging(lake, batch_dates=loaded.batch_dates)
         else:
             build_staging(lake, dates)
-        _build_marts(lake, dates, _newly_staged(lake, loaded, newest_before))
+        _build_marts(lake, dates)
         built = True
         checks = run_checks(lake, dates).collect()
         failed = sorted(row["check_name"] for row in checks if row["status"] == "fail")
@@ -390,46 +434,9 @@ def run_window(
         status = "success"
     finally:
         log_freshness(lake, run_id, checked_at)
-        record_run(
-            lake,
-            run_id=run_id,
-            window=window,
-            rows_loaded=loaded.rows,
-            results=result_rows(lake, checks if built else [], built),
-            status=status,
-            started_at=started_at,
+        totals = control.check_totals(result_rows(lake, checks if built else [], built)).first()
+        rows = control.run_metrics_rows(
+            lake.spark, runs, loaded.rows_by_batch, totals, started_at, status, utc_now()
         )
-    return loaded
-
-
-def _newest_ingestion(lake: Lake) -> int | None:
-    """Newest ingestion that any earlier run logged, in microseconds."""
-    logged = F.unix_micros(F.max("pipeline_freshness_timestamp"))
-    return lake["freshness_log"].agg(logged).first()[0]
-
-
-def _newly_staged(lake: Lake, loaded: Loaded, newest_before: int | None) -> DataFrame | None:
-    """Staged rows of this load if it is newer than all before, else None for all rows."""
-    if newest_before is None or loaded.first_ingested is None:
-        return None
-    if loaded.first_ingested <= newest_before:
-        return None
-    staged = lake.on_days("stg_grid_metrics", loaded.affected_dates)
-    return staged.where(F.unix_micros("_ingestion_timestamp") >= loaded.first_ingested)
-
-
-def backfill(
-    lake: Lake, windows: Iterable[tuple[BatchWindow, DataFrame]], run_prefix: str = "backfill"
-) -> list[Loaded]:
-    """Run windows in order, one run each; running them again changes no data table."""
-    return [
-        run_window(lake, rows, window, f"{run_prefix}__{window.end.isoformat()}")
-        for window, rows in windows
-    ]
-
-
-def bulk_backfill(lake: Lake, raw_rows: DataFrame, windows: Iterable[BatchWindow]) -> Loaded:
-    """Many windows at once: one load and one rebuild of every affected day."""
-    loaded = load_raw(lake, raw_rows, windows)
-    rebuild(lake, loaded.affected_dates)
+        lake.append("run_metrics", rows)
     return loaded

@@ -182,7 +182,15 @@ TABLES = {
     ),
     "stg_grid_metrics": Table("staging", METRICS, BY_DAY, ("region", "metric_name")),
     "fct_grid_metrics": Table("marts", METRICS, BY_DAY, ("region", "metric_name")),
-    "dim_region": Table("marts", DIM_REGION),
+    # The times that order names are kept, so that a merge is right in any order of loads.
+    "dim_region": Table(
+        "marts",
+        DIM_REGION,
+        layout_only=(
+            T.StructField("_ingestion_timestamp", TIMESTAMP),
+            T.StructField("observation_timestamp", TIMESTAMP),
+        ),
+    ),
     "dim_energy_source": Table("marts", DIM_ENERGY_SOURCE),
     "agg_load_hourly": Table("marts", AGG_LOAD_HOURLY, BY_DAY, ("region", "observation_timestamp")),
     "agg_load_daily": Table("marts", AGG_LOAD_DAILY, BY_DAY, ("region",)),

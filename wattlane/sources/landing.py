@@ -13,6 +13,9 @@ from wattlane.window import BatchWindow
 
 LANDING_KEYS = ("year", "month", "day", "window")
 
+# Six digits, as timestamps have: fewer would cut them.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def land(rows: DataFrame, root: str) -> None:
     """Write raw rows under ``year=/month=/day=/window=``, replacing each window it holds.
@@ -34,6 +37,7 @@ def land(rows: DataFrame, root: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", False)
+        .option("timestampFormat", TIME_FORMAT)
         .partitionBy(*LANDING_KEYS)
         .json(root)
     )
@@ -46,13 +50,25 @@ def read_landed(
 
     Malformed text or a missing required value fails the job.
     """
-    rows = spark.read.schema(RAW).option("mode", "FAILFAST").json(path)
-    if windows is not None:
-        starts = [F.lit(window.start) for window in windows]
-        rows = rows.where(F.col("window").cast("timestamp").isin(*starts))
+    reader = spark.read.schema(RAW).option("mode", "FAILFAST")
+    reader = reader.option("timestampFormat", TIME_FORMAT)
+    if windows is None:
+        rows = reader.json(path)
+    else:
+        # Named folders: nothing else of the landing zone is listed.
+        folders = sorted({window_folder(path, window) for window in windows})
+        rows = reader.option("basePath", path).json(folders)
     return enforce_required(rows.select(*RAW.fieldNames()))
 
 
+def window_folder(root: str, window: BatchWindow) -> str:
+    start = window.start
+    return (
+        f"{root.rstrip('/')}/year={start:%Y}/month={start:%m}/day={start:%d}/"
+        f"window={start:%Y-%m-%dT%H%%3A%M%%3A%S}+00%3A00"
+    )
+
+
 def enforce_required(rows: DataFrame) -> DataFrame:
     missing = missing_required(TABLES["eia_grid_batch"])
     return enforce(
