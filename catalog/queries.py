@@ -925,7 +925,7 @@ def anomalies_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         order by observation_date desc, checked_at desc, region, metric_name limit 200""",
 )
 def anomalies_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, over = serving.bounded_anomalies(built_lake(spark, sf_dir))
+    rows, over = serving.bounded_anomalies(built_lake(spark, sf_dir), max_rows=200)
     return rows.withColumn("truncated", F.lit(over))
 
 

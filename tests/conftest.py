@@ -41,7 +41,7 @@ def utc(text: str) -> datetime:
     return datetime.fromisoformat(text).replace(tzinfo=UTC)
 
 
-HOUR = "2026-03-27T00:00:00"
+HOUR = "2025-11-14T00:00:00"
 
 
 def window(start: str = HOUR, end: str | None = None) -> BatchWindow:
@@ -52,11 +52,11 @@ def window(start: str = HOUR, end: str | None = None) -> BatchWindow:
 def raw_row(batch: BatchWindow, **changes):
     """One landed demand row of a window, with any column changed."""
     row = {
-        "respondent": "MISO",
-        "respondent_name": "Midcontinent ISO",
+        "respondent": "NRTH",
+        "respondent_name": "Northern Grid",
         "type": "D",
         "type_name": "Demand",
-        "value": 1234.5,
+        "value": 871.25,
         "value_units": "megawatthours",
         "period": f"{batch.start:%Y-%m-%dT%H}",
         "fueltype": None,

@@ -21,18 +21,18 @@ from wattlane.functions.arguments import (
 from wattlane.window import BatchWindow, hourly_windows
 
 PERIODS = {
-    "2026-03-27T05": utc("2026-03-27T05:00:00"),
-    "2026-03-27": utc("2026-03-27T00:00:00"),
-    "2026-03-27T05:06:07Z": utc("2026-03-27T05:06:07"),
-    "2026-03-27T05:06:07+00:00": utc("2026-03-27T05:06:07"),
-    "2026-03-27T05:06:07.25+02:00": utc("2026-03-27T03:06:07.250"),
-    "2026-03-27T05:06:07.123456-0130": utc("2026-03-27T06:36:07.123456"),
+    "2025-11-14T05": utc("2025-11-14T05:00:00"),
+    "2025-11-14": utc("2025-11-14T00:00:00"),
+    "2025-11-14T05:06:07Z": utc("2025-11-14T05:06:07"),
+    "2025-11-14T05:06:07+00:00": utc("2025-11-14T05:06:07"),
+    "2025-11-14T05:06:07.25+02:00": utc("2025-11-14T03:06:07.250"),
+    "2025-11-14T05:06:07.123456-0130": utc("2025-11-14T06:36:07.123456"),
     # The full layout needs its offset.
-    "2026-03-27T05:06:07": None,
-    "2026-03-27T24": None,
-    "2026-03-27T": None,
-    "2026-03-27T05Z": None,
-    "2026-03-27T05 Europe/Paris": None,
+    "2025-11-14T05:06:07": None,
+    "2025-11-14T24": None,
+    "2025-11-14T": None,
+    "2025-11-14T05Z": None,
+    "2025-11-14T05 Europe/Paris": None,
     "2026-02-30T05": None,
     "T05": None,
     "2026-03T05": None,
@@ -101,33 +101,33 @@ def test_metric_names_and_sources(spark, fueltype, type_, type_name, name, sourc
 @pytest.mark.parametrize(
     ("moment", "text"),
     [
-        ("2026-03-27T05:00:00", "2026-03-27 05:00:00+00"),
-        ("2026-03-27T05:00:00.250", "2026-03-27 05:00:00.250+00"),
-        ("2026-03-27T05:00:00.000001", "2026-03-27 05:00:00.000001+00"),
+        ("2025-11-14T05:00:00", "2025-11-14 05:00:00+00"),
+        ("2025-11-14T05:00:00.250", "2025-11-14 05:00:00.250+00"),
+        ("2025-11-14T05:00:00.000001", "2025-11-14 05:00:00.000001+00"),
     ],
 )
 def test_surrogate_key_text(spark, moment, text):
     key = metrics.surrogate_key(
-        F.lit("MISO"), metrics.timestamp_text(F.lit(utc(moment))), F.lit("demand"), F.lit(None)
+        F.lit("NRTH"), metrics.timestamp_text(F.lit(utc(moment))), F.lit("demand"), F.lit(None)
     )
-    expected = hashlib.md5(f"MISO-{text}-demand-_dbt_utils_surrogate_key_null_".encode())
+    expected = hashlib.md5(f"NRTH-{text}-demand-_dbt_utils_surrogate_key_null_".encode())
     assert spark.range(1).select(key).first()[0] == expected.hexdigest()
 
 
 @pytest.mark.parametrize(
     ("moment", "freshness", "source"),
     [
-        ("2026-03-27T05:00:00", "fresh", "pass"),
-        ("2026-03-27T04:59:59.999999", "stale", "warn"),
-        ("2026-03-26T23:59:59", "stale", "warn"),
-        ("2026-03-26T23:00:00", "stale", "warn"),
-        ("2026-03-26T22:59:59.999999", "stale", "error"),
-        ("2026-03-28T00:00:00", "fresh", "pass"),
+        ("2025-11-14T05:00:00", "fresh", "pass"),
+        ("2025-11-14T04:59:59.999999", "stale", "warn"),
+        ("2025-11-13T23:59:59", "stale", "warn"),
+        ("2025-11-13T23:00:00", "stale", "warn"),
+        ("2025-11-13T22:59:59.999999", "stale", "error"),
+        ("2025-11-15T00:00:00", "fresh", "pass"),
         (None, "unknown", "error"),
     ],
 )
 def test_freshness_thresholds(spark, moment, freshness, source):
-    checked = F.lit(utc("2026-03-27T11:00:00"))
+    checked = F.lit(utc("2025-11-14T11:00:00"))
     stamp = F.lit(utc(moment)) if moment else F.lit(None).cast("timestamp")
     row = spark.range(1).select(
         status.freshness_status(stamp, checked), status.source_status(stamp, checked)
@@ -178,11 +178,11 @@ def test_share_rounds_half_up_and_survives_a_zero_total(spark):
 
 def test_utc_coercion():
     plus_two = timezone(timedelta(hours=2))
-    expected = utc("2026-03-27T00:00:00")
-    assert coerce_utc("2026-03-27T00:00:00Z") == expected
-    assert coerce_utc("2026-03-27T02:00:00+02:00") == expected
-    assert coerce_utc(datetime(2026, 3, 27)) == expected
-    assert coerce_utc(datetime(2026, 3, 27, 2, tzinfo=plus_two)) == expected
+    expected = utc("2025-11-14T00:00:00")
+    assert coerce_utc("2025-11-14T00:00:00Z") == expected
+    assert coerce_utc("2025-11-14T02:00:00+02:00") == expected
+    assert coerce_utc(datetime(2025, 11, 14)) == expected
+    assert coerce_utc(datetime(2025, 11, 14, 2, tzinfo=plus_two)) == expected
 
 
 def test_argument_checks():
@@ -198,17 +198,17 @@ def test_argument_checks():
         check_budget(501, 500, "load")
     check_budget(500, 500, "load")
     check_budget(10**9, None, "load")
-    assert closed_days(date(2026, 3, 20), date(2026, 3, 28)) == 9
+    assert closed_days(date(2025, 11, 7), date(2025, 11, 15)) == 9
 
 
 def test_windows():
-    batch = BatchWindow.of("2026-03-27T00:00:00Z", "2026-03-27T01:00:00+00:00")
-    assert batch.batch_id == "20260327T000000_20260327T010000"
-    assert batch.batch_date == date(2026, 3, 27)
+    batch = BatchWindow.of("2025-11-14T00:00:00Z", "2025-11-14T01:00:00+00:00")
+    assert batch.batch_id == "20251114T000000_20251114T010000"
+    assert batch.batch_date == date(2025, 11, 14)
     assert BatchWindow.from_batch_id(batch.batch_id) == batch
     with pytest.raises(InvalidRequest):
-        BatchWindow.of("2026-03-27", "2026-03-27")
-    hours = hourly_windows("2026-03-26T22:00:00", "2026-03-27T01:00:00")
+        BatchWindow.of("2025-11-14", "2025-11-14")
+    hours = hourly_windows("2025-11-13T22:00:00", "2025-11-14T01:00:00")
     assert [w.start.hour for w in hours] == [22, 23, 0]
     with pytest.raises(InvalidRequest):
-        hourly_windows("2026-03-26T22:30:00", "2026-03-27T01:00:00")
+        hourly_windows("2025-11-13T22:30:00", "2025-11-14T01:00:00")

@@ -17,7 +17,7 @@ from wattlane.sources.pages import read_families
 from wattlane.streaming.windows import load_arriving
 from wattlane.window import hourly_windows
 
-D = date(2026, 3, 27)
+D = date(2025, 11, 14)
 DATA_TABLES = jobs.MODELS
 
 
@@ -25,9 +25,9 @@ def hour(text):
     return hourly_windows(text, utc(text) + timedelta(hours=1))[0]
 
 
-ELEVEN = hour("2026-03-26T23:00:00")
-MIDNIGHT = hour("2026-03-27T00:00:00")
-ONE = hour("2026-03-27T01:00:00")
+ELEVEN = hour("2025-11-13T23:00:00")
+MIDNIGHT = hour("2025-11-14T00:00:00")
+ONE = hour("2025-11-14T01:00:00")
 
 
 def window_rows(batch, demand=100.0, **changes):
@@ -107,37 +107,37 @@ def test_a_run_that_replaces_its_day(lake, raw_frame):
 
 
 def test_window_over_midnight_rebuilds_both_days(lake, raw_frame):
-    rows = window_rows(ELEVEN) + window_rows(ELEVEN, period="2026-03-27T00")
+    rows = window_rows(ELEVEN) + window_rows(ELEVEN, period="2025-11-14T00")
     loaded = load(lake, raw_frame, ELEVEN, rows)
-    assert loaded.affected_dates == [date(2026, 3, 26), D]
+    assert loaded.affected_dates == [date(2025, 11, 13), D]
     for name in ("stg_grid_metrics", "fct_grid_metrics", "agg_load_daily", "agg_top_regions"):
         found = {row["observation_date"] for row in lake[name].collect()}
-        assert found == {date(2026, 3, 26), D}, name
+        assert found == {date(2025, 11, 13), D}, name
 
 
 def test_overlapping_windows_keep_the_newest_value(lake, raw_frame):
-    load(lake, raw_frame, ELEVEN, window_rows(ELEVEN, 1.0, period="2026-03-27T00"))
+    load(lake, raw_frame, ELEVEN, window_rows(ELEVEN, 1.0, period="2025-11-14T00"))
     load(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT, 2.0))
     assert rows_of(lake["agg_load_daily"], "total_load") == [(2.0,)]
 
 
 def test_late_rows_reach_their_old_day(lake, raw_frame):
     load(lake, raw_frame, MIDNIGHT)
-    late = window_rows(ONE) + [raw_row(ONE, value=7.0, period="2026-03-20T05")]
+    late = window_rows(ONE) + [raw_row(ONE, value=7.0, period="2025-11-07T05")]
     loaded = load(lake, raw_frame, ONE, late)
-    assert loaded.affected_dates == [date(2026, 3, 20), D]
+    assert loaded.affected_dates == [date(2025, 11, 7), D]
     assert rows_of(lake["agg_load_daily"], "observation_date", "total_load") == [
-        (date(2026, 3, 20), 7.0),
+        (date(2025, 11, 7), 7.0),
         (D, 200.0),
     ]
 
 
 def test_rows_lost_in_a_rerun_leave_every_table(lake, raw_frame):
-    extra = [raw_row(MIDNIGHT, value=7.0, period="2026-03-28T00")]
+    extra = [raw_row(MIDNIGHT, value=7.0, period="2025-11-15T00")]
     load(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT) + extra)
     assert lake["agg_load_daily"].count() == 2
     loaded = load(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT)[1:])
-    assert loaded.affected_dates == [D, date(2026, 3, 28)]
+    assert loaded.affected_dates == [D, date(2025, 11, 15)]
     assert lake["stg_grid_metrics"].count() == 2
     assert lake["agg_load_daily"].count() == 0
     assert lake["agg_top_regions"].count() == 0
@@ -212,12 +212,12 @@ def test_unreadable_signals_are_logged_as_unknown(lake, monkeypatch):
 def test_backfill_runs_each_window_and_again(lake, raw_frame):
     windows = [ELEVEN, MIDNIGHT, ONE]
     batches = [(w, raw_frame(window_rows(w, _ingestion_timestamp=w.end))) for w in windows]
-    recent = utc("2026-03-27T03:00:00")
+    recent = utc("2025-11-14T03:00:00")
     for window, rows in batches:
         jobs.run_window(lake, rows, window, f"backfill__{window.batch_id}", checked_at=recent)
     assert lake["run_metrics"].where("status = 'success'").count() == 3
     assert rows_of(lake["agg_load_daily"], "observation_date", "total_load") == [
-        (date(2026, 3, 26), 100.0),
+        (date(2025, 11, 13), 100.0),
         (D, 200.0),
     ]
     hourly = snapshot_of(lake)
@@ -231,8 +231,8 @@ def test_backfill_runs_each_window_and_again(lake, raw_frame):
 
 
 def test_watermark_holds_one_row(lake):
-    jobs.advance_state(lake, MIDNIGHT, "first", utc("2026-03-27T01:10:00"))
-    jobs.advance_state(lake, ONE, "second", utc("2026-03-27T02:10:00"))
+    jobs.advance_state(lake, MIDNIGHT, "first", utc("2025-11-14T01:10:00"))
+    jobs.advance_state(lake, ONE, "second", utc("2025-11-14T02:10:00"))
     assert rows_of(lake["pipeline_state"], "pipeline_name", "last_successful_run_id") == [
         ("eia_grid_batch", "second")
     ]
@@ -241,10 +241,10 @@ def test_watermark_holds_one_row(lake):
 
 def test_dimensions_update_and_insert_but_never_delete(lake, raw_frame):
     load(lake, raw_frame, MIDNIGHT)
-    renamed = window_rows(ONE, respondent_name="MISO renamed")
+    renamed = window_rows(ONE, respondent_name="NRTH renamed")
     other = [raw_row(ONE, respondent="ERCO", respondent_name="ERCOT")]
     load(lake, raw_frame, ONE, renamed + other)
-    assert rows_of(lake["dim_region"]) == [("ERCO", "ERCOT"), ("MISO", "MISO renamed")]
+    assert rows_of(lake["dim_region"]) == [("ERCO", "ERCOT"), ("NRTH", "NRTH renamed")]
     lake.merge("dim_region", lake.stored("dim_region").limit(0), ["region"])
     assert lake["dim_region"].count() == 2
 
@@ -266,7 +266,7 @@ def test_a_merge_cut_short_is_read_and_finished(lake, spark):
 def test_older_ingestion_does_not_win_back_a_name(lake, raw_frame):
     run(lake, raw_frame, ONE, window_rows(ONE, respondent_name="New"))
     run(lake, raw_frame, MIDNIGHT, window_rows(MIDNIGHT, respondent_name="Old"))
-    assert rows_of(lake["dim_region"]) == [("MISO", "New")]
+    assert rows_of(lake["dim_region"]) == [("NRTH", "New")]
 
 
 def test_sample_tables_live_apart(spark, tmp_path, raw_frame):
@@ -278,7 +278,7 @@ def test_sample_tables_live_apart(spark, tmp_path, raw_frame):
 
 
 def test_schema_drift_is_refused(lake, spark):
-    frame = spark.createDataFrame([("MISO", 1)], "region string, region_name int")
+    frame = spark.createDataFrame([("NRTH", 1)], "region string, region_name int")
     with pytest.raises(SchemaDrift):
         lake.replace("dim_region", frame)
     with pytest.raises(SchemaDrift):
@@ -298,7 +298,7 @@ def test_batch_copy_and_column_update(lake, raw_frame, spark, tmp_path):
     copy = Lake(spark, str(tmp_path / "copy"))
     lake.copy_batch(copy, D)
     assert rows_of(copy["eia_grid_batch"].select("_batch_id").distinct()) == [(ONE.batch_id,)]
-    stamp = utc("2026-03-20T00:00:00")
+    stamp = utc("2025-11-07T00:00:00")
     batch = F.col("batch_date") == F.lit(D)
     copy.set_column("eia_grid_batch", batch, "_ingestion_timestamp", F.lit(stamp))
     status = quality.source_freshness(copy["eia_grid_batch"], stamp + timedelta(hours=7)).first()
@@ -334,7 +334,7 @@ def test_bound_query_over_the_tables(lake, raw_frame):
     found = lake.sql(
         "select region, total_load from agg_load_daily where observation_date = :day", day=D
     )
-    assert rows_of(found) == [("MISO", 100.0)]
+    assert rows_of(found) == [("NRTH", 100.0)]
 
 
 def test_snapshot_differences(spark):
@@ -347,8 +347,8 @@ def test_pages_to_marts(lake, tmp_path):
     import json
 
     row = {
-        "period": "2026-03-27T00", "respondent": "MISO", "respondent-name": "Midcontinent ISO",
-        "type-name": "Demand", "value": "1234.5", "value-units": "megawatthours",
+        "period": "2025-11-14T00", "respondent": "NRTH", "respondent-name": "Northern Grid",
+        "type-name": "Demand", "value": "871.25", "value-units": "megawatthours",
     }
     for name, extra in {"region": {"type": "D"}, "fuel": {"fueltype": "NG"}}.items():
         (tmp_path / name).mkdir()
@@ -358,8 +358,8 @@ def test_pages_to_marts(lake, tmp_path):
     landing = str(tmp_path / "landing")
     landed = jobs.land_window(lake, landing, MIDNIGHT, rows, MIDNIGHT.end)
     jobs.run_window(lake, landed, MIDNIGHT, "r", checked_at=MIDNIGHT.end)
-    assert rows_of(lake["agg_load_daily"], "total_load") == [(1234.5,)]
-    assert rows_of(lake["agg_generation_mix"], "daily_total_generation") == [(1234.5,)]
+    assert rows_of(lake["agg_load_daily"], "total_load") == [(871.25,)]
+    assert rows_of(lake["agg_generation_mix"], "daily_total_generation") == [(871.25,)]
 
 
 def test_arriving_windows_are_loaded_once_and_reloaded_when_relanded(lake, raw_frame, tmp_path):

@@ -5,7 +5,9 @@ import random
 
 import pytest
 
-from wattlane.operators.latency import latency_summary
+from pyspark.sql import functions as F
+
+from wattlane.operators.latency import _bands, _counted, latency_summary, narrowed
 
 
 def interpolated(values, p):
@@ -54,3 +56,16 @@ def test_by_two_columns(spark):
     frame = spark.createDataFrame(rows, "endpoint string, status int, seconds double")
     found = latency_summary(frame, ["endpoint", "status"], "seconds").orderBy("status").collect()
     assert [(row["status"], row["p50_ms"]) for row in found] == [(1, 2000.0), (2, 5000.0)]
+
+
+def test_close_values_are_not_ordered_in_one_task(spark):
+    """A third of a group in one value, the rest unlike and within 30 ms."""
+    value = F.when(F.col("id") % 3 == 0, 0.02).otherwise(F.rand(3) * 0.03)
+    frame = spark.range(400_000).select(F.lit("a").alias("endpoint"), value.alias("seconds"))
+    counted = _counted(frame, ["endpoint"], "seconds")
+    left = narrowed(counted, _bands(counted, ["endpoint"]), ["endpoint"])
+    sizes = left.groupBy("band", "part").count().agg(F.max("count")).first()[0]
+    assert sizes < 400
+    row = latency_summary(frame, ["endpoint"], "seconds").first()
+    exact = frame.select(F.percentile("seconds", [0.5, 0.95, 0.99])).first()[0]
+    assert [row["p50_ms"], row["p95_ms"], row["p99_ms"]] == pytest.approx([x * 1000 for x in exact])

@@ -13,8 +13,8 @@ from wattlane.operators import anomalies, latency, marts, quality, staging
 from wattlane.plans import jobs, serving
 from wattlane.window import BatchWindow
 
-WINDOW = BatchWindow.of("2026-03-27T00:00:00", "2026-03-28T00:00:00")
-D = date(2026, 3, 27)
+WINDOW = BatchWindow.of("2025-11-14T00:00:00", "2025-11-15T00:00:00")
+D = date(2025, 11, 14)
 
 
 def plan_of(frame):
@@ -35,9 +35,9 @@ def filled(spark, tmp_path_factory):
 
 
 def test_reads_prune_partitions_and_push_filters(filled):
-    plan = plan_of(serving.load_metrics(filled, "MISO", D, D))
+    plan = plan_of(serving.load_metrics(filled, "NRTH", D, D))
     assert "PartitionFilters: [isnotnull(observation_date" in plan
-    assert "EqualTo(region,MISO)" in plan
+    assert "EqualTo(region,NRTH)" in plan
     plan = plan_of(serving.top_regions(filled, D, D, 5))
     assert "LessThanOrEqual(rank,5)" in plan
     days = in_dates(F.col("observation_date"), [D])

@@ -11,8 +11,8 @@ from wattlane import schemas
 from wattlane.functions.arguments import InvalidRequest
 from wattlane.plans import serving
 
-D = date(2026, 3, 28)
-CHECKED = utc("2026-03-28T10:15:00")
+D = date(2025, 11, 15)
+CHECKED = utc("2025-11-15T10:15:00")
 
 
 def anomaly(day, region, flagged, metric="demand", run="r1", checked_at=CHECKED):
@@ -22,10 +22,10 @@ def anomaly(day, region, flagged, metric="demand", run="r1", checked_at=CHECKED)
 @pytest.fixture
 def tables(spark):
     rows = {
-        "dim_region": [("CISO", "California ISO"), ("ERCO", "ERCOT"), ("MISO", "Erco")],
+        "dim_region": [("CISO", "California ISO"), ("ERCO", "ERCOT"), ("NRTH", "Erco")],
         "dim_energy_source": [("WND",), ("SUN",)],
         "agg_load_hourly": [
-            ("ERCO", "ERCOT", utc(f"2026-03-28T0{hour}:00:00"), D, load, "mwh")
+            ("ERCO", "ERCOT", utc(f"2025-11-15T0{hour}:00:00"), D, load, "mwh")
             for hour, load in enumerate([5.0, 9.0, 9.0, 1.0])
         ],
         "agg_load_daily": [
@@ -41,7 +41,7 @@ def tables(spark):
         "agg_top_regions": [
             (D - timedelta(days=n), region, region.title(), 100.0 - rank, rank)
             for n in range(3)
-            for rank, region in enumerate(["ERCO", "CISO", "MISO"], start=1)
+            for rank, region in enumerate(["ERCO", "CISO", "NRTH"], start=1)
         ],
         "pipeline_state": [("eia_grid_batch", CHECKED, CHECKED, "run-1", CHECKED)],
         "freshness_log": [
@@ -50,7 +50,7 @@ def tables(spark):
         ],
         "anomaly_results": [
             anomaly(D, "ERCO", True),
-            anomaly(D, "MISO", False),
+            anomaly(D, "NRTH", False),
             anomaly(D - timedelta(days=6), "ERCO", True),
             anomaly(D - timedelta(days=6), "CISO", True, "generation"),
             anomaly(D, "ERCO", True, run="r2", checked_at=CHECKED + timedelta(hours=1)),
@@ -131,8 +131,8 @@ def test_region_lookup_prefers_codes(tables):
     assert serving.resolve_region(tables, "california iso") == ("CISO", "California ISO")
     with pytest.raises(InvalidRequest) as unknown:
         serving.resolve_region(tables, "nowhere")
-    assert "canonical region code" in unknown.value.hint
-    assert "CISO, ERCO, MISO" in unknown.value.hint
+    assert "codes that are known" in unknown.value.hint
+    assert "CISO, ERCO, NRTH" in unknown.value.hint
 
 
 def test_region_lookup_of_many(spark, tables):
@@ -149,17 +149,20 @@ def test_region_lookup_of_many(spark, tables):
 
 
 def test_budgets(tables):
-    with pytest.raises(InvalidRequest, match="7 calendar days"):
-        serving.bounded_load(tables, "ERCO", D - timedelta(days=8), D, "hourly")
-    with pytest.raises(InvalidRequest, match="500 rows"):
-        serving.bounded_load(tables, "ERCO", D - timedelta(days=500), D)
-    with pytest.raises(InvalidRequest, match="500 rows"):
-        serving.bounded_generation_mix(tables, "ERCO", D - timedelta(days=250), D)
-    with pytest.raises(InvalidRequest, match="500 rows"):
-        serving.bounded_top_regions(tables, D - timedelta(days=89), D, 10)
-    assert serving.bounded_load(tables, "ercot", D - timedelta(days=499), D).count() == 3
-    assert serving.bounded_load(tables, "erco", D - timedelta(days=6), D, "hourly").count() == 4
-    assert serving.bounded_generation_mix(tables, "ERCO", D - timedelta(days=249), D).count() == 4
+    most = {"max_rows": 60}
+    with pytest.raises(InvalidRequest, match="more than the 3 allowed"):
+        days = D - timedelta(days=3)
+        serving.bounded_load(tables, "ERCO", days, D, "hourly", max_hourly_days=3)
+    with pytest.raises(InvalidRequest, match="more than the 60 allowed"):
+        serving.bounded_load(tables, "ERCO", D - timedelta(days=60), D, **most)
+    with pytest.raises(InvalidRequest, match="more than the 60 allowed"):
+        serving.bounded_generation_mix(tables, "ERCO", D - timedelta(days=60), D, **most)
+    with pytest.raises(InvalidRequest, match="more than the 60 allowed"):
+        serving.bounded_top_regions(tables, D - timedelta(days=12), D, 5, **most)
+    assert serving.bounded_load(tables, "ercot", D - timedelta(days=59), D, **most).count() == 3
+    assert serving.bounded_load(tables, "erco", D - timedelta(days=900), D, "hourly").count() == 4
+    mix = serving.bounded_generation_mix(tables, "ERCO", D - timedelta(days=900), D)
+    assert mix.count() == 4
 
 
 def test_latest_freshness_and_state(tables, empty):
@@ -211,8 +214,10 @@ def test_anomaly_summary(tables, empty):
 def test_truncation_of_anomalies(spark, tables):
     many = [anomaly(D - timedelta(days=n // 4), "ERCO", True) for n in range(205)]
     frame = spark.createDataFrame(many, schemas.ANOMALY_RESULTS)
-    rows, over = serving.bounded_anomalies(tables | {"anomaly_results": frame})
+    rows, over = serving.bounded_anomalies(tables | {"anomaly_results": frame}, max_rows=200)
     assert (rows.count(), over) == (200, True)
+    rows, over = serving.bounded_anomalies(tables | {"anomaly_results": frame})
+    assert (rows.count(), over) == (205, False)
     rows, over = serving.bounded_anomalies(tables, "ercot")
     assert (rows.count(), over) == (3, False)
     assert tuple(serving.flagged_count(rows).first()) == (3, 3)
@@ -229,6 +234,6 @@ def test_data_quality_status(tables, empty):
 def test_discovery(tables):
     bounds = serving.date_bounds(tables).first()
     assert (bounds["start_date"], bounds["end_date"]) == (D - timedelta(days=2), D)
-    assert [row["region"] for row in serving.regions(tables).collect()] == ["CISO", "ERCO", "MISO"]
+    assert [row["region"] for row in serving.regions(tables).collect()] == ["CISO", "ERCO", "NRTH"]
     assert rows_of(serving.energy_sources(tables)) == [("SUN",), ("WND",)]
     assert tuple(serving.latest_parameters(tables["agg_load_daily"]).first()) == ("ERCO", D)

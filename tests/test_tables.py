@@ -12,8 +12,8 @@ from wattlane.operators import anomalies, control, marts, quality, staging
 from wattlane.schemas import METRICS
 from wattlane.window import BatchWindow
 
-FIRST = BatchWindow.of("2026-03-27T00:00:00", "2026-03-27T01:00:00")
-SECOND = BatchWindow.of("2026-03-27T01:00:00", "2026-03-27T02:00:00")
+FIRST = BatchWindow.of("2025-11-14T00:00:00", "2025-11-14T01:00:00")
+SECOND = BatchWindow.of("2025-11-14T01:00:00", "2025-11-14T02:00:00")
 
 
 def staged_frame(spark, rows):
@@ -29,21 +29,21 @@ def test_unparsable_periods_stay_for_the_checks(raw_frame):
     raw = raw_frame([raw_row(FIRST), raw_row(FIRST, period="soon")])
     assert rows_of(staging.canonicalise(raw), "observation_date") == [
         (None,),
-        (date(2026, 3, 27),),
+        (date(2025, 11, 14),),
     ]
-    assert rows_of(staging.observation_dates(raw)) == [(date(2026, 3, 27),)]
+    assert rows_of(staging.observation_dates(raw)) == [(date(2025, 11, 14),)]
 
 
 def test_staged_row_is_canonical(raw_frame):
     raw = raw_frame([generation_row(FIRST, " ng ", 5.0, value_units=" MegawattHours\t")])
     row = staging.canonicalise(raw).first()
-    assert (row["region"], row["energy_source"], row["unit"]) == ("MISO", "NG", "megawatthours")
+    assert (row["region"], row["energy_source"], row["unit"]) == ("NRTH", "NG", "megawatthours")
     assert row["metric_name"] == "generation"
     assert row["observation_timestamp"].hour == 0
 
 
 def test_newest_ingestion_wins_but_its_duplicates_stay(raw_frame):
-    late = {"period": "2026-03-27T00"}
+    late = {"period": "2025-11-14T00"}
     raw = raw_frame(
         [
             raw_row(FIRST, value=1.0),
@@ -53,20 +53,20 @@ def test_newest_ingestion_wins_but_its_duplicates_stay(raw_frame):
         ]
     )
     kept = staging.newest_batch(staging.canonicalise(raw))
-    assert rows_of(kept, "region", "metric_value") == [("ERCO", 9.0), ("MISO", 2.0), ("MISO", 3.0)]
+    assert rows_of(kept, "region", "metric_value") == [("ERCO", 9.0), ("NRTH", 2.0), ("NRTH", 3.0)]
 
 
 def test_region_name_of_newest_ingestion_then_observation_then_name(spark):
-    at = "2026-03-27T00:00:00"
+    at = "2025-11-14T00:00:00"
     staged = staged_frame(
         spark,
         [
-            ("A", "old", "2026-03-27T05:00:00", "demand", 1.0, None, "mwh", at),
-            ("A", "new", "2026-03-27T01:00:00", "demand", 1.0, None, "mwh", "2026-03-27T02:00:00"),
-            ("B", "early", "2026-03-27T01:00:00", "demand", 1.0, None, "mwh", at),
-            ("B", "late", "2026-03-27T02:00:00", "demand", 1.0, None, "mwh", at),
-            ("C", "x", "2026-03-27T01:00:00", "demand", 1.0, None, "mwh", at),
-            ("C", "y", "2026-03-27T01:00:00", "demand", 1.0, None, "mwh", at),
+            ("A", "old", "2025-11-14T05:00:00", "demand", 1.0, None, "mwh", at),
+            ("A", "new", "2025-11-14T01:00:00", "demand", 1.0, None, "mwh", "2025-11-14T02:00:00"),
+            ("B", "early", "2025-11-14T01:00:00", "demand", 1.0, None, "mwh", at),
+            ("B", "late", "2025-11-14T02:00:00", "demand", 1.0, None, "mwh", at),
+            ("C", "x", "2025-11-14T01:00:00", "demand", 1.0, None, "mwh", at),
+            ("C", "y", "2025-11-14T01:00:00", "demand", 1.0, None, "mwh", at),
         ],
     )
     assert rows_of(marts.dim_region(staged)) == [("A", "new"), ("B", "late"), ("C", "y")]
@@ -74,18 +74,18 @@ def test_region_name_of_newest_ingestion_then_observation_then_name(spark):
 
 @pytest.fixture
 def day(spark):
-    at = "2026-03-28T00:00:00"
+    at = "2025-11-15T00:00:00"
     return staged_frame(
         spark,
         [
-            ("A", "Alpha", "2026-03-27T00:00:00", "demand", 10.0, None, "mwh", at),
-            ("A", "Alpha", "2026-03-27T01:00:00", "demand", 30.0, None, "gwh", at),
-            ("A", "Alpha", "2026-03-27T02:00:00", "demand", None, None, "mwh", at),
-            ("A", "Renamed", "2026-03-27T03:00:00", "demand", 40.0, None, "mwh", at),
-            ("B", "Beta", "2026-03-27T00:00:00", "demand", 40.0, None, "mwh", at),
-            ("B", "Beta", "2026-03-27T00:00:00", "generation", 7.0, "NG", "mwh", at),
-            ("B", "Beta", "2026-03-27T01:00:00", "generation", 8.0, "NG", "mwh", at),
-            ("B", "Beta", "2026-03-27T01:00:00", "generation", 5.0, None, "mwh", at),
+            ("A", "Alpha", "2025-11-14T00:00:00", "demand", 10.0, None, "mwh", at),
+            ("A", "Alpha", "2025-11-14T01:00:00", "demand", 30.0, None, "gwh", at),
+            ("A", "Alpha", "2025-11-14T02:00:00", "demand", None, None, "mwh", at),
+            ("A", "Renamed", "2025-11-14T03:00:00", "demand", 40.0, None, "mwh", at),
+            ("B", "Beta", "2025-11-14T00:00:00", "demand", 40.0, None, "mwh", at),
+            ("B", "Beta", "2025-11-14T00:00:00", "generation", 7.0, "NG", "mwh", at),
+            ("B", "Beta", "2025-11-14T01:00:00", "generation", 8.0, "NG", "mwh", at),
+            ("B", "Beta", "2025-11-14T01:00:00", "generation", 5.0, None, "mwh", at),
         ],
     )
 
@@ -103,7 +103,7 @@ def test_daily_load_splits_a_renamed_region_and_skips_nulls(day):
 
 
 def test_a_day_of_null_values_has_null_figures(spark):
-    only = ("A", "Alpha", "2026-03-27T00:00:00", "demand", None, None, "mwh", "2026-03-27T01:00:00")
+    only = ("A", "Alpha", "2025-11-14T00:00:00", "demand", None, None, "mwh", "2025-11-14T01:00:00")
     row = marts.load_daily(staged_frame(spark, [only])).first()
     assert (row["avg_load"], row["total_load"]) == (None, None)
 
@@ -251,10 +251,10 @@ def test_nothing_loaded_is_an_error(raw_frame):
 
 def test_freshness_row(spark):
     signals = spark.createDataFrame(
-        [(utc("2026-03-27T08:00:00"), utc("2026-03-27T04:30:00"))],
+        [(utc("2025-11-14T08:00:00"), utc("2025-11-14T04:30:00"))],
         "pipeline_freshness_timestamp timestamp, data_freshness_timestamp timestamp",
     )
-    row = control.freshness_row(signals, "manual", utc("2026-03-27T11:00:00")).first()
+    row = control.freshness_row(signals, "manual", utc("2025-11-14T11:00:00")).first()
     assert (row["pipeline_freshness_status"], row["data_freshness_status"]) == ("fresh", "stale")
 
 

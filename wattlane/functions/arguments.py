@@ -4,13 +4,6 @@ from __future__ import annotations
 
 from datetime import UTC, date, datetime
 
-# Row budgets of the bounded read surface.
-LOAD_MAX_ROWS = 500
-GENERATION_MIX_MAX_ROWS = 500
-TOP_REGIONS_MAX_ROWS = 500
-ANOMALIES_MAX_ROWS = 200
-HOURLY_MAX_DAYS = 7
-
 GRANULARITIES = ("hourly", "daily")
 
 
@@ -60,6 +53,6 @@ def closed_days(start: date, end: date) -> int:
 def check_budget(rows: int, max_rows: int | None, what: str) -> None:
     if max_rows is not None and rows > max_rows:
         raise InvalidRequest(
-            f"requested {what} range exceeds the budget of {max_rows} rows",
-            hint="Shorten the date range or ask for fewer rows per day.",
+            f"{what}: up to {rows} rows, more than the {max_rows} allowed",
+            hint="A shorter range of days, or fewer rows a day, will do.",
         )

@@ -13,11 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlane.functions.arguments import (
-    ANOMALIES_MAX_ROWS,
-    GENERATION_MIX_MAX_ROWS,
-    HOURLY_MAX_DAYS,
-    LOAD_MAX_ROWS,
-    TOP_REGIONS_MAX_ROWS,
     InvalidRequest,
     check_budget,
     check_dates,
@@ -223,7 +218,7 @@ def anomalies(
     )
 
 
-def truncated(rows: DataFrame, max_rows: int = ANOMALIES_MAX_ROWS) -> tuple[DataFrame, bool]:
+def truncated(rows: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     """The first rows of an ordered result and whether any were cut off."""
     over = rows.limit(max_rows + 1).count() > max_rows
     return rows.limit(max_rows), over
@@ -325,43 +320,60 @@ def resolve_region(tables: Tables, requested: str) -> tuple[str, str]:
     if not found:
         examples = [row["region"] for row in regions(tables).take(5)]
         raise InvalidRequest(
-            f"unsupported region: {requested}",
-            hint="Use a canonical region code or exact region_name. "
-            f"Examples: {', '.join(examples)}.",
+            f"no region has the code or name {requested!r}",
+            hint=f"Some codes that are known: {', '.join(examples)}.",
         )
     return found[0]["region"], found[0]["region_name"]
 
 
-# Bounded forms: region by code or name, and a row budget checked before the query
+# Bounded forms: region by code or name, and budgets that callers may set
 
 
 def bounded_load(
-    tables: Tables, region: str, start: date, end: date, granularity: str = "daily"
+    tables: Tables,
+    region: str,
+    start: date,
+    end: date,
+    granularity: str = "daily",
+    *,
+    max_rows: int | None = None,
+    max_hourly_days: int | None = None,
 ) -> DataFrame:
+    """Load of a region; refused where its range may hold more than the caller allows."""
     code, _ = resolve_region(tables, region)
     days = closed_days(start, end)
     check_granularity(granularity)
-    if granularity == "hourly" and days > HOURLY_MAX_DAYS:
+    hourly = granularity == "hourly"
+    if hourly and max_hourly_days is not None and days > max_hourly_days:
         raise InvalidRequest(
-            f"hourly load requests cannot exceed {HOURLY_MAX_DAYS} calendar days",
-            hint="Use daily granularity or shorten the date range.",
+            f"hourly values of {days} days, more than the {max_hourly_days} allowed",
+            hint="Daily values, or a shorter range of days, will do.",
         )
-    check_budget(days * (24 if granularity == "hourly" else 1), LOAD_MAX_ROWS, "load")
+    check_budget(days * (24 if hourly else 1), max_rows, "load")
     return load_metrics(tables, code, start, end, granularity)
 
 
 def bounded_generation_mix(
-    tables: Tables, region: str, start: date, end: date, *, shares: bool = True
+    tables: Tables,
+    region: str,
+    start: date,
+    end: date,
+    *,
+    shares: bool = True,
+    max_rows: int | None = None,
 ) -> DataFrame:
     code, _ = resolve_region(tables, region)
-    sources = max(tables["dim_energy_source"].count(), 1)
-    check_budget(closed_days(start, end) * sources, GENERATION_MIX_MAX_ROWS, "generation mix")
+    if max_rows is not None:
+        sources = max(tables["dim_energy_source"].count(), 1)
+        check_budget(closed_days(start, end) * sources, max_rows, "generation mix")
     return generation_mix(tables, code, start, end, shares=shares)
 
 
-def bounded_top_regions(tables: Tables, start: date, end: date, limit: int = 10) -> DataFrame:
+def bounded_top_regions(
+    tables: Tables, start: date, end: date, limit: int = 10, *, max_rows: int | None = None
+) -> DataFrame:
     check_limit(limit)
-    check_budget(closed_days(start, end) * limit, TOP_REGIONS_MAX_ROWS, "top regions")
+    check_budget(closed_days(start, end) * limit, max_rows, "top regions")
     return top_regions(tables, start, end, limit)
 
 
@@ -372,7 +384,9 @@ def bounded_anomalies(
     end: date | None = None,
     *,
     flagged_only: bool = True,
+    max_rows: int | None = None,
 ) -> tuple[DataFrame, bool]:
-    """At most 200 anomaly rows and whether more exist."""
+    """Anomaly rows, the first ``max_rows`` if it is given, and whether more exist."""
     code = resolve_region(tables, region)[0] if region is not None else None
-    return truncated(anomalies(tables, code, start, end, flagged_only=flagged_only))
+    rows = anomalies(tables, code, start, end, flagged_only=flagged_only)
+    return (rows, False) if max_rows is None else truncated(rows, max_rows)
