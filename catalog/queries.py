@@ -708,41 +708,42 @@ DIRTY = """
     union all
     select region, observation_timestamp, observation_date, metric_name, metric_value,
         energy_source, metric_surrogate_key from stg where energy_source = 'NUC'
+    union all
+    select region, null, null, null, metric_value, energy_source, null from stg
+        where region = 'R1'
 """
-_GRAIN = "region, observation_timestamp, metric_name, energy_source"
+DIRTY_TABLES = {
+    "stg_grid_metrics": DIRTY,
+    "fct_grid_metrics": DIRTY,
+    "dim_region": """select region from dim_region where region != 'R5'
+        union all select null union all select region from dim_region where region = 'R2'""",
+    "dim_energy_source": """select energy_source from dim_energy_source
+        union all select null union all select 'NG'""",
+}
+
+
+def _broken_count(check: quality.Check) -> str:
+    table, columns = DIRTY_TABLES[check.table], ", ".join(check.columns)
+    if check.kind == "not_null":
+        return f"select count(*) from ({table}) where {columns} is null"
+    if check.kind == "accepted":
+        known = ", ".join(f"'{value}'" for value in check.values)
+        return f"select count(*) from ({table}) where {columns} not in ({known})"
+    if check.kind == "unique":
+        known = f"where {columns} is not null" if len(check.columns) == 1 else ""
+        return f"""select count(*) from (
+            select {columns} from ({table}) {known} group by all having count(*) > 1)"""
+    return f"""select count(*) from ({table}) where {columns} is not null and {columns} not in (
+        select {columns} from ({DIRTY_TABLES[check.parent]}) where {columns} is not null)"""
 
 
 @register(
     "check_results_on_broken_rows",
     "check_name i:n_broken status",
-    _check_sql(
-        {check.name: "0" for check in quality.CHECKS}
-        | {
-            f"{name}.{rule}": sql
-            for name in ("stg_grid_metrics", "fct_grid_metrics")
-            for rule, sql in {
-                "not_null.region": f"select count(*) from ({DIRTY}) where region is null",
-                "not_null.metric_value": f"""select count(*) from ({DIRTY})
-                    where metric_value is null""",
-                "unique.metric_surrogate_key": f"""select count(*) from (
-                    select metric_surrogate_key from ({DIRTY}) group by 1 having count(*) > 1)""",
-            }.items()
-        }
-        | {
-            "stg_grid_metrics.accepted.metric_name": f"""select count(*) from ({DIRTY})
-                where metric_name = 'other'""",
-            "stg_grid_metrics.accepted.energy_source": f"""select count(*) from ({DIRTY})
-                where energy_source = 'COAL'""",
-            "fct_grid_metrics.unique.region-observation_timestamp-metric_name-energy_source": f"""
-                select count(*) from (
-                    select {_GRAIN} from ({DIRTY}) group by all having count(*) > 1)""",
-            "fct_grid_metrics.reference.energy_source": f"""select count(*) from ({DIRTY})
-                where energy_source = 'COAL'""",
-        }
-    ),
+    _check_sql({check.name: _broken_count(check) for check in quality.CHECKS}),
 )
 def check_results_on_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NULLs, unknown codes, repeated keys and orphans put into the staged rows."""
+    """NULLs, unknown codes, repeated keys and orphans: every check has rows to find."""
     tables = views(spark, sf_dir)
     staged = tables["stg_grid_metrics"]
     value, source = F.col("metric_value"), F.col("energy_source")
@@ -757,9 +758,34 @@ def check_results_on_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "metric_name", F.lit("other")
     )
     repeated = staged.where(source == "NUC")
-    rows = broken.unionByName(renamed).unionByName(repeated)
+    blank = staged.where(F.col("region") == "R1").withColumns(
+        {
+            name: F.lit(None).cast(staged.schema[name].dataType)
+            for name in ("observation_timestamp", "observation_date", "metric_name", quality.KEY)
+        }
+    )
+    rows = union_all([broken, renamed, repeated, blank])
+    regions, sources = tables["dim_region"], tables["dim_energy_source"]
+    nothing = spark.range(1)
     return quality.check_results(
-        tables | {"stg_grid_metrics": rows, "fct_grid_metrics": rows}
+        {
+            "stg_grid_metrics": rows,
+            "fct_grid_metrics": rows,
+            "dim_region": union_all(
+                [
+                    regions.select("region").where("region != 'R5'"),
+                    nothing.select(F.lit(None).cast("string").alias("region")),
+                    regions.select("region").where("region = 'R2'"),
+                ]
+            ),
+            "dim_energy_source": union_all(
+                [
+                    sources,
+                    nothing.select(F.lit(None).cast("string").alias("energy_source")),
+                    nothing.select(F.lit("NG").alias("energy_source")),
+                ]
+            ),
+        }
     )
 
 
