@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 from datetime import UTC, date, datetime, timedelta
 from uuid import uuid4
 
@@ -18,6 +19,7 @@ from wattlane.sources.events import grid_rows
 from wattlane.window import daily_window
 
 _LAKES: dict[tuple[str, str], Lake] = {}
+_SCRATCH: list[tuple[SparkSession, str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +53,22 @@ def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def fresh_lake(spark: SparkSession, name: str = "lake") -> Lake:
-    return Lake(spark, f"{shared_folder(spark)}/{name}-{uuid4().hex}")
+    """A lake of its own folder, which goes when the process that asked for it ends."""
+    root = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_clear_scratch)
+    _SCRATCH.append((spark, root))
+    return Lake(spark, root)
+
+
+def _clear_scratch() -> None:
+    for spark, root in _SCRATCH:
+        try:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+            files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+            files.delete(folder, True)
+        except Exception:  # the session is gone already
+            return
 
 
 def batch_days(raw: DataFrame) -> list[date]:

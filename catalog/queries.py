@@ -66,10 +66,17 @@ CHECKS_SQL = """
 # Sources and sinks
 
 
+_PAGES: dict[tuple[str, str], str] = {}
+
+
 def _paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows written as page files of both families and read back."""
-    folder = fresh_lake(spark, "pages").root
-    as_pages(raw_rows(spark, sf_dir)).write.partitionBy("row_kind").json(folder)
+    """The rows written as page files of both families, once a session, and read back."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PAGES:
+        folder = fresh_lake(spark, "pages").root
+        as_pages(raw_rows(spark, sf_dir)).write.partitionBy("row_kind").json(folder)
+        _PAGES[key] = folder
+    folder = _PAGES[key]
     return pages.read_families(
         spark,
         f"{folder}/row_kind={pages.REGION_ROWS}",
