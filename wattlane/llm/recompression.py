@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlane.llm.common import kept_aside, same_document, texts_of
+from wattlane.llm.common import kept_aside, texts_of
 from wattlane.llm.textarrays import BASE, ODD, RangeHashes, blocks, mixed
 
 WINDOW = 50
@@ -155,13 +155,31 @@ def stretches(names: np.ndarray, bounds: np.ndarray, width: int = WINDOW, rounds
     return text, key, cls, low - shift, high - shift
 
 
+def _together(text, key, cls, low, high):
+    """Equal stretches of one text as one row with all their first starts: words that
+    repeat in a period have as many of them as words."""
+    span = high - low
+    order = np.lexsort((low, span, cls, key, text))
+    text, key, cls, span, low = (x[order] for x in (text, key, cls, span, low))
+    new = np.ones(len(order), bool)
+    new[1:] = (
+        (text[1:] != text[:-1]) | (key[1:] != key[:-1])
+        | (cls[1:] != cls[:-1]) | (span[1:] != span[:-1])
+    )
+    first = np.flatnonzero(new)
+    ends = pa.array(np.concatenate([first, [len(order)]]), pa.int32())
+    lows = pa.ListArray.from_arrays(ends, pa.array(low.astype(np.int32)))
+    return text[first], key[first], cls[first], span[first], lows
+
+
 def _filed(width: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, block in blocks(batch["text"]):
                 starts, ends, bounds = block.words()
                 names = block.word_hashes(starts, ends)
-                text, key, cls, low, high = stretches(names, bounds, width, rounds)
+                found = stretches(names, bounds, width, rounds)
+                text, key, cls, span, lows = _together(*found)
                 rows = pa.array(at + text)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -169,10 +187,10 @@ def _filed(width: int, rounds: int):
                         batch["text_key"].take(rows),
                         pa.array(key.view(np.int64)),
                         pa.array(cls.view(np.int64)),
-                        pa.array(low.astype(np.int32)),
-                        pa.array(high.astype(np.int32)),
+                        lows,
+                        pa.array(span.astype(np.int32)),
                     ],
-                    names=["doc_id", "text_key", "key", "cls", "low", "high"],
+                    names=["doc_id", "text_key", "key", "cls", "lows", "span"],
                 )
 
     return run
@@ -191,9 +209,9 @@ def _spelled(width: int):
                 first, text = [], []
                 for k in range(block.n):
                     for part in parts[at + k]:
-                        here = np.arange(part["low"], part["high"] + 1)
-                        first.append(here)
-                        text.append(np.full(len(here), k))
+                        here = np.array(part["lows"])[:, None] + np.arange(part["span"] + 1)
+                        first.append(here.ravel())
+                        text.append(np.full(here.size, k))
                 if not first:
                     continue
                 start, text = np.concatenate(first), np.concatenate(text)
@@ -213,14 +231,34 @@ def _spelled(width: int):
     return run
 
 
+def _beside_texts(texts: DataFrame, parts: DataFrame, how: str) -> DataFrame:
+    """Texts with the ``parts`` of their documents.
+
+    Both joins with texts go by the same columns, never null, of the same rows, so that
+    Spark shuffles the texts once and reads that shuffle again.
+    """
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.withColumns(
+            {
+                "id_text": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                "id_null": F.col("doc_id").isNull(),
+            }
+        )
+
+    keys = ["id_text", "id_null", "text_key"]
+    return named(texts).join(named(parts).drop("doc_id"), keys, how)
+
+
 def repeated_windows(texts: DataFrame, *, width: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """``doc_id``, ``text_key``, ``low``, ``high``: first and last start of windows whose words
-    also start in a document of a smaller id. ``texts`` is ``texts_of`` some documents."""
+    """``doc_id``, ``text_key``, ``lows``, ``span``: windows whose words also start in a document
+    of a smaller id, ``span`` + 1 of them from each of ``lows``. ``texts`` is ``texts_of``
+    some documents."""
     kind = texts.schema["doc_id"].dataType.simpleString()
     place = f"doc_id {kind}, text_key bigint"
     told = texts.where(F.col("doc_id").isNotNull())
     filed = told.select("doc_id", "text_key", "text").mapInArrow(
-        _filed(width, rounds), f"{place}, key bigint, cls bigint, low int, high int"
+        _filed(width, rounds), f"{place}, key bigint, cls bigint, lows array<int>, span int"
     )
     shared_keys = (
         filed.groupBy("key")
@@ -233,7 +271,7 @@ def repeated_windows(texts: DataFrame, *, width: int = WINDOW, rounds: int = ROU
         .drop("last")
     )
     shared = kept_aside(filed.join(shared_keys, "key"))
-    span = ["doc_id", "text_key", "low", "high"]
+    span = ["doc_id", "text_key", "lows", "span"]
     covered = shared.where(~F.col("unlike") & (F.col("doc_id") > F.col("first"))).select(*span)
 
     unlike = shared.where("unlike").drop("first", "unlike")
@@ -244,10 +282,10 @@ def repeated_windows(texts: DataFrame, *, width: int = WINDOW, rounds: int = ROU
     asked = (
         classed.where(F.col("doc_id") == F.col("first"))
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("low", "high")).alias("parts"))
+        .agg(F.collect_list(F.struct("lows", "span")).alias("parts"))
     )
-    spelled = kept_aside(
-        told.join(asked, ["doc_id", "text_key"])
+    spelled = (
+        _beside_texts(texts, asked, "inner")
         .select("doc_id", "text_key", "text", "parts")
         .mapInArrow(_spelled(width), f"{place}, low int, a bigint, b bigint")
     )
@@ -256,7 +294,9 @@ def repeated_windows(texts: DataFrame, *, width: int = WINDOW, rounds: int = ROU
     )
     least = least.where(F.col("first") < F.col("last")).drop("last")
     found = spelled.join(least, ["a", "b"]).where(F.col("doc_id") > F.col("first"))
-    return covered.unionByName(found.select("doc_id", "text_key", "low", F.col("low").alias("high")))
+    return covered.unionByName(
+        found.select("doc_id", "text_key", F.array("low").alias("lows"), F.lit(0).alias("span"))
+    )
 
 
 def _left_over(width: int):
@@ -268,8 +308,9 @@ def _left_over(width: int):
                 words = text.encode().split()  # bytes: ASCII white space alone
                 gone = np.zeros(len(words) + 1, np.int64)
                 for span in spans or ():
-                    gone[span["low"]] += 1
-                    gone[span["high"] + width] -= 1
+                    lows = np.array(span["lows"])
+                    np.add.at(gone, lows, 1)
+                    np.add.at(gone, lows + (span["span"] + width), -1)
                 left = np.cumsum(gone[:-1]) == 0
                 n_words.append(len(words))
                 n_removed.append(int(len(words) - left.sum()))
@@ -303,12 +344,12 @@ def dedup_substrings(
     gone = (
         repeated_windows(texts, width=width, rounds=rounds)
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("low", "high")).alias("parts"))
+        .agg(F.collect_list(F.struct("lows", "span")).alias("parts"))
     )
     kind = texts.schema["doc_id"].dataType.simpleString()
     return (
-        texts.join(gone, same_document(texts, gone), "left")
-        .select(texts["doc_id"], texts["text_key"], "text", "parts")
+        _beside_texts(texts, gone, "left")
+        .select("doc_id", "text_key", "text", "parts")
         .mapInArrow(
             _left_over(width),
             f"doc_id {kind}, text_key bigint, n_words bigint, n_removed bigint, kept_text string",
