@@ -14,8 +14,9 @@ over what stands left of the anchor: an interval of common left parts whose memb
 all be extended by one more byte on either side is a maximal repeat, and all its members
 are occurrences, not just neighbours. Repeats of a window's length and more cover bytes.
 
-A gram with more than ``IN_ONE_TASK`` classes does not go to one task: its windows are
-hashed one by one and counted in a grouping that combines before its shuffle.
+A gram with more than ``IN_ONE_TASK`` classes does not go to one task. It is split first by
+more of the bytes that equal windows share, in rounds of groupings that combine before
+their shuffle, until every group fits a task or its windows are equal as they are.
 
 Defined cases: a null text is empty; matches never cross documents; every row is a
 document, so rows repeated as they are repeat each other; a text repeats itself where its
@@ -140,7 +141,7 @@ def _spelled(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple] = set()  # of rows repeated as they are, one is enough
         for batch in batches:
-            ids, keys, left, right, rows = [], [], [], [], []
+            anchors, crowded, keys, left, right, rows = [], [], [], [], [], []
             columns = [batch[n].to_pylist() for n in ("doc_id", "text_key", "text", "parts")]
             for row, (doc_id, text_key, text, parts) in enumerate(zip(*columns, strict=True)):
                 if (doc_id, text_key) in seen:
@@ -150,7 +151,8 @@ def _spelled(width: int):
                 for part in parts:
                     low, high, anchor = part["low"], part["high"], part["anchor"]
                     rows.append(row)
-                    ids.append((part["cls"], anchor))
+                    anchors.append(anchor)
+                    crowded.append(part["crowded"])
                     keys.append(part["key"])
                     left.append(raw[low:anchor][::-1])
                     right.append(raw[anchor : high + width])
@@ -160,12 +162,12 @@ def _spelled(width: int):
                     batch["doc_id"].take(at),
                     batch["text_key"].take(at),
                     pa.array(keys, pa.int64()),
-                    pa.array([c for c, _ in ids], pa.int64()),
-                    pa.array([a for _, a in ids], pa.int32()),
+                    pa.array(crowded, pa.bool_()),
+                    pa.array(anchors, pa.int32()),
                     pa.array(left, pa.binary()),
                     pa.array(right, pa.binary()),
                 ],
-                names=["doc_id", "text_key", "key", "cls", "anchor", "left", "right"],
+                names=["doc_id", "text_key", "key", "crowded", "anchor", "left", "right"],
             )
 
     return run
@@ -224,17 +226,34 @@ def maximal_repeats(
             yield reach, depth, group
 
 
-def _repeats(width: int):
-    """Occurrences of repeats; stretches come sorted by key and right part."""
+def _repeats(width: int, merged: bool):
+    """Occurrences of repeats, or what they cover of each stretch, merged; stretches come
+    sorted by key and right part."""
 
     def settle(group: list[tuple]) -> Iterator[tuple]:
         if len(group) < 2:
             return
-        left, right = [g[5] for g in group], [g[6] for g in group]
+        left, right = [g[4] for g in group], [g[5] for g in group]
+        covers: list[list[tuple[int, int]]] = [[] for _ in group]
         for number, (reach, depth, members) in enumerate(maximal_repeats(left, right, width)):
             for m in members:
-                doc_id, text_key, key, _, anchor, _, _ = group[m]
-                yield doc_id, text_key, key, number, anchor - reach, anchor + depth - width
+                doc_id, text_key, key, anchor, _, _ = group[m]
+                low, high = anchor - reach, anchor + depth - width
+                if merged:
+                    covers[m].append((low, high))
+                else:
+                    yield doc_id, text_key, key, number, low, high
+        for (doc_id, text_key, key, *_), spans in zip(group, covers, strict=True):
+            end = None
+            for low, high in sorted(spans):
+                if end is not None and low <= end + 1:
+                    end = max(end, high)
+                    continue
+                if end is not None:
+                    yield doc_id, text_key, key, None, begin, end
+                begin, end = low, high
+            if end is not None:
+                yield doc_id, text_key, key, None, begin, end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -242,7 +261,7 @@ def _repeats(width: int):
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             out: list[tuple] = []
-            for row in zip(*(batch[i].to_pylist() for i in range(7)), strict=True):
+            for row in zip(*(batch[i].to_pylist() for i in range(6)), strict=True):
                 if held and held[0][2] != row[2]:
                     out.extend(settle(held))
                     held = []
@@ -263,40 +282,67 @@ def _occurrence_batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     )
 
 
-def _windows(width: int):
-    """Hash of every window of stretches with too many classes for one task."""
+def _split(nodes: DataFrame, width: int) -> DataFrame:
+    """Halves of each node's reaches, for stretches that have windows in them.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch["left"].to_pylist(), batch["right"].to_pylist()
-            texts = [x[::-1] + y for x, y in zip(left, right, strict=True)]
-            if not texts:
-                continue
-            raw = np.frombuffer(b"".join(texts), np.uint8)
-            bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-            one, two = _hashers(Block(raw, bounds))
-            count = np.diff(bounds) - width + 1
-            row = np.repeat(np.arange(len(texts)), count)
-            start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            begin = start + bounds[row]
-            low = batch["anchor"].to_numpy()[row] - np.array([len(x) for x in left])[row] + start
-            at = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"].take(at),
-                    batch["text_key"].take(at),
-                    pa.array(low.astype(np.int32)),
-                    pa.array(one(begin, begin + width).view(np.int64)),
-                    pa.array(two(begin, begin + width).view(np.int64)),
-                ],
-                names=["doc_id", "text_key", "low", "a", "b"],
-            )
+    A node stands for the windows that begin ``p`` to ``q`` bytes before the anchor. All of
+    them hold the ``p`` bytes left of it and ``width - q`` from it on: the node's core.
+    """
+    halves = F.expr(
+        "array(named_struct('p', p, 'q', (p + q) div 2), "
+        "named_struct('p', (p + q) div 2 + 1, 'q', q))"
+    )
+    return (
+        nodes.withColumn("half", F.explode(halves))
+        .withColumns({"p": F.col("half.p").cast("int"), "q": F.col("half.q").cast("int")})
+        .drop("half")
+        .where(F.expr(f"length(left) >= p and length(right) >= {width} - q"))
+        .withColumn(
+            "core", F.expr(f"md5(concat(substring(left, 1, p), substring(right, 1, {width} - q)))")
+        )
+    )
 
-    return run
+
+def _uncrowded(crowded: DataFrame, width: int, gram: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """Crowded grams split by more and more of the bytes that equal windows share.
+
+    Returns stretches in groups of ``most`` at most (``key`` names the group), and windows
+    that occur twice as they are. The reaches of a gram's windows are halved, round by round;
+    in each half only stretches whose core others have go on, and groups that still are too
+    large are halved again, down to single windows. Nothing is left out on the way.
+    """
+    columns = crowded.columns
+    nodes = crowded.withColumns(
+        {"p": F.lit(0), "q": F.lit(width - gram)}
+    )
+    fitting = crowded.limit(0)
+    equal = crowded.limit(0).select("doc_id", "text_key", "key", F.lit(0).alias("low"))
+    while not nodes.isEmpty():
+        halves = _split(nodes, width)
+        group = ["key", "p", "q", "core"]
+        sizes = halves.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+        halves = kept_aside(halves.join(sizes, group))
+        single, fits = F.col("p") == F.col("q"), F.col("n") <= most
+        name = F.xxhash64(*group)
+        equal = equal.unionByName(
+            halves.where(single).select(
+                "doc_id", "text_key", name.alias("key"), (F.col("anchor") - F.col("p")).alias("low")
+            )
+        )
+        fitting = fitting.unionByName(
+            halves.where(~single & fits).withColumn("key", name).select(*columns)
+        )
+        nodes = halves.where(~single & ~fits).drop("n", "core")
+    return fitting, equal
 
 
 def repeat_groups(
-    texts: DataFrame, *, width: int = WINDOW, gram: int = GRAM, in_one_task: int = IN_ONE_TASK
+    texts: DataFrame,
+    *,
+    width: int = WINDOW,
+    gram: int = GRAM,
+    in_one_task: int = IN_ONE_TASK,
+    merged: bool = False,
 ) -> DataFrame:
     """Occurrences of repeats in ``texts`` (``texts_of`` some documents): ``doc_id``,
     ``text_key``, ``key`` and ``number`` of the repeat, and ``low`` and ``high``, first and
@@ -304,6 +350,8 @@ def repeat_groups(
 
     A repeat that runs on over several stretches is reported in each; a class with several
     members is a repeat of its own (number null) and has one member in those of its key.
+    ``merged`` gives what the repeats of a stretch cover, in place of each occurrence: nested
+    repeats have many, a stretch is covered but once.
     """
     kind = texts.schema["doc_id"].dataType.simpleString()
     place = f"doc_id {kind}, text_key bigint"
@@ -335,44 +383,38 @@ def repeat_groups(
     several = classes.where(F.col("n") > 1).select("key", "cls")
     found = found.unionByName(unlike.join(several, ["key", "cls"]).select(*span))
 
+    sizes = classes.groupBy("key").agg((F.count("*") > in_one_task).alias("crowded"))
     asked = (
-        classes.select("key", "cls", "member.*")
+        classes.join(sizes, "key")
+        .select("key", "cls", "crowded", "member.*")
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("key", "cls", "low", "high", "anchor")).alias("parts"))
+        .agg(
+            F.collect_list(
+                F.struct("key", "cls", "crowded", "low", "high", "anchor")
+            ).alias("parts")
+        )
     )
-    spelled = (
+    spelled = kept_aside(
         texts.join(asked, same_document(texts, asked))
         .select(texts["doc_id"], texts["text_key"], "text", "parts")
         .mapInArrow(
             _spelled(width),
-            f"{place}, key bigint, cls bigint, anchor int, left binary, right binary",
+            f"{place}, key bigint, crowded boolean, anchor int, left binary, right binary",
         )
     )
-    crowded = (
-        classes.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > in_one_task)
-    ).select(F.col("key").alias("crowded"))
-    spelled = kept_aside(
-        spelled.join(crowded, F.col("key") == F.col("crowded"), "left").withColumn(
-            "crowded", F.col("crowded").isNotNull()
-        )
+    fitting, equal = _uncrowded(
+        spelled.where("crowded").drop("crowded"), width, gram, in_one_task
     )
     repeats = (
         spelled.where(~F.col("crowded"))
         .drop("crowded")
+        .unionByName(fitting)
         .repartition("key")
         .sortWithinPartitions("key", "right")
-        .mapInArrow(_repeats(width), f"{place}, key bigint, number int, low int, high int")
-    )
-    windows = (
-        spelled.where("crowded")
-        .drop("crowded")
-        .mapInArrow(_windows(width), f"{place}, low int, a bigint, b bigint")
-    )
-    twice = windows.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
-    crowds = windows.join(twice, ["a", "b"]).select(
-        "doc_id", "text_key", F.col("a").alias("key"), number, "low", F.col("low").alias("high")
+        .mapInArrow(_repeats(width, merged), f"{place}, key bigint, number int, low int, high int")
     )
-    return found.unionByName(repeats).unionByName(crowds)
+    equal = equal.select("doc_id", "text_key", "key", number, "low", F.col("low").alias("high"))
+    return found.unionByName(repeats).unionByName(equal)
 
 
 def _left_over(width: int):
@@ -426,7 +468,7 @@ def dedup_substrings(
     ``kept_bytes`` (removal may cut a character, so these are bytes, not text)."""
     texts = texts_of(docs, id_col, text_col)
     gone = (
-        repeat_groups(texts, width=width, gram=gram, in_one_task=in_one_task)
+        repeat_groups(texts, width=width, gram=gram, in_one_task=in_one_task, merged=True)
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set(F.struct("low", "high")).alias("parts"))
     )
