@@ -249,7 +249,7 @@ def fitted(
     return fit([lists[i] for i in order], grades[order], totals)
 
 
-def _scored(model: OrdinalModel | None, least_tail: float):
+def _scored(model: OrdinalModel | None, least_tail: float, dropped: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, block in blocks(batch["text"]):
@@ -262,7 +262,7 @@ def _scored(model: OrdinalModel | None, least_tail: float):
                     grade = pa.array(model.grades[0] + (above * steps).sum(axis=1))
                     tail = pa.array(above[:, -1])
                     keep = pa.array(above[:, -1] >= least_tail)
-                kept = [name for name in batch.schema.names if name != "text"]
+                kept = [name for name in batch.schema.names if name != dropped]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch[name].slice(at, block.n) for name in kept), grade, tail, keep],
                     names=[*kept, "expected_grade", "tail_probability", "kept"],
@@ -271,14 +271,21 @@ def _scored(model: OrdinalModel | None, least_tail: float):
     return run
 
 
-def graded(texts: DataFrame, model: OrdinalModel | None, least_tail: float = LEAST_TAIL) -> DataFrame:
-    """``text`` replaced by ``expected_grade``, ``tail_probability`` and ``kept``; other
-    columns of ``texts`` stay. No shuffle."""
+def graded(
+    texts: DataFrame,
+    model: OrdinalModel | None,
+    least_tail: float = LEAST_TAIL,
+    *,
+    keep_text: bool = False,
+) -> DataFrame:
+    """``text`` replaced by (or kept beside) ``expected_grade``, ``tail_probability`` and
+    ``kept``; other columns of ``texts`` stay. No shuffle."""
+    dropped = "" if keep_text else "text"
     fields = [
-        f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields if f.name != "text"
+        f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields if f.name != dropped
     ]
     fields += ["expected_grade double", "tail_probability double", "kept boolean"]
-    return texts.mapInArrow(_scored(model, least_tail), ", ".join(fields))
+    return texts.mapInArrow(_scored(model, least_tail, dropped), ", ".join(fields))
 
 
 def grade_of(quality: Column, toxic: Column) -> Column:

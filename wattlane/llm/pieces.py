@@ -26,6 +26,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -34,8 +35,11 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 
 #: Chunks and pairs that a worker remembers before it starts anew: bounds its memory.
-REMEMBERED_CHUNKS = 400_000
-REMEMBERED_PAIRS = 1_500_000
+REMEMBERED_CHUNKS = 200_000
+REMEMBERED_PAIRS = 400_000
+
+#: Rows that leave a worker together: token ids take several times the room of the texts.
+SENT_ROWS = 500
 
 #: The text on its way to the encoder; a column kept beside it may be named as it likes.
 _WHOLE = "__whole_text"
@@ -268,7 +272,7 @@ def codec(model_path: str) -> PieceCodec:
 def _encoded(model_path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(model_path)
-        for batch in batches:
+        for batch in (b.slice(at, SENT_ROWS) for b in batches for at in range(0, len(b), SENT_ROWS)):
             counts, id_hashes, text_hashes, ids = [], [], [], []
             for text in batch[_WHOLE]:
                 written = tool.encode_text(text.as_py())
@@ -276,14 +280,15 @@ def _encoded(model_path: str, with_ids: bool):
                 id_hashes.append(hashlib.sha256(written.encode()).hexdigest())
                 text_hashes.append(hashlib.sha256(tool.decode_text(written).encode()).hexdigest())
                 if with_ids:
-                    ids.append([int(i) for i in written.split(" ")])
+                    ids.append(np.array(written.split(" "), np.int32))
             columns = {
                 "n_tokens": pa.array(counts, pa.int64()),
                 "ids_sha256": pa.array(id_hashes, pa.string()),
                 "decoded_sha256": pa.array(text_hashes, pa.string()),
             }
             if with_ids:
-                columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(ends, np.concatenate(ids))
             kept = [n for n in batch.schema.names if n != _WHOLE]
             yield pa.RecordBatch.from_arrays(
                 [batch[n] for n in kept] + list(columns.values()), names=[*kept, *columns]

@@ -30,11 +30,11 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "doc_id", ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade")
     )
     model = ordinal.fitted(docs, ratings)
-    rows = docs.select(
-        F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    )
-    return ordinal.graded(rows, model).where("kept").select("doc.*")
+    # The text goes through Python once, apart from the other columns.
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*rest).alias("rest"), "text")
+    found = ordinal.graded(rows, model, keep_text=True).where("kept")
+    return found.select(*("text" if c == "text" else f"rest.`{c}`" for c in docs.columns))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

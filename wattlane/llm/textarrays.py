@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text looked at together; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 _RNG = np.random.default_rng(20240229)
 BYTE_NUMBERS = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
