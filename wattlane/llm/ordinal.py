@@ -159,6 +159,8 @@ def fit(
         seen = np.bincount(place, weights=(rank == grade)[owner], minlength=len(hashes))
         spread = np.sqrt(np.maximum(size[grade] * chance * (1 - chance), 1e-9))
         telling = np.maximum(telling, np.abs(seen - size[grade] * chance) / spread)
+    # A feature of few texts cannot be many deviations off: small samples ask for fewer.
+    least_z = min(least_z, 0.35 * np.sqrt(len(rows)))
     often = (counts >= least_texts) & (telling >= least_z)
     renumbered = np.cumsum(often) - 1
     kept = often[place]
