@@ -123,11 +123,11 @@ def test_overlapping_windows_keep_the_newest_value(lake, raw_frame):
 
 def test_late_rows_reach_their_old_day(lake, raw_frame):
     load(lake, raw_frame, MIDNIGHT)
-    late = window_rows(ONE) + [raw_row(ONE, value=7.0, period="2025-11-07T05")]
+    late = window_rows(ONE) + [raw_row(ONE, value=7.0, period="2025-11-10T05")]
     loaded = load(lake, raw_frame, ONE, late)
-    assert loaded.affected_dates == [date(2025, 11, 7), D]
+    assert loaded.affected_dates == [date(2025, 11, 10), D]
     assert rows_of(lake["agg_load_daily"], "observation_date", "total_load") == [
-        (date(2025, 11, 7), 7.0),
+        (date(2025, 11, 10), 7.0),
         (D, 200.0),
     ]
 
