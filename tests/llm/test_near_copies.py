@@ -1,0 +1,98 @@
+"""Near copies by five-word similarity, against all pairs compared."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wattlane.llm import golay_simhash, near_copies, stages
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    if len(words) < 5:
+        return frozenset([b" ".join(words)] if words else [])
+    return frozenset(map(b" ".join, zip(*(words[k:] for k in range(5)), strict=False)))
+
+
+def brute(texts, least=0.8):
+    """For each text the first one of its group."""
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(sets)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for j, b in enumerate(sets):
+        for i, a in enumerate(sets[:j]):
+            if a == b or len(a & b) >= least * len(a | b):
+                x, y = top(i), top(j)
+                root[max(x, y)] = min(x, y)
+    return [top(i) for i in range(len(sets))]
+
+
+def family(rng, n, changes, words=150):
+    """A text, and copies of it with some words changed."""
+    base = [f"w{k}" for k in rng.integers(0, 20_000, words)]
+    texts = [" ".join(base)]
+    for _ in range(n - 1):
+        copy = list(base)
+        for at in rng.choice(words, int(rng.integers(1, changes + 1)), replace=False):
+            copy[at] = f"other{rng.integers(0, 10**6)}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+def groups(rows, column):
+    found = defaultdict(set)
+    for r in rows:
+        found[r[column]].add(r["doc_id"])
+    return sorted(map(sorted, found.values()))
+
+
+def expected(texts):
+    found = defaultdict(list)
+    for n, root in enumerate(brute(texts)):
+        found[root].append(n)
+    return sorted(found.values())
+
+
+def frame_of(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+
+
+def test_groups_are_those_of_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    texts = [t for _ in range(60) for t in family(rng, 5, 6)]
+    texts += ["", None, " \n", "one two", "ONE two", "one two three", texts[3].upper(), texts[3]]
+    docs = frame_of(spark, texts)
+    assert groups(near_copies.near_copies(docs).collect(), "root") == expected(texts)
+    # The query's rule, three bits of a three-word print, links few of these.
+    assert len(groups(golay_simhash.near_dedup(docs).collect(), "component_id")) > len(expected(texts))
+    kept = {r.doc_id for r in stages.dedup_near(spark, docs, "").collect()}
+    assert kept == {g[0] for g in expected(texts)}
+
+
+@pytest.mark.parametrize("changes", [3, 9])
+def test_large_group_is_compared_in_blocks(spark, changes):
+    # With nine changes most copies are unlike one another, linked by the first text alone.
+    texts = family(np.random.default_rng(changes), 3 * near_copies.BLOCK_SETS, changes)
+    found = near_copies.near_copies(frame_of(spark, texts)).collect()
+    assert groups(found, "root") == expected(texts)
+
+
+def test_crowded_bucket_is_split(spark):
+    n = near_copies.CROWDED + 500
+    words = " ".join(f"w{k}" for k in range(400))
+    texts = [f"{words} {k}" for k in range(n)]
+    found = near_copies.near_copies(frame_of(spark, texts))
+    assert found.agg(F.count_distinct("root"), F.count("*")).first() == (1, n)
+
+
+def test_nothing(spark, nothing):
+    assert near_copies.near_copies(nothing).count() == 0

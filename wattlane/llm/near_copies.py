@@ -1,0 +1,380 @@
+"""Groups of near copies: wide SimHash prints meet on Golay codes, similarity is verified.
+
+Two texts are near copies where the Jaccard similarity of their sets of lower-cased
+``SHINGLE_WORDS``-word shingles is at least ``LEAST_SIMILARITY``. At that similarity a
+SimHash print differs in some 15 % of its bits, too many for the few segments of
+``golay_simhash``. So a print here has ``PRINT_WORDS`` words of 64 bits, cut into
+``SEGMENTS`` segments of 23, each named by its Golay code; texts meet wherever the codes of
+one segment agree, which two sets at the least similarity miss in about 0.2 % of cases.
+Every unlike set is filed under all its segments.
+
+What meets is narrowed, then verified. A bucket leaves a forest of its sets that differ in
+at most ``MOST_MARK_BITS`` of their first 256 bits, and these links join sets to loose
+groups. In a loose group shingle sets are compared themselves, block against block: each
+block with itself and the first one, and, where that has left parts, all blocks. So only
+the meeting is a matter of chance; nothing that is not similar enough is ever linked.
+
+Defined cases: a null text is empty; texts without words are copies of one another and of
+nothing else; fewer words than a shingle make one shingle; rows of equal sets are copies;
+an empty table gives an empty table; other columns are not read. No bucket is capped: one
+of more than ``CROWDED`` entries is compared in blocks, by several tasks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from wattlane.llm.common import kept_aside, same_document, texts_of
+from wattlane.llm.components import components
+from wattlane.llm.golay_simhash import codes
+from wattlane.llm.textarrays import Block, blocks, mixed
+
+SHINGLE_WORDS = 5
+LEAST_SIMILARITY = 0.8
+
+PRINT_WORDS = 18
+SEGMENTS = 48
+#: Similar sets differ in about 38 of 256 bits, give or take 6, others in 128, give or take 8.
+MARK_WORDS = 4
+MOST_MARK_BITS = 64
+CROWDED = 2048
+BLOCK_SETS = 128
+COLUMNS = 4096
+
+_MARKS = [f"m{k}" for k in range(MARK_WORDS)]
+_LANES = np.uint64(0x0101010101010101)
+_OFFSETS = np.arange(1, PRINT_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A") : ord("Z") + 1] += 32
+
+
+def shingle_sets(block: Block, n: int = SHINGLE_WORDS) -> list[np.ndarray]:
+    """The ascending hashes of each text's distinct ``n``-word shingles."""
+    folded = Block(_FOLD[block.data], block.bounds)
+    starts, ends, words_at = folded.words()
+    hashes = folded.word_hashes(starts, ends)
+    sets = []
+    for low, high in zip(words_at[:-1].tolist(), words_at[1:].tolist(), strict=True):
+        size = min(n, high - low)
+        if not size:
+            sets.append(np.zeros(0, np.uint64))
+            continue
+        total = np.full(high - low - size + 1, size, np.uint64)
+        for k in range(size):
+            total = mixed(total + hashes[low + k : high - size + k + 1])
+        sets.append(np.unique(total))
+    return sets
+
+
+def wide_print(shingles: np.ndarray) -> np.ndarray:
+    """Bits (as 0 and 1) set in over half of the shingles' hashes."""
+    counts = np.zeros((PRINT_WORDS, 8, 8), np.int64)
+    for at in range(0, len(shingles), 255 * 16):
+        words = mixed(shingles[None, at : at + 255 * 16] + _OFFSETS[:, None])
+        # Each byte of a number counts one bit; 255 of them cannot overflow.
+        chunks = np.arange(0, words.shape[1], 255)
+        for bit in range(8):
+            sums = np.add.reduceat(words >> np.uint64(bit) & _LANES, chunks, axis=1)
+            counts[:, :, bit] += sums.view(np.uint8).reshape(PRINT_WORDS, -1, 8).sum(axis=1, dtype=np.int64)
+    return (counts.reshape(-1) * 2 > len(shingles)).astype(np.uint8)
+
+
+def keys_of(prints: np.ndarray) -> np.ndarray:
+    """The keys of each print (a row of ``PRINT_WORDS`` numbers), a row each."""
+    bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
+    segments = bits[:, : SEGMENTS * 23].reshape(-1, SEGMENTS, 23).astype(np.int32) @ (1 << np.arange(23, dtype=np.int32))
+    code = codes()[segments].astype(np.int64)
+    return np.arange(SEGMENTS) << 12 | code
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """A column of prints as rows of numbers."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, PRINT_WORDS)
+
+
+def _printed(shingle_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, block in blocks(batch["text"]):
+                sets = shingle_sets(block, shingle_words)
+                vertex = [xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets]
+                prints = [np.packbits(wide_print(s), bitorder="little").tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["doc_id"].slice(at, block.n),
+                        batch["text_key"].slice(at, block.n),
+                        pa.array(np.array(vertex, np.uint64).view(np.int64)),
+                        pa.array(np.fromiter(map(len, sets), np.int64, len(sets))),
+                        pa.array(prints, pa.binary()),
+                    ],
+                    names=["doc_id", "text_key", "vertex", "n_shingles", "print"],
+                )
+
+    return run
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            prints = _numbers(batch["print"].slice(at, 500))
+            keys = keys_of(prints)
+            vertex = batch["vertex"].slice(at, 500).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys.reshape(-1)),
+                    pa.array(np.repeat(vertex, keys.shape[1])),
+                    *(pa.array(np.repeat(prints[:, k].view(np.int64), keys.shape[1])) for k in range(MARK_WORDS)),
+                ],
+                names=["key", "vertex", *_MARKS],
+            )
+
+
+def near_forest(
+    near: np.ndarray, rows: np.ndarray, columns: np.ndarray, row_label: np.ndarray, column_label: np.ndarray
+) -> list[tuple[int, int]]:
+    """Links that join all ``rows`` and ``columns`` (vertices) which ``near`` has as true,
+    walked breadth first; those of one label are joined already."""
+    if not (near & (row_label[:, None] != column_label[None, :])).any():
+        return []
+    names, code = np.unique(np.concatenate([row_label, column_label]), return_inverse=True)
+    row_code, column_code = code[: len(rows)], code[len(rows) :]
+    rows_of: list[list[int]] = [[] for _ in names]
+    columns_of: list[list[int]] = [[] for _ in names]
+    for i, c in enumerate(row_code.tolist()):
+        rows_of[c].append(i)
+    for j, c in enumerate(column_code.tolist()):
+        columns_of[c].append(j)
+    across = np.ascontiguousarray(near.T)
+    seen = np.zeros(len(names), bool)
+    links = []
+    for start in range(len(names)):
+        if seen[start]:
+            continue
+        seen[start], open_ = True, [start]
+        while open_:
+            at = open_.pop()
+            steps = [(near[i], column_code, rows[i], columns) for i in rows_of[at]]
+            steps += [(across[j], row_code, columns[j], rows) for j in columns_of[at]]
+            for reach, codes_there, here, there in steps:
+                for k in np.flatnonzero(reach & ~seen[codes_there]).tolist():
+                    if not seen[codes_there[k]]:
+                        seen[codes_there[k]] = True
+                        links.append((int(here), int(there[k])))
+                        open_.append(int(codes_there[k]))
+    return links
+
+
+def _mark_links(vertex: np.ndarray, mark: np.ndarray, other: np.ndarray, other_mark: np.ndarray) -> list[tuple[int, int]]:
+    near = np.zeros((len(vertex), len(other)), bool)
+    for at in range(0, len(vertex), 256):
+        some = mark[at : at + 256]
+        apart = np.zeros((len(some), len(other)), np.uint16)
+        for k in range(MARK_WORDS):
+            apart += np.bitwise_count(some[:, None, k] ^ other_mark[None, :, k])
+        near[at : at + 256] = apart <= MOST_MARK_BITS
+    return near_forest(near, vertex, other, vertex, other)
+
+
+def _marks(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
+    return np.stack([rows[m].to_numpy().view(np.uint64) for m in _MARKS], axis=1)
+
+
+_ENTRY = "".join(f", {m} bigint" for m in _MARKS)
+_MET = ["a", "b", "key", *_MARKS]
+
+
+def _met(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    pairs = np.array(rows, np.int64).reshape(-1, 2)
+    none = [pa.nulls(len(pairs), pa.int64())] * (1 + MARK_WORDS)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *none], names=_MET)
+
+
+def _crowd(key: int, vertex: np.ndarray, mark: np.ndarray) -> pa.RecordBatch:
+    marks = [pa.array(mark[:, k].view(np.int64)) for k in range(MARK_WORDS)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(vertex), pa.nulls(len(vertex), pa.int64()), pa.array(np.full(len(vertex), key)), *marks], names=_MET
+    )
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets come sorted by key: links of each (``b`` set), or, of a crowded one, its entries
+    as they are (``b`` null). A bucket may reach over several batches."""
+    held_key, held, crowded = None, [], False
+
+    def add(key: int, vertex: np.ndarray, mark: np.ndarray) -> Iterator[pa.RecordBatch]:
+        nonlocal held, crowded
+        held.append((vertex, mark))
+        if crowded or sum(len(v) for v, _ in held) > CROWDED:
+            crowded = True
+            yield from (_crowd(key, *x) for x in held)
+            held = []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        nonlocal held, crowded
+        if held:
+            vertex, mark = (np.concatenate(x) for x in zip(*held, strict=True))
+            if len(vertex) > 1 and (links := _mark_links(vertex, mark, vertex, mark)):
+                yield _met(links)
+        held, crowded = [], False
+
+    for batch in batches:
+        key, vertex = batch["key"].to_numpy(), batch["vertex"].to_numpy()
+        mark = _marks(batch)
+        if not len(key):
+            continue
+        edges = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+        several = np.diff(edges) > 1
+        several[0] = several[-1] = True
+        pairs: list[tuple[int, int]] = []
+        for s, e in zip(edges[:-1][several].tolist(), edges[1:][several].tolist(), strict=True):
+            if key[s] != held_key:
+                yield from close()
+                held_key = int(key[s])
+            if s and e < len(key) and e - s <= CROWDED:
+                pairs += _mark_links(vertex[s:e], mark[s:e], vertex[s:e], mark[s:e])
+            else:
+                yield from add(held_key, vertex[s:e], mark[s:e])
+        if pairs:
+            yield _met(pairs)
+    yield from close()
+
+
+def _crowded_links(rows: pa.Table) -> pa.Table:
+    lower = rows["low"].to_numpy() == rows["block"].to_numpy()
+    vertex, mark = rows["a"].to_numpy(), _marks(rows)
+    other = lower if rows["low"][0] == rows["high"][0] else ~lower
+    links = _mark_links(vertex[lower], mark[lower], vertex[other], mark[other])
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def in_block_pairs(rows: DataFrame, group: str, by: str, size: int) -> DataFrame:
+    """Each row once for every pair (``low``, ``high``) of blocks of its ``group`` that has its
+    own ``block``; blocks, counted off by the hash of ``by``, have about ``size`` rows."""
+    counted = rows.groupBy(group).agg(F.count("*").alias("__n"))
+    sized = rows.join(counted.withColumn("n_blocks", F.ceil(F.col("__n") / size)), group).drop("__n")
+    placed = sized.withColumn("block", F.pmod(F.xxhash64(by), F.col("n_blocks")))
+    paired = placed.withColumn("__other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1)))
+    return paired.select(
+        "*", F.least("block", "__other").alias("low"), F.greatest("block", "__other").alias("high")
+    ).drop("__other", "n_blocks")
+
+
+def meetings(unlike: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` that join all sets (``vertex``, ``print``) which meet under some key
+    and differ in few bits of their marks."""
+    entries = unlike.where("n_shingles > 0").select("vertex", "print")
+    found = kept_aside(
+        entries.mapInArrow(_keyed, "key bigint, vertex bigint" + _ENTRY)
+        .repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_meet, "a bigint, b bigint, key bigint" + _ENTRY)
+    )
+    crowds = in_block_pairs(found.where("b is null").drop("b"), "key", "a", CROWDED)
+    crowded = crowds.groupBy("key", "low", "high").applyInArrow(_crowded_links, "a bigint, b bigint")
+    links = found.where("b is not null").select("a", "b").unionByName(crowded)
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def shared_counts(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of ``one`` shares with each of ``other``."""
+    shared = np.zeros((len(one), len(other)), np.float64)
+    names = np.intersect1d(np.unique(np.concatenate(one)), np.unique(np.concatenate(other)), assume_unique=True)
+    for at in range(0, len(names), COLUMNS):
+        part = names[at : at + COLUMNS]
+        sides = []
+        for sets in (one, other):
+            held = np.zeros((len(sets), len(part)), np.float32)
+            for n, s in enumerate(sets):
+                some = s[np.searchsorted(s, part[0]) : np.searchsorted(s, part[-1], "right")]
+                place = np.searchsorted(part, some)
+                held[n, place[part[place] == some]] = 1
+            sides.append(held)
+        shared += sides[0] @ sides[1].T
+    return shared
+
+
+def _verified(least: float):
+    def links(rows: pa.Table) -> pa.Table:
+        lower = np.flatnonzero(rows["low"].to_numpy() == rows["block"].to_numpy())
+        same = rows["low"][0] == rows["high"][0]
+        upper = lower if same else np.flatnonzero(rows["low"].to_numpy() != rows["block"].to_numpy())
+        vertex, label = rows["vertex"].to_numpy(), rows["label"].to_numpy()
+        found = []
+        if len(lower) and len(upper) and len(set(label.tolist())) > 1:
+            sets = [np.frombuffer(x, "<u8") for x in rows["shingles"].to_pylist()]
+            size = np.array([len(s) for s in sets])
+            shared = shared_counts([sets[i] for i in lower], [sets[i] for i in upper])
+            union = size[lower][:, None] + size[upper][None, :] - shared
+            near = shared >= least * union - 1e-9
+            found = near_forest(near, vertex[lower], vertex[upper], label[lower], label[upper])
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return links
+
+
+def _shingled(shingle_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, block in blocks(batch["text"]):
+                sets = [s.tobytes() for s in shingle_sets(block, shingle_words)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch["vertex"].slice(at, block.n), pa.array(sets, pa.large_binary()).cast(pa.binary())],
+                    names=["vertex", "shingles"],
+                )
+
+    return run
+
+
+def _rooted(vertices: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``vertices`` with the root of each, itself where nothing links it, as ``name``."""
+    roots = components(links).select(F.col("vertex").alias("__vertex"), F.col("root").alias("__root"))
+    joined = vertices.join(roots, vertices["vertex"] == roots["__vertex"], "left")
+    return joined.withColumn(name, F.coalesce("__root", "vertex")).drop("__root", "__vertex")
+
+
+def near_copies(
+    docs: DataFrame, *, shingle_words: int = SHINGLE_WORDS, least_similarity: float = LEAST_SIMILARITY
+) -> DataFrame:
+    """``doc_id``, ``text_key`` and ``root``, a number for each group of near copies, per row."""
+    texts = texts_of(docs)
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    printed = kept_aside(
+        texts.mapInArrow(
+            _printed(shingle_words), f"doc_id {id_type}, text_key bigint, vertex bigint, n_shingles bigint, print binary"
+        )
+    )
+    unlike = kept_aside(
+        printed.groupBy("vertex").agg(
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("print").alias("print"),
+            F.min(F.struct("doc_id", "text_key")).alias("place"),
+        )
+    )
+    loose = components(meetings(unlike)).withColumnRenamed("root", "loose")
+    # One text of each set that has company; rows repeated as they are come once.
+    wanted = unlike.join(loose, "vertex").select("vertex", "place.*")
+    held = texts.join(wanted, same_document(texts, wanted)).select("vertex", "text")
+    shingles = held.mapInArrow(_shingled(shingle_words), "vertex bigint, shingles binary").dropDuplicates(["vertex"])
+    members = kept_aside(shingles.join(loose, "vertex").withColumn("label", F.col("vertex")))
+    verify = _verified(least_similarity)
+
+    def compared(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("loose", "low", "high").applyInArrow(verify, "a bigint, b bigint")
+
+    some = in_block_pairs(members, "loose", "vertex", BLOCK_SETS).where("low = 0 or low = high")
+    links = kept_aside(compared(some))
+    labelled = kept_aside(_rooted(members.drop("label"), links, "label"))
+    parted = labelled.groupBy("loose").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.count("*").alias("n"))
+    parted = parted.where((F.col("l") != F.col("m")) & (F.col("n") > BLOCK_SETS)).select("loose")
+    rest = in_block_pairs(labelled.join(parted, "loose", "left_semi"), "loose", "vertex", BLOCK_SETS)
+    links = links.unionByName(compared(rest.where("low > 0 and low < high")))
+    roots = _rooted(unlike.select("vertex"), links, "root")
+    return printed.join(roots, "vertex").select("doc_id", "text_key", "root")

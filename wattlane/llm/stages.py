@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import golay_simhash, line_windows, mixing, ordinal, pieces
+from wattlane.llm import line_windows, mixing, near_copies, ordinal, pieces
 from wattlane.llm.common import read_table, same_document
 from wattlane.llm.queries import PIECE_MODEL, tokenizer_path
 
@@ -63,13 +63,12 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest id."""
-    found = golay_simhash.near_dedup(docs)
+    """One document of each group of near-duplicates, that of the smallest id: texts of which
+    0.8 or more of all five-word shingles are shared, and what these link."""
+    found = near_copies.near_copies(docs)
     # One per group, found by a grouping that combines before its shuffle; rows repeated as
     # they are share its name, of these one stays too.
-    first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("print"))).agg(
-        F.min(F.struct("doc_id", "text_key")).alias("first")
-    )
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     chosen = first.select("first.*")
     rows = _named(docs).dropDuplicates(["doc_id", "text_key"])
     return rows.join(chosen, same_document(rows, chosen), "left_semi").select("doc.*")
