@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,33 @@ def kept_aside(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def written(rows: DataFrame) -> DataFrame:
+    """The rows, written once as Parquet into the folder that all executors share.
+
+    Unlike a checkpoint, columns that a reader does not ask for are not read. The folder
+    goes when the process that asked for it ends.
+    """
+    spark = rows.sparkSession
+    path = f"{shared_folder(spark)}/rows-{uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_clear_written)
+    _WRITTEN.append((spark, path))
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _clear_written() -> None:
+    for spark, path in _WRITTEN:
+        try:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # the session is gone already
+            return
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text`` (null: empty) and ``text_key``; no other column comes along.
 

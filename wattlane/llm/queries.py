@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from wattlane.llm import (
     chat,
+    conversation_repair,
     digest,
     golay_simhash,
+    host_reputation,
     line_windows,
     mixing,
     ordinal,
     pieces,
     recompression,
     repetition,
+    source_audit,
     suffix_array,
 )
 from wattlane.llm.common import read_table
@@ -127,6 +130,71 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(read_table(spark, sf_dir, "documents"))
+
+
+def damaged(messages: DataFrame) -> DataFrame:
+    """Rows broken on purpose by a checksum of conversation and turn: of twenty, one is dropped,
+    one emptied, one loses its sentence ends, one is said twice, one is a user's."""
+    conv_id, turn, role, text = (
+        F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")
+    )
+    kind = (F.crc32(F.concat(conv_id, F.lit(":"), turn)) % 20).alias("kind")
+    rows = messages.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind)
+    text = (
+        F.when(F.col("kind") == 1, "")
+        .when(F.col("kind") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text"))
+    )
+    times = F.when(F.col("kind") == 3, 2).otherwise(1)
+    return rows.where(F.col("kind") != 0).select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        text.alias("text"),
+        F.explode(F.sequence(F.lit(1), times)).alias("copy"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged, then repaired."""
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    audit, rows = conversation_repair.repair(damaged(given))
+    named = given.select(F.col("conv_id").alias("id")).distinct()
+    sums = conversation_repair.digests(rows)
+    found = named.join(audit, named["id"].eqNullSafe(audit["conv_id"]), "left").drop("conv_id")
+    found = found.join(sums, found["id"].eqNullSafe(sums["conv_id"]), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        F.col("id").alias("conv_id"),
+        *(F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+#: The given hosts stand under these like sites under a registry.
+SITE_SUFFIXES = (*host_reputation.SUFFIXES, "example.com", "example.net", "example.org")
+URL_RULES = (
+    host_reputation.Rule("allow", "org"),
+    host_reputation.Rule("block", "example.org", "/es/"),
+    host_reputation.Rule("block", "example.org", "/en/1"),
+    host_reputation.Rule("allow", "com", "/fr/"),
+    host_reputation.Rule("block", "com", "/de/"),
+)
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages; the labels of their ids are their outcomes, bad if poor or toxic."""
+    labels = read_table(spark, sf_dir, "labels")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return host_reputation.filter_urls(
+        read_table(spark, sf_dir, "pages"), outcomes, URL_RULES, suffixes=SITE_SUFFIXES
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_line_dedup": op2_line_dedup,
@@ -138,6 +206,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_digest": op9_digest,
     "op10_recompression": op10_recompression,
+    "op11_source_audit": op11_source_audit,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_url_filters": op13_url_filters,
 }
 
 _ESCAPE = r"regexp_replace({0}, '(<|\[)(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g')"
