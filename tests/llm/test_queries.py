@@ -33,7 +33,7 @@ def rows_of(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_agrees(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "pages", "labels"):
         connection.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     expected = connection.execute(ORACLES[name])
     columns = [c[0] for c in expected.description]

@@ -254,4 +254,199 @@ ORACLES: dict[str, str] = {
                 as kept_sha256
         from lines l left join gone g on l.doc_id = g.doc_id and l.i = g.i
         group by l.doc_id""",
+    "op11_source_audit": r"""
+        with docs as (
+            select row_number() over () as doc, coalesce(lang, '') as lang,
+                coalesce(source, '') as source, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                        'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+            from documents
+        ), said as (select doc, lang, source, unnest(terms) as term from docs),
+        kept as (
+            select lang, term from said group by lang, term having count(distinct doc) >= 30
+        ), counts as (
+            select lang, source, term, count(*) as c from said semi join kept using (lang, term)
+            group by lang, source, term
+        ), totals as (
+            select g.lang, g.source,
+                (select coalesce(sum(c), 0) from counts as k
+                    where k.lang = g.lang and k.source = g.source) as n,
+                (select count(*) from kept as k where k.lang = g.lang) as v
+            from (select distinct lang, source from docs) as g
+        ), grid as (
+            select lang, source, term, coalesce(c, 0) as c, cast(1 + cast(1000000000 as hugeint)
+                * (coalesce(c, 0) + 5) // cast(n + 5 * v as hugeint) as bigint) as p
+            from totals join kept using (lang) left join counts using (lang, source, term)
+        ), whole as (
+            select lang, term, cast(1 + cast(1000000000 as hugeint) * (sum(c) + 5)
+                // cast(any_value(n) + 5 * any_value(v) as hugeint) as bigint) as q
+            from grid join (select lang, sum(n) as n, any_value(v) as v from totals group by lang)
+                using (lang)
+            group by lang, term
+        ), rows as (
+            select a.lang, a.source, 'pair' as part, b.source as item,
+                coalesce((select sum(abs(x.p - y.p)) from grid as x join grid as y
+                    on x.term = y.term and x.lang = y.lang
+                    where x.lang = a.lang and x.source = a.source and y.source = b.source), 0) as value
+            from totals as a join totals as b on a.lang = b.lang and a.source <> b.source
+            union all
+            select lang, source, 'term', term, p - q
+            from grid join whole using (lang, term) where c > 0 and p > q
+        )
+        select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+        from (select *, row_number() over (partition by lang, source, part
+            order by value desc, item) as rank from rows)
+        where part = 'pair' or rank <= 50""",
+    "op12_conversation_repair": r"""
+        with recursive given as (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')
+                    as name from conversations
+        ), kinds as (
+            select *, xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint),
+                list_transform(range(1, length(name) + 1),
+                    lambda i: cast(ascii(substr(name, cast(i as integer), 1)) as bigint))),
+                lambda c, b: list_reduce(list_prepend(xor(c, b), cast([0, 0, 0, 0, 0, 0, 0, 0] as bigint[])),
+                    lambda x, k: xor(x >> 1, 3988292384 * (x & 1))))) % 20 as kind from given
+        ), damaged as (
+            select conv_id, turn, case kind when 4 then 'user' else role end as role,
+                case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+                unnest(case kind when 3 then [1, 2] else [1] end) as copy
+            from kinds where kind <> 0
+        ), numbered as (
+            select *, row_number() over (partition by conv_id
+                order by turn nulls first, role, text) as i from damaged
+        ), faults as (
+            select *, substr(role, 1, 1) as ini, case
+                when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'b'
+                when row_number() over (partition by conv_id, role, text order by i) > 1 then 'd'
+                when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 't' else '' end as fault,
+                lag(substr(role, 1, 1)) over (partition by conv_id order by i) as before
+            from numbered
+        ), counted as (
+            select conv_id, case when count(turn) = 0 then 0
+                    else max(turn) - min(turn) + 1 - count(distinct turn) end as gaps,
+                count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate,
+                count(*) filter (fault = 't') as truncated, count(*) filter (before is not null
+                    and before || ini not in ('su', 'ua', 'au')) as illegal
+            from faults group by conv_id
+        ), paths(conv_id, i, state, best) as (
+            select conv_id, cast(0 as bigint), state, lpad(cast(cost as varchar), 12, '0') || audit
+            from counted, (values ('-', 0, ''), ('u', 5, 'I'), ('a', 10, 'II')) as t(state, cost, audit)
+            union all
+            select conv_id, i, state, min(best) from (
+                select conv_id, i, list_extract(to_, k) as state,
+                    lpad(cast(cost + 5 * (k - 1) as varchar), 12, '0') || audit || repeat('I', cast(k - 1 as integer)) as best
+                from (
+                    select conv_id, i, cost, audit, case state when '-' then ['-', 'u', 'a']
+                        when 's' then ['s', 'u', 'a'] when 'u' then ['u', 'a', 'u'] else ['a', 'u', 'a'] end
+                        as to_
+                    from (
+                        select f.conv_id, f.i, substr(best, 13) || edit as audit,
+                            cast(substr(best, 1, 12) as bigint) + case edit when 'D' then 2
+                                else case edit when 'R' then 1 else 0 end
+                                + case when fault = 't' then 5 else 0 end end as cost,
+                            case when edit = 'D' then p.state when edit = 'K' then ini
+                                when p.state = 'u' then 'a' else 'u' end as state
+                        from paths as p join faults as f on f.conv_id is not distinct from p.conv_id
+                            and f.i = p.i + 1
+                        join (values ('D'), ('K'), ('R')) as e(edit) on edit = 'D'
+                            or fault not in ('b', 'd') and (edit = 'R'
+                                or p.state || ini in ('-s', '-u', 'su', 'ua', 'au'))
+                    )
+                ), (select unnest([1, 2, 3]) as k)
+            ) group by conv_id, i, state
+        ), ended as (
+            select conv_id, min(best) as best from paths as p
+            where state in ('-', 'a') and i = (select count(*) from faults as f
+                where f.conv_id is not distinct from p.conv_id)
+            group by conv_id
+        ), letters as (
+            select conv_id, k, substr(best, cast(k as integer) + 12, 1) as edit,
+                length(replace(substr(best, 13, cast(k as integer)), 'I', '')) as i
+            from ended, lateral (select unnest(range(1, length(best) - 11)) as k)
+        ), stay as (
+            select l.conv_id, k, edit, ini, role, text, row_number() over w as e, first_value(
+                edit = 'K' and ini = 's') over w as system
+            from letters as l left join faults as f on f.conv_id is not distinct from l.conv_id
+                and f.i = l.i and edit <> 'I' where edit <> 'D'
+            window w as (partition by l.conv_id order by k)
+        ), lines as (
+            select conv_id, sha256(string_agg(case when edit = 'K' then role
+                when (e - cast(coalesce(system, false) as integer)) % 2 = 1 then 'user' else 'assistant' end || ':'
+                || case when edit = 'I' then '' else text end, chr(10) order by k)) as repaired_sha256
+            from stay group by conv_id
+        )
+        select g.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank,
+            coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+            coalesce(illegal, 0) as illegal, coalesce(cast(substr(best, 1, 12) as bigint), 0) as cost,
+            coalesce(substr(best, 13), '') as audit, coalesce(repaired_sha256, sha256('')) as repaired_sha256
+        from (select distinct conv_id from conversations) as g
+        left join counted as c on c.conv_id is not distinct from g.conv_id
+        left join ended as e on e.conv_id is not distinct from g.conv_id
+        left join lines as l on l.conv_id is not distinct from g.conv_id""",
+    "op13_url_filters": r"""
+        with parts as (
+            select page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages
+        ), rules as (
+            select * from (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+                ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/'))
+                as t(verdict, below, start)
+        ), names as (
+            select *, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.')
+                as labels from parts
+        ), depths as (
+            select *, case when array_to_string(labels[-2:], '.') in ('co.uk', 'org.uk', 'ac.uk', 'com.au',
+                'co.jp', 'com.br', 'co.in', 'co.nz', 'com.cn', 'example.com', 'example.net', 'example.org')
+                then 2 else 1 end as depth from names
+        ), sites as (
+            select page_id, host as given, path, array_to_string(labels[-depth:], '.') as suffix,
+                array_to_string(labels[-depth - 1:], '.') as domain, array_to_string(labels, '.') as host
+            from depths
+        ), outcomes as (
+            select doc_id as page_id, max(case when quality = 0 or toxic = 1 then 1
+                when quality is not null and toxic is not null then 0 end) as bad
+            from labels group by doc_id
+        ), hosts as (
+            select suffix, domain, host, count(bad) as n, coalesce(sum(bad), 0) as y
+            from sites left join outcomes using (page_id) group by suffix, domain, host
+        ), s as (
+            select suffix, sum(n) as n, sum(y) as y,
+                (0.5 + (select sum(y) from hosts) - sum(y)) / (1.0 + (select sum(n) from hosts) - sum(n)) as m
+            from hosts group by suffix
+        ), sw as (
+            select (1 - r) / r as w from (select least(greatest(coalesce((sum((y - n * m) ** 2)
+                - sum(n * m * (1 - m))) / nullif(sum(n * m * (1 - m) * (n - 1)), 0), 0.05), 0.001), 0.9)
+                as r from s)
+        ), d as (
+            select suffix, b.domain, b.n, b.y, (w * m + s.y - b.y) / (w + s.n - b.n) as m
+            from (select suffix, domain, sum(n) as n, sum(y) as y from hosts group by suffix, domain) as b
+            join s using (suffix), sw
+        ), dw as (
+            select (1 - r) / r as w from (select least(greatest(coalesce((sum((y - n * m) ** 2)
+                - sum(n * m * (1 - m))) / nullif(sum(n * m * (1 - m) * (n - 1)), 0), 0.05), 0.001), 0.9)
+                as r from d)
+        ), h as (
+            select b.host, b.n, b.y, (w * m + d.y - b.y) / (w + d.n - b.n) as m
+            from hosts as b join d using (domain), dw
+        ), hw as (
+            select (1 - r) / r as w from (select least(greatest(coalesce((sum((y - n * m) ** 2)
+                - sum(n * m * (1 - m))) / nullif(sum(n * m * (1 - m) * (n - 1)), 0), 0.05), 0.001), 0.9)
+                as r from h)
+        ), blocked as (
+            select host from (select host, w * m + y as a, w * (1 - m) + n - y as b from h, hw)
+            where a / (a + b) - 1.645 * sqrt(a * b / (a + b + 1)) / (a + b) > 0.5
+        ), ruled as (
+            select page_id, given, path, host, (select below || start from rules
+                    where (given = below or given like '%.' || below) and starts_with(path, start)
+                    order by length(below || start) desc limit 1) as rule
+            from sites
+        )
+        select page_id, given as host, path, rule, coalesce(
+            (select verdict from rules where below || start = rule),
+            case when host in (select host from blocked) then 'block' else 'allow' end) as verdict
+        from ruled""",
 }
