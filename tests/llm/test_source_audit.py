@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -97,18 +98,24 @@ def test_chunks_of_adjacent_texts():
 def test_a_chunk_over_many_batches():
     """A run that is cut by batches gives the same rows as one batch."""
     rows = [
-        {"chunk": c, "lang": lang, "source": s, "n": k + 1, "df": 2, "docs": [10 * k, 10 * k + 1]}
-        for k, (c, lang, s) in enumerate(
-            (c, lang, s) for c in (b"a", b"b-a", b"c") for lang in ("de", "en") for s in ("x", "y", "z")
+        {"chunk": c, "lang": lang, "df": 2, "docs": [10 * k, 10 * k + 1], "sources": [x, "z"], "counts": [k, 2]}
+        for k, (c, lang, x) in enumerate(
+            (c, lang, x) for c in (b"a", b"b-a", b"c") for lang in ("de", "en") for x in "xyx"
         )
     ]
     whole = pa.Table.from_pylist(rows, source_audit._CHUNKS)
     merge = source_audit.chunk_merger(5)
 
     def result(size):
-        found = [r for b in merge(iter(whole.to_batches(max_chunksize=size))) for r in b.to_pylist()]
-        return sorted(map(repr, found))
+        n, most = Counter(), []
+        for r in (r for b in merge(iter(whole.to_batches(max_chunksize=size))) for r in b.to_pylist()):
+            if r["source"] is None:
+                most.append((r["lang"], r["term"], r["df"], r["docs"]))
+            else:
+                n[r["lang"], r["source"], r["term"]] += r["n"]
+        return n, sorted(most)
 
     assert result(1) == result(2) == result(5) == result(100)
-    most = [r for b in merge(iter(whole.to_batches())) for r in b.to_pylist() if r["source"] is None]
-    assert {r["df"] for r in most} == {6} and all(r["docs"] == [] for r in most)
+    n, most = result(100)
+    assert {r[2] for r in most} == {6} and all(r[3] == [] for r in most)
+    assert n["de", "z", "a"] == 12 and n["en", "y", "c"] == 16

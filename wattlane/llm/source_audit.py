@@ -19,8 +19,8 @@ their documents, fewer than that each, and only terms that rare chunks alone cou
 over the mark have their documents told apart. Nothing is estimated: the result is that of
 counting every document's distinct terms.
 
-Scale. What is shuffled is one row for each chunk, language and source of a task's slice, not
-one for each chunk of a document; a word of all documents has one row a slice. Sorted by
+Scale. What is shuffled is one row for each chunk and language of a task's slice, not one for
+each chunk of a document; a word of all documents has one row a slice. Sorted by
 Spark, chunks are merged row by row, so no group is held. Sources are compared in blocks of
 ``BLOCK`` by ``SLICE_TERMS`` terms, and each block gives one sum a pair: the result has all
 pairs of a language's sources, so their number is what is asked for.
@@ -64,13 +64,17 @@ TERM = re.compile(rb"[a-z\x80-\xff]+")
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-CHUNKS = "chunk binary, lang string, source string, n bigint, df bigint, docs array<bigint>"
+CHUNKS = "chunk binary, lang string, df bigint, docs array<bigint>, sources array<string>, counts array<bigint>"
 TERMS = "lang string, source string, term string, n bigint, df bigint, docs array<bigint>"
+_NUMBERS = pa.list_(pa.int64())
 _CHUNKS = pa.schema(
-    [("chunk", pa.binary()), ("lang", pa.string()), ("source", pa.string()), ("n", pa.int64()),
-     ("df", pa.int64()), ("docs", pa.list_(pa.int64()))]
+    [("chunk", pa.binary()), ("lang", pa.string()), ("df", pa.int64()), ("docs", _NUMBERS),
+     ("sources", pa.list_(pa.string())), ("counts", _NUMBERS)]
+)
+_TERMS = pa.schema(
+    [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()),
+     ("df", pa.int64()), ("docs", _NUMBERS)]
 )
-_TERMS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), *list(_CHUNKS)[3:]])
 
 
 # Chunks of documents
@@ -142,16 +146,20 @@ def _counted(
     word, group = np.divmod(key[runs], max(len(groups), 1))
     lang, source = np.divmod(groups[group], max(len(sources.dictionary), 1)) if len(runs) else (group, group)
     whole = _runs(word, lang)
-    few = np.repeat(_sums(df, whole) < least, np.diff(np.append(whole, len(runs))))
+    of_whole = np.diff(np.append(whole, len(runs)))
+    total = _sums(df, whole)
     ids = docs.column("doc").to_numpy()[of_doc]
+    every = np.ones(len(whole), bool)
+    listed = _lists(np.arange(len(runs)), of_whole, every)
+    names = sources.dictionary.take(pa.array(source))
     return pa.table(
         [
-            words.take(pa.array(word)),
-            langs.dictionary.take(pa.array(lang)),
-            sources.dictionary.take(pa.array(source)),
-            pa.array(_sums(n, runs)),
-            pa.array(df),
-            _lists(ids, df, few),
+            words.take(pa.array(word[whole])),
+            langs.dictionary.take(pa.array(lang[whole])),
+            pa.array(total),
+            _lists(ids, total, total < least),
+            pa.ListArray.from_arrays(listed.offsets, names),
+            _lists(_sums(n, runs), of_whole, every),
         ],
         schema=_CHUNKS,
     )
@@ -250,6 +258,32 @@ def _whole(lang: pa.Array, df: np.ndarray, docs: pa.ListArray, chunk: np.ndarray
     return pa.table(columns, schema=_TERMS)
 
 
+def _by_source(batch: pa.RecordBatch, chunk: np.ndarray, langs: pa.Array, terms: _Terms) -> pa.Table:
+    """Rows of ``TERMS`` with a source: what a batch has of a chunk in all slices, summed up."""
+    listed, counts = batch.column("sources"), batch.column("counts").flatten().to_numpy()
+    sources = listed.flatten().dictionary_encode()
+    sizes = np.diff(listed.offsets.to_numpy())
+    lang = np.repeat(langs.indices.to_numpy(), sizes)
+    chunk, source = np.repeat(chunk, sizes), sources.indices.to_numpy()
+    order = np.lexsort((source, lang, chunk))
+    chunk, lang, source, counts = chunk[order], lang[order], source[order], counts[order]
+    runs = _runs(chunk, lang, source)
+    n = _sums(counts, runs)
+    row, term = terms.of(chunk[runs])
+    zeros = np.zeros(len(row), np.int64)
+    return pa.table(
+        [
+            langs.dictionary.take(pa.array(lang[runs][row])),
+            sources.dictionary.take(pa.array(source[runs][row])),
+            terms.values.take(pa.array(term)),
+            pa.array(n[row] * terms.counts[term]),
+            pa.array(zeros),
+            _lists(zeros[:0], zeros, zeros == 0),
+        ],
+        schema=_TERMS,
+    )
+
+
 def chunk_merger(least: int):
     """For ``mapInArrow`` over rows of ``CHUNKS`` that are sorted by chunk and language.
 
@@ -266,21 +300,8 @@ def chunk_merger(least: int):
             coded = batch.column("chunk").dictionary_encode()
             chunk, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
             terms = _Terms(words)
-            row, term = terms.of(chunk)
-            at = pa.array(row)
-            occurrences = pa.table(
-                [
-                    batch.column("lang").take(at),
-                    batch.column("source").take(at),
-                    terms.values.take(pa.array(term)),
-                    pa.array(batch.column("n").to_numpy()[row] * terms.counts[term]),
-                    pa.array(np.zeros(len(row), np.int64)),
-                    _lists(np.zeros(0, np.int64), np.zeros(len(row), np.int64), np.ones(len(row), bool)),
-                ],
-                schema=_TERMS,
-            )
-            yield from occurrences.to_batches(max_chunksize=BATCH_ROWS)
             langs = batch.column("lang").dictionary_encode()
+            yield from _by_source(batch, chunk, langs, terms).to_batches(max_chunksize=BATCH_ROWS)
             runs = _runs(chunk, langs.indices.to_numpy())
             df = _sums(batch.column("df").to_numpy(), runs)
             docs = batch.column("docs")
