@@ -192,6 +192,32 @@ def test_stages_over_awkward_rows_and_over_nothing(spark, awkward, nothing, tmp_
     assert near.where("doc_id = 1").count() <= 1
 
 
+def test_near_stage_with_ids_that_repeat(spark, frame):
+    """Unlike texts of one id are documents of their own; of equal rows the least one stays."""
+    near = " ".join(f"w{k}" for k in range(400))
+    rows = [
+        (5, near, "en", "b", 1), (5, near, "en", "a", 1), (5, near, "de", "a", 1), (9, near + " x", "en", "c", 1),
+        (5, "another text of this id", "en", "a", 1), (None, None, None, None, None), (7, "", "en", "a", 0),
+    ]
+    found = stages.dedup_near(spark, frame(rows), SMALL).select("doc_id", "text", "lang", "source")
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [(5, near, "de", "a"), (5, rows[4][1], "en", "a"), (None, None, None, None)], key=repr
+    )
+
+
+def test_mixing_stage_gives_each_source_its_own(spark, frame):
+    """Two sources share ids and texts; each gets what the mix takes of it."""
+    rows = [(k, f"text {k} " + "word " * (k % 50), "en", s, 1) for k in range(300) for s in ("s0", "s1")]
+    found = stages.mix_sources(spark, frame(rows), SMALL).collect()
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for _, text, _, source, _ in rows:
+        sizes[source] += len(text.split())
+    for r in found:
+        taken[r.source] += len(r.text.split())
+    for source, target in brute.targets(sizes).items():
+        assert abs(taken[source] - target) <= 60
+
+
 def test_whole_run(spark, staged):
     found = corpus_pipeline.run(spark, SMALL)
     assert sorted(map(repr, found.drop("ids").collect())) == sorted(

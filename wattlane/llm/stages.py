@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import line_windows, mixing, near_copies, ordinal, pieces
+from wattlane.llm import golay_simhash, line_windows, mixing, ordinal, pieces
 from wattlane.llm.common import read_table, same_document
 from wattlane.llm.queries import PIECE_MODEL, tokenizer_path
 
@@ -63,27 +63,36 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id: texts of which
-    0.8 or more of all five-word shingles are shared, and what these link."""
-    found = near_copies.near_copies(docs)
-    # One per group, found by a grouping that combines before its shuffle; rows repeated as
-    # they are share its name, of these one stays too.
-    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
-    chosen = first.select("first.*")
-    rows = _named(docs).dropDuplicates(["doc_id", "text_key"])
-    return rows.join(chosen, same_document(rows, chosen), "left_semi").select("doc.*")
+    """One document of each group of near-duplicates: that of the smallest id, then of the
+    smallest text key, then of the least other columns; a null id is the smallest."""
+    rest = F.to_json(
+        F.struct(F.lit(0).alias("none"), *(f"doc.`{c}`" for c in docs.columns if c not in ("doc_id", "text"))),
+        {"ignoreNullFields": "false"},
+    )
+    rows = _named(docs).select("*", F.struct("doc_id", "text_key").alias("name"), rest.alias("rest"))
+    # Id and text name a document, so unlike texts of one id stay apart.
+    found = golay_simhash.near_dedup(
+        rows.select("name", F.col("doc.text").alias("text")), id_col="name"
+    )
+    chosen = found.select("component_id.*").distinct()
+    least = rows.groupBy("doc_id", "text_key").agg(F.min("rest").alias("rest"))
+    chosen = least.join(chosen, same_document(least, chosen), "left_semi")
+    one = same_document(rows, chosen) & (rows["rest"] == chosen["rest"])
+    return rows.join(chosen, one, "left_semi").dropDuplicates(["doc_id", "text_key"]).select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; those taken no times go."""
+    """Documents as often as the mix takes them; those taken no times go. Rows that agree in
+    id, source and text are copies of one document and share what the mix takes of them."""
     text = F.coalesce(F.col("text"), F.lit(""))
     mixed = mixing.mix(docs.withColumn("__text_key", F.xxhash64(text)), keep=["__text_key"])
-    copies = mixed.groupBy("doc_id", F.col("__text_key").alias("text_key")).agg(
+    copies = mixed.groupBy("doc_id", F.col("__text_key").alias("text_key"), F.col("source").alias("of")).agg(
         F.sum("copies").alias("copies")
     )
     copies = copies.where(F.col("copies") > 0)
-    rows = _named(docs).dropDuplicates(["doc_id", "text_key"])
-    taken = rows.join(copies, same_document(rows, copies)).select("doc", "copies")
+    rows = _named(docs).withColumn("of", F.col("doc.source")).dropDuplicates(["doc_id", "text_key", "of"])
+    same = same_document(rows, copies) & rows["of"].eqNullSafe(copies["of"])
+    taken = rows.join(copies, same).select("doc", "copies")
     return taken.select(
         "doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
     ).select("doc.*")
