@@ -31,8 +31,9 @@ from catalog.oracle import (
     TOP_COLUMNS,
 )
 from catalog.registry import register
+from wattlane.book import BOOKED
 from wattlane.functions import metrics, periods, scoring, status
-from wattlane.lake import Lake, union_all
+from wattlane.lake import Lake, day_leaves, union_all
 from wattlane.operators import (
     anomalies,
     control,
@@ -1291,3 +1292,190 @@ def streamed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("streamed_anomalies", SCORE_COLUMNS, "select * from scores")
 def streamed_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir)["anomaly_results"].drop("run_id", "checked_at")
+
+
+# The partition book and the segmented logs
+
+
+@register(
+    "raw_manifest",
+    "d:batch_date _batch_id d:observation_date i:n_rows t:newest_ingestion",
+    """select batch_date, _batch_id, cast(strptime(period, '%Y-%m-%dT%H') as date)
+        as observation_date, count(*) as n_rows, max(_ingestion_timestamp) as newest_ingestion
+        from raw group by 1, 2, 3""",
+)
+def raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and batches of raw as the book has them, without a look at raw."""
+    entries = built_lake(spark, sf_dir).book.partitions("eia_grid_batch")
+    return entries.select(
+        "batch_date", "_batch_id", "observation_date", "n_rows", "newest_ingestion"
+    )
+
+
+DAY_TABLES_SQL = """
+    select 'stg_grid_metrics' as table_name, observation_date, count(*) as n_rows,
+        max(_ingestion_timestamp) as newest_ingestion, min(observation_timestamp) as first_observation,
+        max(observation_timestamp) as last_observation from stg group by 2
+    union all select 'fct_grid_metrics', observation_date, count(*), max(_ingestion_timestamp),
+        min(observation_timestamp), max(observation_timestamp) from stg group by 2
+    union all select 'agg_load_hourly', observation_date, count(*), null,
+        min(observation_timestamp), max(observation_timestamp) from agg_load_hourly group by 2
+    union all select 'agg_load_daily', observation_date, count(*), null, null, null
+        from agg_load_daily group by 2
+    union all select 'agg_generation_mix', observation_date, count(*), null, null, null
+        from agg_generation_mix group by 2
+    union all select 'agg_top_regions', observation_date, count(*), null, null, null
+        from agg_top_regions group by 2
+"""
+DAY_COLUMNS = (
+    "table_name d:observation_date i:n_rows t:newest_ingestion t:first_observation t:last_observation"
+)
+
+
+def _day_entries(lake: Lake) -> DataFrame:
+    tables = [name for name in BOOKED if name not in ("eia_grid_batch", "anomaly_results")]
+    return union_all(lake.book.partitions(name) for name in tables).select(
+        "table_name", "observation_date", "n_rows", "newest_ingestion", "first_observation", "last_observation"
+    )
+
+
+@register("day_extremes", DAY_COLUMNS, DAY_TABLES_SQL)
+def day_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and extremes of every day of every table, from the book."""
+    return _day_entries(built_lake(spark, sf_dir))
+
+
+@register(
+    "scored_days",
+    "d:observation_date i:n_rows t:newest_check i:n_flagged regions",
+    f"""select observation_date, count(*) as n_rows, max(checked_at) as newest_check,
+        count(*) filter (anomaly_flag) as n_flagged, coalesce(string_agg(distinct
+            case when anomaly_flag then region end, ',' order by
+            case when anomaly_flag then region end), '') as regions
+        from scores, {CHECKS_SQL} group by 1""",
+)
+def scored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags by day after two runs over all of them, from the book."""
+    days = built_lake(spark, sf_dir).book.partitions("anomaly_results")
+    return days.select(
+        "observation_date",
+        "n_rows",
+        "newest_check",
+        "n_flagged",
+        F.array_join("flagged_regions", ",").alias("regions"),
+    )
+
+
+# What is left of the rows after the second load: no demand on even days, nothing on the last.
+LEFT_SQL = """select * from {0} where observation_date < (select max(observation_date) from stg)
+    and (day(observation_date) % 2 = 1 or {1})"""
+
+
+def _reloaded(spark: SparkSession, sf_dir: str) -> Lake:
+    """All windows loaded, then loaded again with fewer rows; the second rebuild stops half-way
+    and is done again."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RELOADED:
+        lake = fresh_lake(spark, "reloaded")
+        raw = raw_rows(spark, sf_dir)
+        days = batch_days(raw)
+        windows = [daily_window(day) for day in days]
+        jobs.load_and_rebuild(lake, raw, windows)
+        demand = F.col("type") == "D"
+        fewer = raw.where((F.col("batch_date") < F.lit(max(days))) & ((F.day("batch_date") % 2 == 1) | ~demand))
+        loaded = jobs.load_raw(lake, fewer, windows)
+        try:
+            with lake.book.changing({"agg_load_daily": day_leaves(loaded.affected_dates)}):
+                raise InterruptedError
+        except InterruptedError:
+            jobs.rebuild(lake, loaded.affected_dates)
+        _RELOADED[key] = lake
+    return _RELOADED[key]
+
+
+_RELOADED: dict[tuple[str, str], Lake] = {}
+
+
+@register(
+    "day_extremes_after_reload",
+    "table_name d:observation_date i:n_rows t:last_observation",
+    f"""with left_stg as ({LEFT_SQL.format("stg", "metric_name <> 'demand'")}),
+        left_daily as ({LEFT_SQL.format("agg_load_daily", "false")})
+    select 'stg_grid_metrics' as table_name, observation_date, count(*) as n_rows,
+        max(observation_timestamp) as last_observation from left_stg group by 2
+    union all select 'agg_load_daily', observation_date, count(*), null from left_daily group by 2""",
+)
+def day_extremes_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that a second load changed, emptied or dropped."""
+    days = _day_entries(_reloaded(spark, sf_dir))
+    chosen = days.where(F.col("table_name").isin("stg_grid_metrics", "agg_load_daily"))
+    return chosen.select("table_name", "observation_date", "n_rows", "last_observation")
+
+
+@register(
+    "bounds_after_reload",
+    "d:start_date d:end_date t:pipeline_freshness_timestamp t:data_freshness_timestamp",
+    f"""with left_stg as ({LEFT_SQL.format("stg", "metric_name <> 'demand'")})
+    select min(observation_date) filter (metric_name = 'demand' or energy_source is not null)
+            as start_date,
+        max(observation_date) filter (metric_name = 'demand' or energy_source is not null)
+            as end_date,
+        max(_ingestion_timestamp) as pipeline_freshness_timestamp,
+        max(observation_timestamp) as data_freshness_timestamp
+    from left_stg""",
+)
+def bounds_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds and newest times of what is left, from the book alone."""
+    lake = _reloaded(spark, sf_dir)
+    signals = control.freshness_signals(jobs.newest_ingestions(lake), jobs.newest_observations(lake))
+    bounds = serving.date_bounds(lake)
+    stacked = bounds.unionByName(signals, allowMissingColumns=True)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+
+
+def _logged(spark: SparkSession, sf_dir: str) -> Lake:
+    """A freshness check after each batch day, each an append of its own."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOGGED:
+        lake, source = fresh_lake(spark, "logged"), built_lake(spark, sf_dir)
+        signals = control.freshness_signals(
+            jobs.newest_ingestions(source), jobs.newest_observations(source)
+        )
+        for day in batch_days(source["eia_grid_batch"]):
+            checked_at = datetime.combine(day, datetime.min.time(), UTC) + timedelta(hours=29)
+            lake.append("freshness_log", control.freshness_row(signals, f"check-{day}", checked_at))
+        _LOGGED[key] = lake
+    return _LOGGED[key]
+
+
+_LOGGED: dict[tuple[str, str], Lake] = {}
+
+LOGGED_SQL = """select 'check-' || strftime(d, '%Y-%m-%d') as run_id, pipeline_freshness_timestamp,
+    data_freshness_timestamp,
+    case when date_diff('microsecond', pipeline_freshness_timestamp, moment) <= 21600000000 then 'fresh'
+        else 'stale' end as pipeline_freshness_status,
+    case when date_diff('microsecond', data_freshness_timestamp, moment) <= 21600000000 then 'fresh'
+        else 'stale' end as data_freshness_status, moment as checked_at
+    from signals, (select distinct batch_date as d, cast(batch_date as timestamp) + interval 29 hour as moment
+        from raw)"""
+LOGGED_COLUMNS = (
+    "run_id t:pipeline_freshness_timestamp t:data_freshness_timestamp pipeline_freshness_status "
+    "data_freshness_status t:checked_at"
+)
+
+
+@register("merged_log", LOGGED_COLUMNS, LOGGED_SQL)
+def merged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks, after their segments were merged."""
+    return _logged(spark, sf_dir)["freshness_log"]
+
+
+@register(
+    "newest_log_row",
+    LOGGED_COLUMNS,
+    f"select * from ({LOGGED_SQL}) order by checked_at desc limit 1",
+)
+def newest_log_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest check, from the one segment that names its time."""
+    newest = _logged(spark, sf_dir).newest("freshness_log")
+    return newest.orderBy(F.col("checked_at").desc()).limit(1)

@@ -9,7 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattlane.book import BOOKED, BOOKED_BY, Book
 from wattlane.schemas import TABLES, Table
+from wattlane.segments import Segments
 from wattlane.session import prepare
 
 # Partition column to wanted values, as they are spelt in folder names.
@@ -42,6 +44,7 @@ class Lake:
         self.root = root.rstrip("/")
         suffix = "_sample" if sample else ""
         self.datasets = {name: f"{name}{suffix}" for name in DATASETS} | dict(datasets or {})
+        self.book = Book(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{self.datasets[TABLES[name].dataset]}/{name}"
@@ -56,21 +59,33 @@ class Lake:
         where a filter would first list the whole table.
         """
         schema = TABLES[name].stored
-        nothing = self.spark.createDataFrame([], schema)
+        if TABLES[name].segmented:
+            return self.segments(name).read().select(*schema.fieldNames())
         if leaves is not None and not all(leaves.values()):
-            return nothing
+            return self.spark.createDataFrame([], schema)
         if leaves is None:
             path = self._live_path(name)
         else:
             path = self._pattern(name, leaves)
         folder, files = self._folder(path)
         if not (files.globStatus(folder) or ()):
-            return nothing
+            return self.spark.createDataFrame([], schema)
         # A pattern's folders are read as partitions of the table they lie in.
         root = path if leaves is None else self.path(name)
         reader = self.spark.read.schema(schema).option("basePath", root)
         return reader.parquet(path).select(*schema.fieldNames())
 
+    def segments(self, name: str) -> Segments:
+        table = TABLES[name]
+        return Segments(
+            self.spark, self.path(name), table.stored,
+            newest_by=table.newest_by, keys=table.keys, sort_by=table.sort_by,
+        )
+
+    def newest(self, name: str) -> DataFrame:
+        """The rows of a log's newest segment, which has its newest row: one file is read."""
+        return self.segments(name).newest().select(*TABLES[name].schema.fieldNames())
+
     def on_days(self, name: str, dates: Iterable[date]) -> DataFrame:
         """The table's rows of some observation days."""
         return self.stored(name, day_leaves(dates)).select(*TABLES[name].schema.fieldNames())
@@ -92,7 +107,9 @@ class Lake:
 
     def create_missing(self, names: Iterable[str] = CONTROL_TABLES) -> None:
         for name in names:
-            if not self.exists(name):
+            if TABLES[name].segmented:
+                self.segments(name).create()
+            elif not self.exists(name):
                 self.replace(name, self.spark.createDataFrame([], TABLES[name].stored))
 
     def sql(self, query: str, **parameters: object) -> DataFrame:
@@ -104,9 +121,19 @@ class Lake:
 
     def replace(self, name: str, rows: DataFrame, *, laid_out: bool = False) -> None:
         """Rebuild a whole table."""
+        if TABLES[name].segmented:
+            check_schema(name, rows)
+            self.segments(name).replace(rows)
+            return
+        self.book.touch(name, None)
         self._writer(name, rows, laid_out).mode("overwrite").parquet(self.path(name))
 
     def append(self, name: str, rows: DataFrame) -> None:
+        if TABLES[name].segmented:
+            check_schema(name, rows)
+            self.segments(name).append(rows)
+            return
+        self.book.touch(name, None)
         self._writer(name, rows).mode("append").parquet(self.path(name))
 
     def replace_partitions(
@@ -123,6 +150,7 @@ class Lake:
         new rows is dropped: an overwrite by partition cannot see it, but its old files
         are still listed afterwards.
         """
+        self.book.touch(name, leaves)
         before = self.files(name, leaves) if leaves is not None else set()
         (
             self._writer(name, rows, laid_out)
@@ -199,7 +227,15 @@ class Lake:
         same = [F.col(key).eqNullSafe(F.col(f"touched_{key}")) for key in keys]
         whole = rows.join(touched.distinct(), same, "left_semi")
         changed = whole.withColumn(column, F.when(where, value).otherwise(F.col(column)))
-        self.replace_partitions(name, changed.select(*names))
+        if name not in BOOKED:
+            self.replace_partitions(name, changed.select(*names))
+            return
+        # As many rows as there are partitions to rewrite.
+        found = touched.distinct().collect()
+        told = BOOKED_BY[name]
+        leaves = {key: {str(row[f"touched_{key}"]) for row in found} for key in told}
+        with self.book.changing({name: leaves if all(None not in row for row in found) else None}):
+            self.replace_partitions(name, changed.select(*names))
 
     def copy_batch(self, target: Lake, batch_date: date) -> None:
         """Rebuild the target's raw table from one batch date of this lake."""

@@ -17,7 +17,7 @@ from wattlane.functions.scoring import BASELINE_DAYS
 from wattlane.lake import Lake, day_leaves, enforce
 from wattlane.operators import anomalies, control, marts, quality, staging
 from wattlane.operators.ingest import normalise, require_rows, stamp_batch
-from wattlane.schemas import RAW
+from wattlane.schemas import RAW, TABLES
 from wattlane.sources.landing import enforce_required, land, read_landed
 from wattlane.window import BatchWindow, utc_now
 
@@ -69,13 +69,17 @@ def load_raw(
     windows = list(windows)
     batch_dates = sorted({window.batch_date for window in windows})
     leaves = {"batch_date": {day.isoformat() for day in batch_dates}}
+    ids = {window.batch_id for window in windows}
     if replace == REPLACE_WINDOW:
-        leaves["_batch_id"] = {window.batch_id for window in windows}
+        leaves["_batch_id"] = ids
     table = _declared(enforce_required(rows), windows).select(
         *RAW.fieldNames(), F.to_date(parse_period(F.col("period"))).alias("observation_date")
     )
-    stale = lake.replace_partitions(RAW_TABLE, table, leaves)
-    written_leaves = {file.rsplit("/", 1)[0] for file in lake.files(RAW_TABLE, leaves)}
+    # A day's load also drops batches that it does not name.
+    entered = leaves if replace == REPLACE_WINDOW else lake.book.batches_of(batch_dates, ids)
+    with lake.book.changing({RAW_TABLE: entered}):
+        stale = lake.replace_partitions(RAW_TABLE, table, leaves)
+        written_leaves = {file.rsplit("/", 1)[0] for file in lake.files(RAW_TABLE, leaves)}
     return Loaded(
         rows_by_batch=_written_rows(lake, windows),
         batch_dates=batch_dates,
@@ -85,12 +89,10 @@ def load_raw(
 
 def _written_rows(lake: Lake, windows: list[BatchWindow]) -> dict[str, int]:
     """Rows of each window as the files have them: tasks run twice do not count twice."""
-    leaves = {
-        "batch_date": {window.batch_date.isoformat() for window in windows},
-        "_batch_id": {window.batch_id for window in windows},
-    }
-    counts = lake.stored(RAW_TABLE, leaves).groupBy("_batch_id").count().collect()
-    return {row["_batch_id"]: row["count"] for row in counts}
+    ids = [window.batch_id for window in windows]
+    held = lake.book.partitions(RAW_TABLE).where(F.col("_batch_id").isin(*ids))
+    counts = held.groupBy("_batch_id").agg(F.sum("n_rows").alias("n_rows")).collect()
+    return {row["_batch_id"]: row["n_rows"] for row in counts}
 
 
 def _declared(rows: DataFrame, windows: Iterable[BatchWindow]) -> DataFrame:
@@ -131,9 +133,9 @@ def build_staging(
         rows = lake.stored(RAW_TABLE, batches).where(F.col(DAY).isNotNull())
         lake.replace_partitions("stg_grid_metrics", staging.newest_staged(rows))
     elif dates is not None:
-        days = day_leaves(dates)
-        newest = staging.newest_staged(lake.stored(RAW_TABLE, days))
-        lake.replace_partitions("stg_grid_metrics", newest, days)
+        dates = list(dates)
+        raw = lake.stored(RAW_TABLE, lake.book.raw_leaves(dates))
+        lake.replace_partitions("stg_grid_metrics", staging.newest_staged(raw), day_leaves(dates))
     else:
         raw = lake.stored(RAW_TABLE)
         newest = staging.newest_staged(raw.where(F.col(DAY).isNotNull()))
@@ -200,8 +202,15 @@ def build_aggregates(lake: Lake, dates: Iterable[date] | None = None) -> None:
 def rebuild(lake: Lake, dates: Iterable[date] | None = None) -> None:
     """All tables from raw, whole or for the affected days."""
     dates = None if dates is None else list(dates)
-    build_staging(lake, dates)
-    _build_marts(lake, dates)
+    with lake.book.changing(_rebuilt(dates)):
+        build_staging(lake, dates)
+        _build_marts(lake, dates)
+
+
+def _rebuilt(dates: list[date] | None) -> dict[str, dict[str, set[str]] | None]:
+    """What a rebuild of these days changes, by table."""
+    tables = [name for name in MODELS if DAY in TABLES[name].partition_by]
+    return {name: None if dates is None else day_leaves(dates) for name in tables}
 
 
 def _build_marts(lake: Lake, dates: list[date] | None) -> None:
@@ -243,15 +252,28 @@ def score_anomalies(
     scored = anomalies.score(anomalies.daily_metrics(load, mix), dates)
     rows = anomalies.anomaly_rows(scored, run_id, checked_at or utc_now())
     written = Observation()
-    lake.append("anomaly_results", rows.observe(written, F.count(F.lit(1)).alias("rows")))
+    days = None if dates is None else day_leaves(dates)
+    with lake.book.changing({"anomaly_results": days}):
+        lake.append("anomaly_results", rows.observe(written, F.count(F.lit(1)).alias("rows")))
     return written.get["rows"]
 
 
+def newest_ingestions(lake: Lake) -> DataFrame:
+    """The newest ingestion of each raw partition, as the raw table names it."""
+    entries = lake.book.partitions(RAW_TABLE)
+    return entries.select(F.col("newest_ingestion").alias("_ingestion_timestamp"))
+
+
+def newest_observations(lake: Lake) -> DataFrame:
+    entries = lake.book.partitions("stg_grid_metrics")
+    return entries.select(F.col("last_observation").alias("observation_timestamp"))
+
+
 def log_freshness(lake: Lake, run_id: str, checked_at: datetime | None = None) -> None:
     """Append both freshness signals; unknown values when they cannot be read."""
     checked_at = checked_at or utc_now()
     try:
-        signals = control.freshness_signals(lake[RAW_TABLE], lake["stg_grid_metrics"])
+        signals = control.freshness_signals(newest_ingestions(lake), newest_observations(lake))
         lake.append("freshness_log", control.freshness_row(signals, run_id, checked_at))
     except Exception:
         LOGGER.warning("freshness falls back to unknown values", exc_info=True)
@@ -269,7 +291,7 @@ def advance_state(
 
 def gate_freshness(lake: Lake, checked_at: datetime | None = None) -> str:
     """Status of the raw source; an error stops the run, a warning is logged."""
-    checked = quality.source_freshness(lake[RAW_TABLE], checked_at or utc_now()).first()
+    checked = quality.source_freshness(newest_ingestions(lake), checked_at or utc_now()).first()
     if checked["status"] == "error":
         raise quality.CheckFailure(f"raw source is stale: newest {checked['max_loaded_at']}")
     if checked["status"] == "warn":
@@ -415,11 +437,15 @@ def _run(
         loaded = load_raw(lake, raw_rows, runs.values(), replace)
         gate_freshness(lake, checked_at)
         dates = loaded.affected_dates
-        if replace == REPLACE_DAY:
-            build_staging(lake, batch_dates=loaded.batch_dates)
-        else:
-            build_staging(lake, dates)
-        _build_marts(lake, dates)
+        # Only a rebuild by days tells which staged days it replaces.
+        by_days = replace == REPLACE_WINDOW
+        changes = _rebuilt(dates) | ({} if by_days else {"stg_grid_metrics": None})
+        with lake.book.changing(changes):
+            if by_days:
+                build_staging(lake, dates)
+            else:
+                build_staging(lake, batch_dates=loaded.batch_dates)
+            _build_marts(lake, dates)
         built = True
         checks = run_checks(lake, dates).collect()
         failed = sorted(row["check_name"] for row in checks if row["status"] == "fail")

@@ -24,8 +24,10 @@ from wattlane.functions.arguments import (
 from wattlane.functions.metrics import trimmed
 from wattlane.functions.scoring import share_pct
 from wattlane.functions.status import combined_status, known_status
-from wattlane.lake import union_all
+from wattlane.book import measures
+from wattlane.lake import Lake, union_all
 from wattlane.operators.anomalies import latest_scores
+from wattlane.schemas import TABLES
 
 Tables = Mapping[str, DataFrame]
 
@@ -130,10 +132,21 @@ def top_regions(tables: Tables, start: date, end: date, limit: int = 10) -> Data
 # Control tables
 
 
-def _latest(rows: DataFrame, by: str) -> DataFrame:
+def _latest(tables: Tables, name: str, by: str) -> DataFrame:
+    """The newest row of a log; a lake reads the one segment that has it."""
+    kept = isinstance(tables, Lake) and TABLES[name].segmented
+    rows = tables.newest(name) if kept else tables[name]
     return rows.orderBy(F.col(by).desc()).limit(1)
 
 
+def _partitions(tables: Tables, name: str) -> DataFrame:
+    """What is known of each day of a table: a lake's book has it, else the rows are asked."""
+    if isinstance(tables, Lake):
+        return tables.book.partitions(name)
+    columns = [value.alias(column) for column, value in measures(name).items()]
+    return tables[name].groupBy(DAY).agg(*columns)
+
+
 def _one_row(rows: DataFrame, *columns: Column) -> DataFrame:
     """At most one row in, exactly one out: NULLs where there was none."""
     kept = rows.agg(*[F.max(name).alias(name) for name in rows.columns])
@@ -142,7 +155,7 @@ def _one_row(rows: DataFrame, *columns: Column) -> DataFrame:
 
 def latest_freshness(tables: Tables) -> DataFrame:
     """Both signals of the newest check and the worse of the two; unknown when none ran."""
-    latest = _latest(tables["freshness_log"], "checked_at")
+    latest = _latest(tables, "freshness_log", "checked_at")
     pipeline, data = F.col("pipeline_freshness_status"), F.col("data_freshness_status")
     return _one_row(
         latest,
@@ -157,7 +170,7 @@ def latest_freshness(tables: Tables) -> DataFrame:
 
 def latest_run_state(tables: Tables) -> DataFrame:
     """The newest successful window; NULLs when none is recorded."""
-    return _one_row(_latest(tables["pipeline_state"], "updated_at"))
+    return _one_row(_latest(tables, "pipeline_state", "updated_at"))
 
 
 def response_metadata(tables: Tables) -> DataFrame:
@@ -233,17 +246,16 @@ def flagged_count(rows: DataFrame) -> DataFrame:
 def anomaly_summary(tables: Tables) -> DataFrame:
     """Flags and regions of the seven days up to the newest scored day; a zero row if none.
 
-    The newest day is a scalar subquery, which also prunes the partitions read.
+    Of a lake, its book tells them by day; the newest day is a scalar subquery.
     """
-    results = tables["anomaly_results"]
-    latest = results.agg(F.max("observation_date")).scalar()
-    return results.where(F.col(DAY) >= F.date_sub(latest, 6)).agg(
-        F.max("observation_date").alias("latest_observation_date"),
-        F.max("checked_at").alias("latest_anomaly_checked_at"),
-        F.count_if("anomaly_flag").alias("flagged_anomaly_count_last_7_days"),
-        F.countDistinct(F.when(F.col("anomaly_flag"), F.col("region"))).alias(
-            "affected_regions_last_7_days"
-        ),
+    days = _partitions(tables, "anomaly_results")
+    latest = days.agg(F.max(DAY)).scalar()
+    regions_flagged = F.array_distinct(F.flatten(F.collect_list("flagged_regions")))
+    return days.where(F.col(DAY) >= F.date_sub(latest, 6)).agg(
+        F.max(DAY).alias("latest_observation_date"),
+        F.max("newest_check").alias("latest_anomaly_checked_at"),
+        F.coalesce(F.sum("n_flagged"), F.lit(0)).alias("flagged_anomaly_count_last_7_days"),
+        F.size(regions_flagged).cast("long").alias("affected_regions_last_7_days"),
     )
 
 
@@ -258,10 +270,10 @@ def data_quality_status(tables: Tables) -> DataFrame:
 
 
 def date_bounds(tables: Tables) -> DataFrame:
-    """First and last day over the four aggregates; reads the partition column only."""
+    """First and last day over the four aggregates; a lake's book has them."""
     names = ("agg_load_daily", "agg_load_hourly", "agg_generation_mix", "agg_top_regions")
     bounds = [
-        tables[name].agg(F.min(DAY).alias("min_date"), F.max(DAY).alias("max_date"))
+        _partitions(tables, name).agg(F.min(DAY).alias("min_date"), F.max(DAY).alias("max_date"))
         for name in names
     ]
     return union_all(bounds).agg(

@@ -134,6 +134,24 @@ ANOMALY_RESULTS = _struct(
     ("checked_at", TIMESTAMP),
 )
 
+#: What is known of every partition of the tables that jobs write, an entry for each change.
+PARTITION_BOOK = _struct(
+    ("table_name", STRING, False),
+    ("scope", STRING, False),
+    ("batch_date", DATE),
+    ("_batch_id", STRING),
+    ("observation_date", DATE),
+    ("entry", LONG, False),
+    ("pending", BOOLEAN, False),
+    ("n_rows", LONG),
+    ("newest_ingestion", TIMESTAMP),
+    ("first_observation", TIMESTAMP),
+    ("last_observation", TIMESTAMP),
+    ("newest_check", TIMESTAMP),
+    ("n_flagged", LONG),
+    ("flagged_regions", T.ArrayType(STRING)),
+)
+
 RUN_RESULTS = _struct(
     (
         "results",
@@ -158,11 +176,18 @@ class Table:
     sort_by: tuple[str, ...] = ()
     # Columns kept in the file layout only, not part of the row contract.
     layout_only: tuple[T.StructField, ...] = ()
+    # A growing log in merged segments, by a time column, or of entries by keys.
+    newest_by: str = ""
+    keys: tuple[str, ...] = ()
 
     @property
     def stored(self) -> T.StructType:
         return T.StructType([*self.schema.fields, *self.layout_only])
 
+    @property
+    def segmented(self) -> bool:
+        return bool(self.newest_by or self.keys)
+
     @property
     def required(self) -> list[str]:
         return [field.name for field in self.schema.fields if not field.nullable]
@@ -197,7 +222,13 @@ TABLES = {
     "agg_generation_mix": Table("marts", AGG_GENERATION_MIX, BY_DAY, ("region", "energy_source")),
     "agg_top_regions": Table("marts", AGG_TOP_REGIONS, BY_DAY, ("rank",)),
     "pipeline_state": Table("meta", PIPELINE_STATE, ("pipeline_name",)),
-    "run_metrics": Table("meta", RUN_METRICS),
-    "freshness_log": Table("meta", FRESHNESS_LOG),
+    "run_metrics": Table("meta", RUN_METRICS, sort_by=("created_at",), newest_by="created_at"),
+    "freshness_log": Table("meta", FRESHNESS_LOG, sort_by=("checked_at",), newest_by="checked_at"),
+    "partition_book": Table(
+        "meta",
+        PARTITION_BOOK,
+        sort_by=("table_name", "observation_date"),
+        keys=("table_name", "scope", "batch_date", "_batch_id", "observation_date"),
+    ),
     "anomaly_results": Table("meta", ANOMALY_RESULTS, BY_DAY, ("region", "metric_name")),
 }
