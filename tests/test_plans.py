@@ -15,6 +15,7 @@ from wattlane.window import BatchWindow
 
 WINDOW = BatchWindow.of("2025-11-14T00:00:00", "2025-11-15T00:00:00")
 D = date(2025, 11, 14)
+AGGREGATES = ("load_daily", "load_hourly", "generation_mix", "top_regions")
 
 
 def plan_of(frame):
@@ -50,8 +51,13 @@ def test_fact_scans_read_only_their_columns(filled):
     plan = plan_of(marts.generation_mix(filled["fct_grid_metrics"]))
     assert "metric_surrogate_key" not in plan
     assert "EqualTo(metric_name,generation)" in plan
-    plan = plan_of(serving.date_bounds(filled))
-    assert plan.count("ReadSchema: struct<>") == 4
+    plain = {f"agg_{name}": filled[f"agg_{name}"] for name in AGGREGATES}
+    assert plan_of(serving.date_bounds(plain)).count("ReadSchema: struct<>") == 4
+
+
+def test_bounds_of_a_lake_read_its_book_alone(filled):
+    files = serving.date_bounds(filled).inputFiles()
+    assert files and all("/partition_book/" in file for file in files)
 
 
 @pytest.mark.parametrize("build", [marts.load_daily, marts.generation_mix, marts.dim_region])

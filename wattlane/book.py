@@ -114,6 +114,8 @@ class Book:
     def __init__(self, lake: Lake) -> None:
         self.lake = lake
         self._open: set[str] = set()
+        self._held: list[tuple[list[tuple], Mapping[str, Leaves]]] = []
+        self._depth = 0
         self._state: tuple[list, dict[str, Pending]] = ([], {})
 
     def exists(self) -> bool:
@@ -121,27 +123,42 @@ class Book:
 
     # Entering
 
+    @contextmanager
+    def together(self) -> Iterator[None]:
+        """What is known after a change waits for the next entry, or for the end."""
+        self._depth += 1
+        try:
+            yield
+        finally:
+            self._depth -= 1
+            if not self._depth and self._held:
+                self._write([])
+
     @contextmanager
     def changing(self, changes: Mapping[str, Leaves]) -> Iterator[None]:
         """Partitions that the body changes, by table; entered when it ends well."""
         new = not self.exists()
         changes = {n: _told(n, leaves) for n, leaves in changes.items() if n not in self._open}
-        # A book that begins beside tables does not know them.
-        before = {n: None for n in BOOKED if new and n not in changes and self.lake.exists(n)}
-        before |= {n: None if new and self.lake.exists(n) else x for n, x in changes.items()}
-        self._enter(self._marks(before, pending=True))
+        if not changes:
+            yield
+            return
+        if new:  # nothing is known yet, so there is nothing to take back
+            changes = {n: None if self.lake.exists(n) else x for n, x in changes.items()}
+        else:
+            self._write(self._marks(changes, pending=True))
         self._open |= changes.keys()
         try:
             yield
         finally:
             self._open -= changes.keys()
-        known = {name: before[name] for name in changes}
-        self._enter(self._marks(known, pending=False), known)
+        self._held.append((self._marks(changes, pending=False), changes))
+        if not self._depth:
+            self._write([])
 
     def touch(self, name: str, leaves: Leaves) -> None:
         """A write outside a job: what it touches is not known any more."""
         if name in BOOKED and name not in self._open and self.exists():
-            self._enter(self._marks({name: _told(name, leaves)}, pending=True))
+            self._write(self._marks({name: _told(name, leaves)}, pending=True))
 
     def renew(self, names: Iterable[str] = BOOKED) -> None:
         """Enter whole tables as they lie, for a lake whose book was lost or never begun."""
@@ -162,7 +179,15 @@ class Book:
                 marks += [(name, PARTITION, None, None, day, pending) for day in days]
         return marks
 
-    def _enter(self, marks: list[tuple], known: Mapping[str, Leaves] | None = None) -> None:
+    def _write(self, marks: list[tuple]) -> None:
+        """One append of what is held back and of these marks, which come after it."""
+        held, self._held = self._held, []
+        known = {name: leaves for _, changes in held for name, leaves in changes.items()}
+        known = {n: x for n, x in known.items() if n not in {mark[0] for mark in marks}}
+        marks = [m for own, _ in held for m in own if m[0] in known] + marks
+        if not self.exists():  # a book that begins beside tables does not know them
+            beside = [n for n in BOOKED if n not in known and self.lake.exists(n)]
+            marks += self._marks(dict.fromkeys(beside), pending=True)
         if not marks:
             return
         log = self.lake.segments(BOOK)
@@ -176,7 +201,7 @@ class Book:
         entries = rows.select(
             F.col("table_name"), F.col("scope"), *_entry("", "", columns | {"n_rows": F.lit(0)})[2:]
         )
-        frames = [measured(self.lake, n, x, number) for n, x in (known or {}).items()]
+        frames = [measured(self.lake, name, leaves, number) for name, leaves in known.items()]
         if frames:
             # A day that is still there takes the place of its mark.
             entries = reduce(DataFrame.unionByName, frames, entries)

@@ -109,27 +109,13 @@ def _result(name: Column, n_broken: Column) -> list[Column]:
     ]
 
 
-def _condensed(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per value of the columns that checks group by, with the number of rows and
-    of broken rows of each per-row check. All checks of a table go on from this one pass:
-    Spark computes it once and reads its shuffle again."""
-    keys = list(dict.fromkeys(c for check in checks if not check.per_row for c in check.columns))
-    counts = [
-        F.count_if(check.broken()).alias(f"broken_{i}")
-        for i, check in enumerate(checks)
-        if check.per_row
-    ]
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *counts)
-
-
 def _table_results(tables: Tables, table: str, checks: Sequence[Check]) -> list[DataFrame]:
-    condensed = _condensed(tables[table], checks)
+    """Per-row checks in one aggregate without keys, which tasks combine before anything is
+    shuffled; every other check shuffles the counts of its own columns alone."""
     frames = []
     per_row = [(i, check) for i, check in enumerate(checks) if check.per_row]
     if per_row:
-        sums = condensed.agg(
-            *[F.coalesce(F.sum(f"broken_{i}"), F.lit(0)).alias(str(i)) for i, _ in per_row]
-        )
+        sums = tables[table].agg(*[F.count_if(check.broken()).alias(str(i)) for i, check in per_row])
         pairs = [
             F.struct(F.lit(check.name).alias("name"), F.col(str(i)).alias("n"))
             for i, check in per_row
@@ -142,22 +128,14 @@ def _table_results(tables: Tables, table: str, checks: Sequence[Check]) -> list[
     for check in checks:
         if check.per_row:
             continue
-        columns = list(check.columns)
-        counted = condensed.groupBy(*columns).agg(F.sum("n_rows").alias("n_rows"))
-        if len(columns) == 1:
-            counted = counted.where(F.col(columns[0]).isNotNull())
-        if check.kind == "unique":
-            broken = counted.where(F.col("n_rows") > 1)
-            count = F.count(F.lit(1))
-        else:
-            broken = counted.join(tables[check.parent].select(*columns), columns, "left_anti")
-            count = F.coalesce(F.sum("n_rows"), F.lit(0))
-        frames.append(broken.agg(count.alias("n")).select(*_result(F.lit(check.name), F.col("n"))))
+        n = F.count(F.lit(1)) if check.kind == "unique" else F.coalesce(F.sum("n_rows"), F.lit(0))
+        broken = violations(tables, check).agg(n.alias("n"))
+        frames.append(broken.select(*_result(F.lit(check.name), F.col("n"))))
     return frames
 
 
 def check_results(tables: Tables, checks: Sequence[Check] = CHECKS) -> DataFrame:
-    """One row per check: name, broken rows or groups, pass or fail; one scan per table."""
+    """One row per check: name, broken rows or groups, pass or fail."""
     frames = []
     for table in dict.fromkeys(check.table for check in checks):
         frames += _table_results(tables, table, [c for c in checks if c.table == table])

@@ -410,8 +410,9 @@ def load_and_rebuild(
     lake: Lake, raw_rows: DataFrame, windows: Iterable[BatchWindow]
 ) -> Loaded:
     """Data tables only: no checks, scores or control rows."""
-    loaded = load_raw(lake, raw_rows, windows)
-    rebuild(lake, loaded.affected_dates)
+    with lake.book.together():
+        loaded = load_raw(lake, raw_rows, windows)
+        rebuild(lake, loaded.affected_dates)
     return loaded
 
 
@@ -419,6 +420,13 @@ def _run_id(prefix: str, window: BatchWindow) -> str:
     return f"{prefix}__{window.end.isoformat()}"
 
 
+def _score(lake: Lake, dates: list[date], run_id: str, checked_at: datetime | None) -> None:
+    try:
+        score_anomalies(lake, dates, run_id, checked_at)
+    except Exception:
+        LOGGER.warning("anomaly scoring failed; the run goes on", exc_info=True)
+
+
 def _run(
     lake: Lake,
     raw_rows: DataFrame,
@@ -434,28 +442,27 @@ def _run(
     built = False
     status = "failed"
     try:
-        loaded = load_raw(lake, raw_rows, runs.values(), replace)
-        gate_freshness(lake, checked_at)
-        dates = loaded.affected_dates
-        # Only a rebuild by days tells which staged days it replaces.
-        by_days = replace == REPLACE_WINDOW
-        changes = _rebuilt(dates) | ({} if by_days else {"stg_grid_metrics": None})
-        with lake.book.changing(changes):
-            if by_days:
-                build_staging(lake, dates)
-            else:
-                build_staging(lake, batch_dates=loaded.batch_dates)
-            _build_marts(lake, dates)
-        built = True
-        checks = run_checks(lake, dates).collect()
-        failed = sorted(row["check_name"] for row in checks if row["status"] == "fail")
+        with lake.book.together():
+            loaded = load_raw(lake, raw_rows, runs.values(), replace)
+            gate_freshness(lake, checked_at)
+            dates = loaded.affected_dates
+            # Only a rebuild by days tells which staged days it replaces.
+            by_days = replace == REPLACE_WINDOW
+            changes = _rebuilt(dates) | ({} if by_days else {"stg_grid_metrics": None})
+            with lake.book.changing(changes | {"anomaly_results": day_leaves(dates)}):
+                if by_days:
+                    build_staging(lake, dates)
+                else:
+                    build_staging(lake, batch_dates=loaded.batch_dates)
+                _build_marts(lake, dates)
+                built = True
+                checks = run_checks(lake, dates).collect()
+                failed = sorted(row["check_name"] for row in checks if row["status"] == "fail")
+                built = not failed
+                if built:
+                    _score(lake, dates, run_id, checked_at)
         if failed:
-            built = False
             raise quality.CheckFailure(f"failed checks: {', '.join(failed)}")
-        try:
-            score_anomalies(lake, dates, run_id, checked_at)
-        except Exception:
-            LOGGER.warning("anomaly scoring failed; the run goes on", exc_info=True)
         advance_state(lake, window, run_id)
         status = "success"
     finally:

@@ -168,13 +168,18 @@ class Segments:
 
     def _write(self, rows: DataFrame, first: int, last: int) -> None:
         unfinished = f"{_UNFINISHED}{uuid4().hex}"
-        written = Observation()
-        time = F.unix_micros(self.newest_by) if self.newest_by else F.lit(0)
         ordered = rows.select(*self.schema.fieldNames()).coalesce(1)
         if self.sort_by:
             ordered = ordered.sortWithinPartitions(*self.sort_by)
-        ordered.observe(written, F.max(time).alias("newest")).write.parquet(f"{self.path}/{unfinished}")
-        segment = Segment(first, last, written.get["newest"] if self.newest_by else None)
+        newest = None
+        if self.newest_by:
+            written = Observation()
+            time = F.max(F.unix_micros(self.newest_by)).alias("newest")
+            ordered.observe(written, time).write.parquet(f"{self.path}/{unfinished}")
+            newest = written.get["newest"]
+        else:
+            ordered.write.parquet(f"{self.path}/{unfinished}")
+        segment = Segment(first, last, newest)
         folder, files = self._folder(unfinished)
         if not files.rename(folder, self._folder(segment.name)[0]):
             raise OSError(f"{self.path}: {segment.name} could not be moved into place")
