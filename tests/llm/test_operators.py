@@ -315,3 +315,16 @@ def test_classifier_learns_order_and_keeps_clean(spark, awkward, nothing):
     odd = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (4, None, 1), (None, 1, 0)], rated.schema)
     assert ordinal.classify(awkward, odd).count() == len(ROWS)
     assert ordinal.classify(nothing, rated).count() == 0
+
+
+def test_digest_over_many_stretches(spark):
+    """A thousand stretches answer as one does, null and equal ids among them."""
+    rows = [(None if k % 7 == 0 else k - k % 5, f"text {k} " + "word " * (k % 9)) for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ranks = digest.entropy_ranks(docs)
+
+    def result(stretch_rows):
+        found = digest.against_next(docs, ranks, stretch_rows=stretch_rows)
+        return sorted(map(tuple, found.drop("stretch").collect()), key=repr)
+
+    assert result(5) == result(10**6)

@@ -361,13 +361,16 @@ def against_next(
     null_key = None
     if len(cuts) + 1 in firsts:
         null_key = rows.where(F.col("doc_id").isNull()).agg(F.max(text_key)).first()[0]
-    lent_to = F.lit(None).cast("int")
-    for at, stretch in enumerate(order):
-        first = firsts[stretch]
-        begins = F.col("doc_id") == first if first is not None else (
-            F.col("doc_id").isNull() & (text_key == null_key)
-        )
-        lent_to = F.when(begins, order[at - 1]).otherwise(lent_to)
+    # Looked up by the stretch's number, so the plan is as deep for any number of stretches.
+    before = {stretch: order[at - 1] for at, stretch in enumerate(order)}
+    numbers = range(len(cuts) + 2)
+    place = number.cast("int") + 1
+    first = F.element_at(F.array(*(F.lit(firsts.get(n)).cast("bigint") for n in numbers)), place)
+    lends = F.element_at(F.array(*(F.lit(before.get(n)).cast("int") for n in numbers)), place)
+    begins = F.when(
+        F.col("doc_id").isNull(), text_key == F.lit(null_key).cast("bigint")
+    ).otherwise(F.col("doc_id") == first)
+    lent_to = F.when(begins, lends)
     own = F.struct(number.cast("int").alias("stretch"), F.lit(False).alias("lent"))
     lent = F.struct(lent_to.alias("stretch"), F.lit(True).alias("lent"))
     placed = (
