@@ -1479,3 +1479,20 @@ def newest_log_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest check, from the one segment that names its time."""
     newest = _logged(spark, sf_dir).newest("freshness_log")
     return newest.orderBy(F.col("checked_at").desc()).limit(1)
+
+
+@register(
+    "changed_partitions",
+    "side d:observation_date metric_surrogate_key f:metric_value",
+    """select side, observation_date, metric_surrogate_key,
+        metric_value + case side when 'after' then 1 else 0 end as metric_value
+        from stg, (values ('before'), ('after')) as sides(side)
+        where region = 'R7' and metric_name = 'demand' and day(observation_date) % 10 = 3""",
+)
+def changed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few rows of the fact changed, found by the fingerprints of its days."""
+    before = built_lake(spark, sf_dir)["fct_grid_metrics"]
+    planted = (F.col("region") == "R7") & (F.col("metric_name") == "demand") & (F.day("observation_date") % 10 == 3)
+    value = F.col("metric_value") + F.when(planted, 1.0).otherwise(0.0)
+    found = snapshots.partition_differences(before, before.withColumn("metric_value", value), "observation_date")
+    return found.select("side", "observation_date", "metric_surrogate_key", "metric_value")
