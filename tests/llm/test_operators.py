@@ -20,6 +20,7 @@ from wattlane.llm import (
     recompression,
     repetition,
     suffix_array,
+    textarrays,
 )
 from wattlane.llm.queries import PIECE_MODEL, tokenizer_path
 
@@ -150,6 +151,57 @@ def test_repetition_covers_characters_of_longer_grams(frame):
     assert found[2].dup_5_chars == 0 and found[2].kept
 
 
+def thue_morse(n, first, second):
+    """Of this sequence and its complement all polynomials modulo a power of two agree."""
+    turns = [bin(k).count("1") & 1 for k in range(n)]
+    return [(first, second)[k] for k in turns], [(second, first)[k] for k in turns]
+
+
+def test_hashes_are_of_the_content():
+    numbers = np.random.default_rng(5).integers(0, 2**63, 3000, dtype=np.uint64)
+    prime = 2**61 - 1
+    a, b = numbers % prime, numbers[::-1] % prime
+    assert textarrays.times(a, b).tolist() == [int(x) * int(y) % prime for x, y in zip(a, b, strict=True)]
+    twice = textarrays.RangeHashes(np.concatenate([numbers, numbers[:7], numbers]))
+    at = np.arange(2000)
+    assert (twice(at, at + 900) == twice(at + 3007, at + 3907)).all()
+    assert len(np.unique(twice(at, at + 900))) == 2000
+    data = (numbers % 256).astype(np.uint8)
+    spans = textarrays.byte_hashes(np.concatenate([data, data]), at, at + 1000)
+    again = textarrays.byte_hashes(np.concatenate([data, data]), at + 3000, at + 4000)
+    assert (spans == again).all() and len(np.unique(spans)) == 2000
+    one, other = (np.array(x, np.uint64) for x in thue_morse(4096, 17, 40))
+    hashes = textarrays.RangeHashes(np.concatenate([one, other]))
+    assert hashes(np.array([0]), np.array([4096])) != hashes(np.array([4096]), np.array([8192]))
+
+
+def test_crafted_words_lines_and_stretches_stay_apart(spark):
+    one, other = ("".join(x) for x in thue_morse(2048, "a", "b"))
+    words, swapped = (" ".join(x) for x in thue_morse(4096, "ab", "ba"))
+    tail = [f"t{k}" for k in range(28)]
+    docs = [
+        (1, f"{one}\n{other}"),
+        (2, " ".join([*tail, one, *tail])),
+        (3, " ".join([*tail, other, *tail])),
+        (4, words),
+        (5, swapped),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rules = {r.doc_id: r for r in repetition.repetition_rules(frame).collect()}
+    assert rules[1].n_dup_lines == 0
+    found = recompression.dedup_substrings(frame)
+    expected = Counter((i, *a) for (i, _), a in zip(docs, brute.earlier_windows(docs, 50), strict=True))
+    assert keyed(found, "doc_id", "n_words", "n_removed", "kept_text") == expected
+    long = [(1, one), (2, other), (3, one[:900]), (4, "zz" + one[:2048])]
+    frame = spark.createDataFrame(long, "doc_id long, text string")
+    found = suffix_array.dedup_substrings(frame, width=1300)
+    answers = brute.repeated_bytes([t for _, t in long], 1300)
+    rows = found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes").collect()
+    assert Counter((*r[:4], bytes(r[4])) for r in rows) == Counter(
+        (i, *a) for (i, _), a in zip(long, answers, strict=True)
+    )
+
+
 @pytest.mark.parametrize("in_one_task", [256, 1])
 def test_repeated_bytes(awkward, nothing, in_one_task):
     found = suffix_array.dedup_substrings(awkward, width=60, gram=16, in_one_task=in_one_task)

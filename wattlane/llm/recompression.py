@@ -14,8 +14,8 @@ one repeated word under that word. Equal windows are filed at the same place in
 the same key, the hash of the symbol's context, so shared symbols reveal all repeats.
 Windows next to each other mostly share a symbol; such a stretch is one row.
 
-Verification goes from coarse to fine. Stretches equal as a whole (128 bits of hash over
-all their words) form a class: every member beyond the smallest id is covered. Only where
+Verification goes from coarse to fine. Stretches equal as a whole (64 bits mixed from two
+hashes over all their words) form a class: every member beyond the smallest id is covered. Only where
 a key has unlike classes are windows compared one by one, and there only those of each
 class's smallest document.
 
@@ -37,12 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlane.llm.common import kept_aside, texts_of
-from wattlane.llm.textarrays import BASE, ODD, RangeHashes, blocks, mixed
+from wattlane.llm.textarrays import BASE, BASES, ODD, RangeHashes, blocks, mixed
 
 WINDOW = 50
 ROUNDS = 3
 
-ODD = np.uint64(0xD1342543DE82EF95)
 
 def _renamed(
     names: np.ndarray, left: np.ndarray, right: np.ndarray, salt: int
@@ -87,17 +86,19 @@ def _least_in_windows(
     low, high = begun[starts], ended[starts + width]
     some = np.flatnonzero(high > low)
     low, high = low[some], high[some]
-    # Forty bits of order, then the place: the leftmost of equals.
-    keys = order >> np.uint64(24) << np.uint64(24) | np.arange(len(order)).astype(np.uint64)
+    # Ranks tell all candidates apart: of equal orders the leftmost comes first.
+    ranked = np.argsort(order, kind="stable")
+    keys = np.empty(len(order), np.int64)
+    keys[ranked] = np.arange(len(order))
     reach = np.floor(np.log2(high - low)).astype(np.int64) if len(some) else low
-    best = np.empty(len(some), np.uint64)
+    best = np.empty(len(some), np.int64)
     table = keys
     for k in range(int(reach.max(initial=0)) + 1):
         if k:
             table = np.minimum(table[: -(1 << (k - 1))], table[1 << (k - 1) :])
         here = reach == k
         best[here] = np.minimum(table[low[here]], table[high[here] - (1 << k)])
-    out[some] = place[(best & np.uint64((1 << 24) - 1)).astype(np.int64)]
+    out[some] = place[ranked[best]]
     return out
 
 
@@ -145,7 +146,7 @@ def stretches(names: np.ndarray, bounds: np.ndarray, width: int = WINDOW, rounds
     first = np.flatnonzero(edge)
     last = np.concatenate([first[1:], [len(starts)]]) - 1
     low, high, a, b, same, text = starts[first], starts[last], a[first], b[first], same[first], text[first]
-    one, two = RangeHashes(full), RangeHashes(mixed(full ^ ODD))
+    one, two = RangeHashes(full), RangeHashes(full, BASES[1])
     # A stretch of one repeated word is as good as its first window.
     end = np.where(same, low, high) + width
     a, b = np.where(same, low, a), np.where(same, low + 1, b)
@@ -205,7 +206,7 @@ def _spelled(width: int):
             for at, block in blocks(batch["text"]):
                 starts, ends, bounds = block.words()
                 names = block.word_hashes(starts, ends)
-                one, two = RangeHashes(names), RangeHashes(mixed(names ^ ODD))
+                one, two = RangeHashes(names), RangeHashes(names, BASES[1])
                 first, text = [], []
                 for k in range(block.n):
                     for part in parts[at + k]:

@@ -5,7 +5,7 @@ hash, leftmost of equals. Equal windows have their anchors at the same place, so
 that begin at anchors suffice, one in some 170. Windows next to each other that share an
 anchor are one stretch; its bytes left and right of the anchor are all that can repeat.
 
-Stretches are filed under their gram. Equal stretches (128 bits of hash) form a class, and
+Stretches are filed under their gram. Equal stretches (64 bits of hash) form a class, and
 where a gram has one class only, all is known. Where it has more, one stretch of each class
 goes on with its bytes: Spark sorts these by gram and by what stands right of the anchor,
 which is the suffix array; common prefixes of neighbours make it an enhanced one. A stack
@@ -33,25 +33,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlane.llm.common import kept_aside, same_document, texts_of
-from wattlane.llm.textarrays import BYTE_NUMBERS, ODD, Block, RangeHashes, blocks, mixed
+from wattlane.llm.textarrays import BASES, Block, blocks, byte_hashes, gram_hashes, mixed
 
 WINDOW = 400
 GRAM = 64
 IN_ONE_TASK = 256
 
 
-def _hashers(block: Block) -> tuple[RangeHashes, RangeHashes]:
-    numbers = BYTE_NUMBERS[block.data]
-    return RangeHashes(numbers), RangeHashes(mixed(numbers ^ ODD))
+def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
+    """For each window of ``width`` keys the place of the least, the leftmost of equals."""
+    place = np.arange(len(keys))
 
+    def lesser(step: int) -> None:
+        nonlocal keys, place
+        n = len(keys) - step
+        place = np.where(keys[step:] < keys[:n], place[step:], place[:n])
+        keys = np.minimum(keys[:n], keys[step:])
 
-def _window_minimum(keys: np.ndarray, width: int) -> np.ndarray:
     step = 1
     while step * 2 <= width:
-        keys = np.minimum(keys[:-step], keys[step:])
+        lesser(step)
         step *= 2
-    rest = width - step
-    return np.minimum(keys[: len(keys) - rest], keys[rest:]) if rest else keys
+    if width > step:
+        lesser(width - step)
+    return place
 
 
 def stretches(block: Block, width: int = WINDOW, gram: int = GRAM):
@@ -64,13 +69,8 @@ def stretches(block: Block, width: int = WINDOW, gram: int = GRAM):
         return none, none.astype(np.uint64), none.astype(np.uint64), none, none, none
     starts = np.repeat(block.bounds[:-1] - np.cumsum(n_windows) + n_windows, n_windows)
     starts = starts + np.arange(len(text))
-    one, two = _hashers(block)
-    grams = np.arange(len(block.data) - gram + 1)
-    hashes = one(grams, grams + gram)
-    low_bits = np.uint64(max(24, int(len(hashes)).bit_length()))
-    keys = hashes >> low_bits << low_bits | grams.astype(np.uint64)
-    least = _window_minimum(keys, width - gram + 1)[starts]
-    anchor = (least & np.uint64((1 << int(low_bits)) - 1)).astype(np.int64)
+    hashes = gram_hashes(block.data, gram)
+    anchor = _least_places(hashes, width - gram + 1)[starts]
     edge = np.ones(len(text), bool)
     edge[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(edge)
@@ -78,7 +78,8 @@ def stretches(block: Block, width: int = WINDOW, gram: int = GRAM):
     low, high, anchor, text = starts[first], starts[last], anchor[first], text[first]
     key = hashes[anchor]
     end = high + width
-    cls = mixed(one(low, end) ^ mixed(two(low, end) + (anchor - low).astype(np.uint64)))
+    one, two = (byte_hashes(block.data, low, end, base) for base in BASES)
+    cls = mixed(one ^ mixed(two + (anchor - low).astype(np.uint64)))
     shift = block.bounds[text]
     return text, key, cls, low - shift, high - shift, anchor - shift
 
