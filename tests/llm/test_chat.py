@@ -87,6 +87,33 @@ def test_typed_parts(spark):
     assert row.expanded_tokens == 574
 
 
+def test_control_strings_cut_over_parts(spark):
+    """Wherever a text is cut into parts, it reads back as one, from its mask as well."""
+    rows, texts = [], {}
+    for text in ["hi <|end|><|turn|>user<|body|>", "<\\|end|>", "</s>[INST] ok [/INST]", "<\\\\/s>"]:
+        for cut in range(len(text) + 1):
+            n = len(rows)
+            texts[n] = text
+            pieces = [text[:cut], "", text[cut:]]
+            rows.append((n, 0, "assistant", [("text", t, None, None) for t in pieces]))
+    n = len(rows)
+    image = ("image", "not read", "a.png", 1)
+    parts = [("text", "<", None, None), image, ("text", "|end|>", None, None), ("End", None, "e", 1)]
+    rows.append((n, 0, "assistant", parts))
+    frame = spark.createDataFrame(
+        rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>"
+    )
+    texts[n] = "<<|image|>|end|><|end_|>"
+    found = read_back(chat.format_conversations(frame)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert [tuple(t) for t in r.turns] == [("assistant", texts[r.conv_id])]
+        assert r.loss == texts[r.conv_id]
+        (span,) = r.loss_spans
+        escaped = r.formatted[span.start : span.end]
+        assert r.formatted == f"<|turn|>assistant<|body|>{escaped}<|end|>"
+
+
 def test_plan_has_one_shuffle_and_no_python(spark):
     given = spark.range(9).selectExpr("id % 3 as conv_id", "id as turn", "'user' as role", "'x' as text")
     frame = chat.format_conversations(given.withColumn("parts", chat.text_part(F.col("text"))))

@@ -1,8 +1,9 @@
 """Conversations as one training string each, with a loss mask and attachment references.
 
 A message is a turn of a conversation: ``conv_id``, ``turn``, ``role`` and ``parts``, an
-array of typed parts (``PART``). A visitor flattens the parts of a turn in order: text is
-escaped, any other kind leaves a placeholder ``<|kind|>``, an attachment reference and the
+array of typed parts (``PART``). A visitor flattens the parts of a turn in order: text parts
+that follow one another are joined and escaped as one, so that no control string arises where
+two of them meet; any other kind leaves a placeholder ``<|kind|>``, an attachment reference and the
 number of tokens that the placeholder will expand to (its units times the kind's rate).
 
     <|turn|>role<|body|>flattened parts<|end|>
@@ -58,12 +59,29 @@ def _kind(part: Column) -> Column:
 
 
 def _placeholder(part: Column) -> Column:
-    return F.concat(F.lit("<|"), F.regexp_replace(_kind(part), "[^a-z0-9_]", "_"), F.lit("|>"))
+    """The kind between bars; one that is called like a control string has a dash more."""
+    name = F.regexp_replace(_kind(part), "[^a-z0-9_]", "_")
+    name = F.when(name.isin("turn", "body", "end"), F.concat(name, F.lit("_"))).otherwise(name)
+    return F.concat(F.lit("<|"), name, F.lit("|>"))
 
 
-def _visit(part: Column) -> Column:
-    written = F.coalesce(part["text"], F.lit(""))
-    return F.when(_kind(part) == "text", escape(written)).otherwise(_placeholder(part))
+def _stops(parts: Column) -> Column:
+    """Where texts end: 0, the places from 1 of parts that are no text, one beyond the last."""
+    at = F.transform(parts, lambda p, i: F.when(_kind(p) != "text", i + 1))
+    return F.concat(F.array(F.lit(0)), F.array_compact(at), F.array(F.size(parts) + 1))
+
+
+def _visit(parts: Column, stops: Column) -> Column:
+    """Escaped text up to each stop, with the placeholder that stands there."""
+    texts = F.transform(parts, lambda p: F.coalesce(p["text"], F.lit("")))
+
+    def between(before: Column, k: Column) -> Column:
+        stop = F.get(stops, k + 1)
+        text = F.array_join(F.slice(texts, before + 1, stop - before - 1), "")
+        mark = F.coalesce(_placeholder(F.get(parts, stop - 1)), F.lit(""))
+        return F.concat(escape(text), F.when(stop > F.size(parts), "").otherwise(mark))
+
+    return F.array_join(F.transform(F.slice(stops, 1, F.size(stops) - 1), between), "")
 
 
 def _tokens(part: Column, rates: dict[str, int]) -> Column:
@@ -93,7 +111,15 @@ def format_conversations(
         "conv_id",
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
-        F.array_join(F.transform(parts, _visit), "").alias("content"),
+        parts.alias("parts"),
+        _stops(parts).alias("stops"),
+    )
+    parts = F.col("parts")
+    turns = turns.select(
+        "conv_id",
+        "turn",
+        "role",
+        _visit(parts, F.col("stops")).alias("content"),
         F.transform(
             F.filter(parts, lambda p: _kind(p) != "text"),
             lambda p: F.struct(
