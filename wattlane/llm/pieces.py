@@ -79,6 +79,7 @@ class PieceCodec:
             ends = (piece[:n] for n in range(len(piece) - 1, 0, -1))
             self._shorter[piece] = next((p for p in ends if p in reached), "")
         self._automaton.make_automaton()
+        self._longest_piece = max(map(len, reached), default=1)
         self._numbers = {piece: str(i) for piece, i in self.ids.items()}
         self._pairs: dict[tuple[str, str], bool] = {}
         self._chunks: dict[str, str] = {}
@@ -128,14 +129,15 @@ class PieceCodec:
     def _backtracked(self, text: str, taken: list[str]) -> list[str]:
         """The pieces of ``text``, searched onward from those already ``taken``."""
         longest, shorter, pairs = self._automaton.iter_long, self._shorter, self._pairs
-        size = len(text)
-        failed = 0
+        size, reach = len(text), self._longest_piece
+        failed = bytearray(size // 8 + 1)  # one bit a position
         at = sum(map(len, taken))
-        piece = next(longest(text, at))[1]
+        piece = next(longest(text[at : at + reach]))[1]
         while True:
             left = taken[-1] if taken else ""
             while piece:
-                if not failed or not failed >> (at + len(piece)) & 1:
+                end = at + len(piece)
+                if not failed[end >> 3] >> (end & 7) & 1:
                     fit = pairs.get((left, piece)) if left else True
                     if fit is None:
                         fit = self._go_together(left, piece)
@@ -147,9 +149,9 @@ class PieceCodec:
                 at += len(piece)
                 if at == size:
                     return taken
-                piece = next(longest(text, at))[1]
+                piece = next(longest(text[at : at + reach]))[1]
             else:
-                failed |= 1 << at
+                failed[at >> 3] |= 1 << (at & 7)
                 left = taken.pop()
                 at -= len(left)
                 piece = shorter[left]
