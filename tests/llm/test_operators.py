@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -130,6 +131,16 @@ def test_encoding_of_random_texts(library):
         assert tool.encode(" " * n + "a") == library.encode(" " * n + "a", add_eos=True)
 
 
+def test_long_text_without_a_space_takes_linear_time(library):
+    tool = pieces.codec(tokenizer_path(PIECE_MODEL))
+    rng = np.random.default_rng(8)
+    text = "".join(rng.choice(list("abcdefgilmnorstuéß"), 160_000))
+    begun = time.process_time()
+    ids = tool.encode(text)
+    assert time.process_time() - begun < 10  # a fifth of it here; minutes where it is quadratic
+    assert ids == library.encode(text, add_eos=True)
+
+
 def test_repetition_rules(awkward, nothing):
     found = repetition.repetition_rules(awkward)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -369,6 +380,28 @@ def test_classifier_learns_order_and_keeps_clean(spark, awkward, nothing):
     assert ordinal.classify(nothing, rated).count() == 0
 
 
+def test_null_flags_are_no_rating(spark):
+    flags = [(0, 0, 0), (0, None, 0), (1, 1, 1), (1, 0, 2), (1, None, None), (None, 0, None), (None, 1, None)]
+    frame = spark.createDataFrame(flags, "quality int, toxic int, grade int")
+    wrong = frame.where(~ordinal.grade_of(F.col("quality"), F.col("toxic")).eqNullSafe(F.col("grade")))
+    assert wrong.count() == 0
+
+
+def test_a_labelled_id_on_many_rows_is_one_text(spark):
+    """Its rows neither reach the driver nor outweigh the others; grades may be any."""
+    good, bad = "plain words of a text ", "foul words of a text "
+    base = spark.createDataFrame(
+        [(n, (good, bad)[n % 2] + f"number{n}") for n in range(400)], "doc_id long, text string"
+    )
+    crowd = spark.range(20_000).selectExpr("0L as doc_id", f"'{bad}' || id % 3 as text")
+    ratings = spark.createDataFrame([(n, (5, 2)[n % 2]) for n in range(400)], "doc_id long, grade int")
+    model = ordinal.fitted(base.union(crowd), ratings)
+    assert model.grades.tolist() == [2, 5]
+    tail = {r.doc_id: r.tail_probability for r in ordinal.graded(base, model).collect()}
+    assert all((tail[n] > 0.5) == (n % 2 == 0) for n in range(400))
+    assert ordinal.fitted(base, ratings.limit(0)) is None
+
+
 def test_digest_over_many_stretches(spark):
     """A thousand stretches answer as one does, null and equal ids among them."""
     rows = [(None if k % 7 == 0 else k - k % 5, f"text {k} " + "word " * (k % 9)) for k in range(6000)]

@@ -15,8 +15,8 @@ only features that ``LEAST_TEXTS`` sampled texts have and that tell grades apart
 beyond chance. Everything is scored.
 
 Defined cases: a null text is empty; a null grade or label id is no label; ids labelled
-several times have the mean of their grades, rounded down; without labels, or with one
-grade only, there is no model: grades are null and every row is kept. Repeated rows are
+several times have the mean of their grades, rounded down; a sampled id on several rows
+counts with the text of the least hash; without labels, or with one grade only, there is no model: grades are null and every row is kept. Repeated rows are
 scored each; an empty table gives an empty table; other columns are not read.
 """
 
@@ -219,24 +219,30 @@ def fitted(
     id_col: str = "doc_id",
     text_col: str = "text",
     per_grade: int = SAMPLE_PER_GRADE,
-    n_grades: int = 3,
     seed: int = 11,
 ) -> OrdinalModel | None:
-    """The model of ``ratings`` (``doc_id``, ``grade`` from 0), fitted on a bounded sample."""
+    """The model of ``ratings`` (``doc_id``, ``grade``, whole numbers in order), fitted on a
+    bounded sample: of ``per_grade`` ids a grade one text each, whatever rows they have."""
     rated = (
         ratings.where(F.col("doc_id").isNotNull() & F.col("grade").isNotNull())
         .groupBy("doc_id")
         .agg(F.floor(F.avg("grade")).cast("int").alias("grade"))
     )
     order = F.xxhash64(F.lit(seed), "doc_id")
+    totals = {row["grade"]: row["count"] for row in rated.groupBy("grade").count().collect()}
+    if not totals:
+        return None
     sample = None
-    for grade in range(n_grades):
+    for grade in sorted(totals):
         some = rated.where(F.col("grade") == grade).orderBy(order, "doc_id").limit(per_grade)
         sample = some if sample is None else sample.unionByName(some)
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    # At most per_grade rows a grade, so the sample is small at any size of the corpus.
+    # At most per_grade ids a grade, so the sample is small at any size of the corpus.
+    text = F.coalesce("text", F.lit(""))
     rows = (
         texts.join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id", "grade")
+        .agg(F.min_by(text, F.xxhash64(text)).alias("text"))
         .select("grade", "text")
         .mapInArrow(_feature_rows, "grade int, features array<bigint>")
         .toArrow()
@@ -247,7 +253,6 @@ def fitted(
     grades = rows["grade"].to_numpy()
     # In one order whatever the partitions were: sums then agree to the last bit.
     order = sorted(range(len(lists)), key=lambda i: (grades[i], lists[i].tobytes()))
-    totals = {row["grade"]: row["count"] for row in rated.groupBy("grade").count().collect()}
     return fit([lists[i] for i in order], grades[order], totals)
 
 
@@ -291,8 +296,10 @@ def graded(
 
 
 def grade_of(quality: Column, toxic: Column) -> Column:
-    """0 poor, 1 well written but toxic, 2 well written and clean; a null flag is no rating."""
-    return F.when(quality == 0, 0).when(toxic == 1, 1).when(toxic == 0, 2)
+    """0 poor, 1 well written but toxic, 2 well written and clean. A null quality is no
+    rating, nor is a null ``toxic`` of a text that is not poor."""
+    well = F.when(toxic == 1, 1).when(toxic == 0, 2)
+    return F.when(quality == 0, 0).when(quality.isNotNull(), well)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
