@@ -44,10 +44,12 @@ from wattlane.operators import (
     snapshots,
     staging,
 )
+from wattlane.operators.ranks import ranked_in_ranges
 from wattlane.plans import jobs, serving
 from wattlane.schemas import RAW
 from wattlane.sources import landing, pages
 from wattlane.sources.events import as_pages
+from wattlane.streaming import staleness
 from wattlane.streaming.windows import load_arriving
 from wattlane.window import BatchWindow, daily_window
 
@@ -504,6 +506,32 @@ def ranked_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views(spark, sf_dir)["agg_top_regions"]
 
 
+@register("ranked_regions_in_ranges", TOP_COLUMNS, "select * from agg_top_regions")
+def ranked_regions_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.top_regions(views(spark, sf_dir)["agg_load_daily"], range_rows=8)
+
+
+@register(
+    "rank_over_all_days",
+    "d:observation_date region i:thousands i:rank",
+    """select observation_date, region, thousands,
+        rank() over (order by thousands desc nulls last, region) as rank
+        from (select *, cast(floor(total_load / 1000) as bigint) as thousands from agg_load_daily)""",
+)
+def rank_over_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One group that holds all rows, with ties in value and name."""
+    daily = views(spark, sf_dir)["agg_load_daily"].select(
+        "observation_date",
+        "region",
+        F.floor(F.col("total_load") / 1000).alias("thousands"),
+        F.lit(1).alias("all_days"),
+    )
+    ranked = ranked_in_ranges(
+        daily, group="all_days", value="thousands", name="region", range_rows=16
+    )
+    return ranked.drop("all_days")
+
+
 @register("dim_region", "region region_name", "select * from dim_region")
 def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views(spark, sf_dir)["dim_region"]
@@ -1294,6 +1322,46 @@ def streamed_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir)["anomaly_results"].drop("run_id", "checked_at")
 
 
+STATUS_CHANGES_SQL = """
+    with hours as (
+        select distinct region as source, observation_timestamp as t from stg
+        where region is not null and observation_timestamp is not null),
+    gaps as (
+        select source, t, until, lag(t) over w as before, lead(t) over w as after
+        from hours, (select max(t) - interval 2 hour as until from hours)
+        window w as (partition by source order by t)),
+    spans as (select *, least(coalesce(after, until), until) as next from gaps where t < until)
+    select source, 'pass' as status, t as changed_at from spans
+        where before is null or t > before + interval 6 hour
+    union all select source, 'warn', t + interval 6 hour from spans where t + interval 6 hour < next
+    union all select source, 'error', t + interval 12 hour from spans
+        where t + interval 12 hour < next
+"""
+
+
+@register("status_changes", "source status t:changed_at", STATUS_CHANGES_SQL)
+def status_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All landed windows as a stream, with a timer for every silent source."""
+    root = fresh_lake(spark, "staleness").root
+    landing.land(raw_rows(spark, sf_dir), f"{root}/landing")
+    arrived = spark.readStream.schema(RAW).option("mode", "FAILFAST").json(f"{root}/landing")
+    observed = arrived.select(
+        F.col("respondent").alias("region"),
+        periods.parse_period(F.col("period")).alias("observation_timestamp"),
+    )
+    stream = staleness.status_changes(observed).writeStream.format("parquet")
+    stream = stream.option("checkpointLocation", f"{root}/progress").trigger(availableNow=True)
+    stream.start(f"{root}/changes").awaitTermination()
+    return spark.read.parquet(f"{root}/changes")
+
+
+@register("past_status_changes", "source status t:changed_at", STATUS_CHANGES_SQL)
+def past_status_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = staged_rows(spark, sf_dir)
+    newest = rows.agg(F.max("observation_timestamp")).first()[0]
+    return staleness.past_status_changes(rows, newest.astimezone(UTC) - staleness.DELAY)
+
+
 # The partition book and the segmented logs
 
 

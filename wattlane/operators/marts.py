@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattlane.operators.ranks import ranked_in_ranges
 from wattlane.schemas import (
     AGG_GENERATION_MIX,
     AGG_LOAD_DAILY,
@@ -102,12 +103,22 @@ def daily_totals(daily: DataFrame) -> DataFrame:
     )
 
 
-def top_regions(daily: DataFrame) -> DataFrame:
+def top_regions(daily: DataFrame, *, range_rows: int | None = None) -> DataFrame:
     """Every region's rank within its day, by total then code.
 
     Ranks over the daily aggregate, not the fact: a day's window holds one row per
-    region name, whatever the number of observations.
+    region name, whatever the number of observations. Where one day has too many of them
+    for a task, ``range_rows`` has it ranked in ranges of about so many.
     """
+    if range_rows is not None:
+        ranked = ranked_in_ranges(
+            daily_totals(daily),
+            group="observation_date",
+            value="daily_total_load",
+            name="region",
+            range_rows=range_rows,
+        )
+        return ranked.select(*AGG_TOP_REGIONS.fieldNames())
     by_day = Window.partitionBy("observation_date").orderBy(
         F.col("daily_total_load").desc(), F.col("region").asc()
     )
