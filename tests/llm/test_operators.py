@@ -83,6 +83,35 @@ def test_mixing_of_awkward_rows(awkward, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def test_mixing_of_many_equal_rows(spark):
+    """20,000 rows of one id, and as many of a null id, are no leaf of their own size."""
+    equal = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, 7).cast("long").alias("doc_id"),
+        F.lit("hot").alias("source"),
+        F.lit("w w w").alias("text"),
+    )
+    other = spark.range(300).select(
+        (F.col("id") + 100).alias("doc_id"), F.lit("rare").alias("source"), F.lit("w w").alias("text")
+    )
+    docs = equal.unionByName(other)
+
+    def run(rows):
+        mixed = mixing.mix(rows, leaf_rows=256, fan_in=4)
+        found = mixed.groupBy("doc_id", "source", "copies").count().collect()
+        return Counter({(r.doc_id, r.source, r.copies): r["count"] for r in found})
+
+    found = run(docs)
+    assert found == run(docs.repartition(3))
+    assert sum(found.values()) == 40_300
+    targets = brute.targets({"hot": 120_000, "rare": 600})
+    for source, size in (("hot", 3), ("rare", 2)):
+        taken = sum(size * c * n for (_, s, c), n in found.items() if s == source)
+        assert abs(taken - targets[source]) <= size
+    for doc_id in (7, None):
+        shares = {c for i, s, c in found if s == "hot" and i == doc_id}
+        assert len(shares) <= 2 and max(shares) - min(shares) <= 1
+
+
 def test_pivot_keeps_mass_and_probabilities():
     sizes, parts = np.array([3.0, 5.0, 2.0, 7.0, 1.0]), np.full(5, 0.4)
     seen = np.zeros(5)
@@ -223,6 +252,25 @@ def test_repeated_bytes(awkward, nothing, in_one_task):
     assert suffix_array.dedup_substrings(nothing).count() == 0
 
 
+def test_repeats_among_many_unlike_near_copies(spark):
+    """Each copy of a passage is changed somewhere, so one gram has many classes."""
+    rng = np.random.default_rng(5)
+    passage = "".join(chr(97 + k) for k in rng.integers(0, 26, 300))
+    docs = []
+    for n in range(700):
+        text = list(passage)
+        for at in rng.integers(0, len(text), rng.integers(1, 3)):
+            text[at] = chr(65 + rng.integers(0, 26))
+        docs.append((n, f"{n:05d}" * 3 + "".join(text) + f"{n * 31:06d}" * 3))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = suffix_array.dedup_substrings(frame, width=120, gram=16, in_one_task=24)
+    answers = brute.repeated_bytes([t for _, t in docs], 120)
+    rows = found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes").collect()
+    assert Counter((*r[:4], bytes(r[4])) for r in rows) == Counter(
+        (i, *a) for (i, _), a in zip(docs, answers, strict=True)
+    )
+
+
 def test_maximal_repeats_have_all_occurrences():
     texts = [b"xxABCDEFGHyy", b"zzABCDEFGHww", b"qqABCDEFGHyk", b"kkQBCDEFGQmm"]
     anchored = sorted((t[6:], t[:6][::-1]) for t in texts)  # anchor before the E

@@ -13,7 +13,9 @@ Draws depend only on seed, source and documents: reruns agree.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in
 order; a document of size 0 takes no words and is drawn alone; repeated rows are documents
-of their own; an empty table gives an empty table; other columns are not read.
+of their own, and so are rows of a null id; an empty table gives an empty table; other columns
+are not read. Rows that agree in all that is looked at are counted, in lots of a leaf's size
+at most, and a lot is rounded as one: its rows get equal shares, or differ by one copy.
 """
 
 from __future__ import annotations
@@ -38,9 +40,13 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(
-    sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = MOST_COPIES
+    sizes: DataFrame,
+    weights: Sequence[float] = (1, 2, 3),
+    most: float = MOST_COPIES,
+    alike: Column | None = None,
 ) -> DataFrame:
-    """``source``, ``n_docs``, ``source_size`` and ``target`` of ``sizes`` (source, size).
+    """``source``, ``n_rows``, ``source_size`` and ``target`` of ``sizes`` (source, size), each
+    row of which stands for ``alike`` documents (null: for one).
 
     Weights repeat over the sources in code point order, null last. Targets share the whole
     size by weight and stop at ``most`` times the source's size. Resharing what is above
@@ -48,8 +54,9 @@ def source_targets(
     from the sources in order of ``most * size / weight``, where those below the level are
     the full ones. The windows run over one row per source, never over documents.
     """
+    whole_size = F.col("size") if alike is None else F.col("size") * alike
     sources = sizes.groupBy("source").agg(
-        F.count("*").alias("n_docs"), F.sum("size").alias("source_size")
+        F.count("*").alias("n_rows"), F.sum(whole_size).alias("source_size")
     )
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(
@@ -69,7 +76,7 @@ def source_targets(
     levels = weighed.withColumn("level", level).withColumn("open", F.col("level") < F.col("full_at"))
     reached = F.min(F.when(F.col("open"), F.struct("full_at", "source", "level"))).over(whole)
     target = F.least(cap, F.col("weight") * F.coalesce(reached["level"], F.col("full_at")))
-    return levels.withColumn("target", target).select("source", "n_docs", "source_size", "target")
+    return levels.withColumn("target", target).select("source", "n_rows", "source_size", "target")
 
 
 def pivot(
@@ -131,7 +138,7 @@ def mix(
     fan_in: int = FAN_IN,
 ) -> DataFrame:
     """Each row's ``copies`` in the mix, with ``doc_id``, ``source``, ``size``, ``source_size``,
-    ``target`` and the columns named in ``keep``; texts do not travel."""
+    ``target`` and the columns named in ``keep`` (of types that group); texts do not travel."""
     size = word_count(F.col("text")) if size is None else size
     sized = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
@@ -139,28 +146,38 @@ def mix(
         size.cast("bigint").alias("size"),
         *(F.col(f"`{name}`") for name in keep),
     )
-    sized = kept_aside(sized)
-    targets = kept_aside(source_targets(sized, weights))
-    wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)
-    joined = sized.join(
+    columns = [F.col(f"`{name}`") for name in sized.columns]
+    lot_numbers = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("alike") - 1) / leaf_rows))
+    lots = (
+        sized.groupBy(*columns)
+        .agg(F.count("*").alias("alike"))
+        .withColumn("lot", F.explode(lot_numbers))
+        .withColumn("alike", F.least(F.lit(leaf_rows), F.col("alike") - F.col("lot") * leaf_rows))
+    )
+    lots = kept_aside(lots)
+    targets = kept_aside(source_targets(lots, weights, alike=F.col("alike")))
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)
+    wanted = F.col("alike") * ratio
+    joined = lots.join(
         targets.withColumnRenamed("source", "target_source"),
         F.col("source").eqNullSafe(F.col("target_source")),
     ).drop("target_source")
-    order_key = F.xxhash64(F.lit(seed), "doc_id", "size")
+    order_key = F.xxhash64(F.lit(seed), "doc_id", "size", "lot", *(F.col(f"`{c}`") for c in keep))
     units = joined.select(
         "*",
         F.floor(wanted).alias("sure"),
         (wanted - F.floor(wanted)).alias("part"),
         order_key.alias("order_key"),
         # Leaves are counted off by source, so a large source has many of the usual size.
-        F.pmod(order_key, F.greatest(F.lit(1), F.ceil(F.col("n_docs") / leaf_rows))).alias("node"),
+        F.pmod(order_key, F.greatest(F.lit(1), F.ceil(F.col("n_rows") / leaf_rows))).alias("node"),
     )
     alone = (F.col("size") == 0) | (F.col("part") <= 0)
-    drawn = (F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(2**40)) / F.lit(2.0**40)) < F.col("part")
+    chance = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "lot"), F.lit(2**40)) / F.lit(2.0**40)
+    drawn = chance < F.col("part")
     done = [units.where(alone).withColumn("part", drawn.cast("double"))]
     open_rows = units.where(~alone)
 
-    most = targets.agg(F.max("n_docs")).first()[0] or 1
+    most = targets.agg(F.max("n_rows")).first()[0] or 1
     levels = 1 + max(0, math.ceil(math.log(max(1, math.ceil(most / leaf_rows)), fan_in)))
     for level in range(levels):
         last = level == levels - 1
@@ -177,12 +194,19 @@ def mix(
     result = done[0]
     for rows in done[1:]:
         result = result.unionByName(rows)
+    # A lot's copies go to its rows evenly, one more to as many as are left over.
+    total = (F.col("sure") + F.col("part")).cast("bigint")
+    each = F.floor(total / F.col("alike"))
+    over = (total - each * F.col("alike")).cast("int")
+    shares = F.concat(
+        F.array_repeat(each + 1, over), F.array_repeat(each, F.col("alike").cast("int") - over)
+    )
     return result.select(
         "doc_id",
         "source",
         "size",
         "source_size",
         "target",
-        (F.col("sure") + F.col("part")).cast("bigint").alias("copies"),
-        *keep,
+        F.explode(shares).alias("copies"),
+        *(F.col(f"`{name}`") for name in keep),
     )
