@@ -16,7 +16,8 @@ are occurrences, not just neighbours. Repeats of a window's length and more cove
 
 A gram with more than ``IN_ONE_TASK`` classes does not go to one task. It is split first by
 more of the bytes that equal windows share, in rounds of groupings that combine before
-their shuffle, until every group fits a task or its windows are equal as they are.
+their shuffle, until every group fits a task. Stretches that read alike over all windows of
+a round's group are a class again, of which one goes on.
 
 Defined cases: a null text is empty; matches never cross documents; every row is a
 document, so rows repeated as they are repeat each other; a text repeats itself where its
@@ -287,7 +288,8 @@ def _split(nodes: DataFrame, width: int) -> DataFrame:
     """Halves of each node's reaches, for stretches that have windows in them.
 
     A node stands for the windows that begin ``p`` to ``q`` bytes before the anchor. All of
-    them hold the ``p`` bytes left of it and ``width - q`` from it on: the node's core.
+    them hold the ``p`` bytes left of it and ``width - q`` from it on: the node's core. A
+    stretch goes on with the bytes that its windows in the half hold together, no others.
     """
     halves = F.expr(
         "array(named_struct('p', p, 'q', (p + q) div 2), "
@@ -298,9 +300,16 @@ def _split(nodes: DataFrame, width: int) -> DataFrame:
         .withColumns({"p": F.col("half.p").cast("int"), "q": F.col("half.q").cast("int")})
         .drop("half")
         .where(F.expr(f"length(left) >= p and length(right) >= {width} - q"))
-        .withColumn(
-            "core", F.expr(f"md5(concat(substring(left, 1, p), substring(right, 1, {width} - q)))")
+        .withColumns(
+            {
+                "left": F.expr("substring(left, 1, q)"),
+                "right": F.expr(f"substring(right, 1, {width} - p)"),
+                "core": F.expr(
+                    f"md5(concat(substring(left, 1, p), substring(right, 1, {width} - q)))"
+                ),
+            }
         )
+        .withColumn("whole", F.expr("md5(concat(hex(length(left)), ':', left, right))"))
     )
 
 
@@ -308,32 +317,45 @@ def _uncrowded(crowded: DataFrame, width: int, gram: int, most: int) -> tuple[Da
     """Crowded grams split by more and more of the bytes that equal windows share.
 
     Returns stretches in groups of ``most`` at most (``key`` names the group), and windows
-    that occur twice as they are. The reaches of a gram's windows are halved, round by round;
-    in each half only stretches whose core others have go on, and groups that still are too
-    large are halved again, down to single windows. Nothing is left out on the way.
+    that several stretches have alike. The reaches of a gram's windows are halved, round by
+    round. In a half, stretches of one core can have equal windows. Those that read alike over
+    the whole half have them all: they are told as they are, and one of them goes on for the
+    others, if others of its core read otherwise. So what goes on are the unlike readings: a
+    change inside the core leaves the group, one outside the half no longer tells stretches
+    apart, and as halves shrink few changes are left in between. Nothing is left out.
     """
     columns = crowded.columns
-    nodes = crowded.withColumns(
-        {"p": F.lit(0), "q": F.lit(width - gram)}
-    )
+    nodes = crowded.withColumns({"p": F.lit(0), "q": F.lit(width - gram)})
     fitting = crowded.limit(0)
-    equal = crowded.limit(0).select("doc_id", "text_key", "key", F.lit(0).alias("low"))
+    equal = crowded.limit(0).select(
+        "doc_id", "text_key", "key", F.lit(0).alias("low"), F.lit(0).alias("high")
+    )
+    group = ["key", "p", "q", "core"]
+    one = F.struct("doc_id", "text_key", "anchor", "left", "right")
     while not nodes.isEmpty():
-        halves = _split(nodes, width)
-        group = ["key", "p", "q", "core"]
-        sizes = halves.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-        halves = kept_aside(halves.join(sizes, group))
-        single, fits = F.col("p") == F.col("q"), F.col("n") <= most
-        name = F.xxhash64(*group)
+        halves = kept_aside(_split(nodes, width))
+        readings = kept_aside(
+            halves.groupBy(*group, "whole").agg(F.count("*").alias("n"), F.min(one).alias("one"))
+        )
+        several = readings.where(F.col("n") > 1).select(*group, "whole")
         equal = equal.unionByName(
-            halves.where(single).select(
-                "doc_id", "text_key", name.alias("key"), (F.col("anchor") - F.col("p")).alias("low")
+            halves.join(several, [*group, "whole"], "left_semi").select(
+                "doc_id",
+                "text_key",
+                F.xxhash64(*group, "whole").alias("key"),
+                (F.col("anchor") - F.length("left")).alias("low"),
+                (F.col("anchor") + F.length("right") - width).alias("high"),
             )
         )
+        sizes = readings.groupBy(*group).agg(F.count("*").alias("unlike")).where("unlike > 1")
+        onward = kept_aside(
+            readings.join(sizes, group).select(*group, "unlike", "one.*")
+        )
+        fits = F.col("unlike") <= most
         fitting = fitting.unionByName(
-            halves.where(~single & fits).withColumn("key", name).select(*columns)
+            onward.where(fits).withColumn("key", F.xxhash64(*group)).select(*columns)
         )
-        nodes = halves.where(~single & ~fits).drop("n", "core")
+        nodes = onward.where(~fits).select(*columns, "p", "q")
     return fitting, equal
 
 
@@ -414,8 +436,7 @@ def repeat_groups(
         .sortWithinPartitions("key", "right")
         .mapInArrow(_repeats(width, merged), f"{place}, key bigint, number int, low int, high int")
     )
-    equal = equal.select("doc_id", "text_key", "key", number, "low", F.col("low").alias("high"))
-    return found.unionByName(repeats).unionByName(equal)
+    return found.unionByName(repeats).unionByName(equal.select(*span))
 
 
 def _left_over(width: int):
