@@ -37,6 +37,7 @@ from wattlane.lake import Lake, day_leaves, union_all
 from wattlane.operators import (
     anomalies,
     control,
+    deltas,
     ingest,
     latency,
     marts,
@@ -1564,3 +1565,25 @@ def changed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("metric_value") + F.when(planted, 1.0).otherwise(0.0)
     found = snapshots.partition_differences(before, before.withColumn("metric_value", value), "observation_date")
     return found.select("side", "observation_date", "metric_surrogate_key", "metric_value")
+
+
+def _after_a_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of a fact whose every sixth hour was first loaded with other values and for a
+    region that it is not about, once these rows were replaced."""
+    fact = staged_rows(spark, sf_dir)
+    again = F.coalesce(F.hour("observation_timestamp") % 6 == 0, F.lit(False))
+    after = fact.where(again)
+    other = after.where("region = 'R7'").withColumn("region", F.lit("R7X"))
+    before = after.withColumn("metric_value", F.col("metric_value") * 2 + 1).unionByName(other)
+    held = deltas.states(fact.where(~again).unionByName(before))
+    return deltas.replaced(held, before, after, fact)
+
+
+@register("load_daily_by_changes", DAILY_COLUMNS, "select * from agg_load_daily")
+def load_daily_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deltas.load_daily(_after_a_replacement(spark, sf_dir))
+
+
+@register("generation_mix_by_changes", MIX_COLUMNS, "select * from agg_generation_mix")
+def generation_mix_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deltas.generation_mix(_after_a_replacement(spark, sf_dir))
