@@ -18,6 +18,7 @@ from wattlane.session import prepare, shared_folder
 from wattlane.sources.events import grid_rows
 from wattlane.window import daily_window
 
+_LOADED: dict[tuple[str, str], tuple[Lake, jobs.Loaded]] = {}
 _LAKES: dict[tuple[str, str], Lake] = {}
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
@@ -83,17 +84,34 @@ def check_times(days: list[date]) -> list[datetime]:
     return [midnight + timedelta(hours=3), midnight + timedelta(hours=5, minutes=30)]
 
 
-def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """Every table written from the whole events table, with two scored and logged runs."""
+def _loaded(spark: SparkSession, sf_dir: str) -> tuple[Lake, jobs.Loaded]:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
+    if key not in _LOADED:
         lake = fresh_lake(spark)
         raw = raw_rows(spark, sf_dir)
         windows = [daily_window(day) for day in batch_days(raw)]
-        loaded = jobs.load_and_rebuild(lake, raw, windows)
+        _LOADED[key] = lake, jobs.load_and_rebuild(lake, raw, windows)
+    return _LOADED[key]
+
+
+def loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The raw table and all that is built from it, written from the whole events table.
+
+    The lake is that of ``built_lake``, whose checks, scores and control rows read these
+    tables and change none of them.
+    """
+    return _loaded(spark, sf_dir)[0]
+
+
+def built_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Every table written from the whole events table, with two scored and logged runs."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        lake, loaded = _loaded(spark, sf_dir)
+        window = daily_window(loaded.batch_dates[-1])
         checks = jobs.run_checks(lake).collect()
         for run, checked_at in enumerate(check_times(loaded.batch_dates), start=1):
-            run_id, window = f"run{run}", windows[-1]
+            run_id = f"run{run}"
             jobs.score_anomalies(lake, loaded.affected_dates, run_id, checked_at)
             jobs.log_freshness(lake, run_id, checked_at)
             jobs.advance_state(lake, window, run_id, checked_at)

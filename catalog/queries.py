@@ -13,6 +13,7 @@ from catalog.lakes import (
     built_lake,
     check_times,
     fresh_lake,
+    loaded_lake,
     raw_rows,
     staged_rows,
     table,
@@ -179,7 +180,7 @@ def landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select * from raw",
 )
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return built_lake(spark, sf_dir)["eia_grid_batch"]
+    return loaded_lake(spark, sf_dir)["eia_grid_batch"]
 
 
 @register(
@@ -189,7 +190,7 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         as observation_date, count(*) as n_rows, sum(value) as total from raw group by 1, 2, 3""",
 )
 def raw_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = built_lake(spark, sf_dir).stored("eia_grid_batch")
+    stored = loaded_lake(spark, sf_dir).stored("eia_grid_batch")
     return stored.groupBy("batch_date", "_batch_id", "observation_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total")
     )
@@ -197,12 +198,12 @@ def raw_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("staged_table", METRIC_COLUMNS, "select * from stg")
 def staged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return built_lake(spark, sf_dir)["stg_grid_metrics"]
+    return loaded_lake(spark, sf_dir)["stg_grid_metrics"]
 
 
 @register("fact_table", METRIC_COLUMNS, "select * from stg")
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return built_lake(spark, sf_dir)["fct_grid_metrics"]
+    return loaded_lake(spark, sf_dir)["fct_grid_metrics"]
 
 
 @register("full_rebuild", DAILY_COLUMNS, "select * from agg_load_daily")
@@ -217,7 +218,7 @@ def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("bound_sql", TOP_COLUMNS, "select * from agg_top_regions where rank <= 3")
 def bound_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return built_lake(spark, sf_dir).sql(
+    return loaded_lake(spark, sf_dir).sql(
         "select * from agg_top_regions where rank <= :top order by observation_date, rank", top=3
     )
 
@@ -231,7 +232,7 @@ def bound_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         from agg_top_regions""",
 )
 def row_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = built_lake(spark, sf_dir)["agg_top_regions"]
+    ranks = loaded_lake(spark, sf_dir)["agg_top_regions"]
     total = F.round("daily_total_load", 2)
     return snapshots.snapshot(ranks.withColumn("daily_total_load", total))
 
@@ -245,7 +246,7 @@ def row_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def restamped_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest batch copied to its own lake, then one column of it updated."""
-    lake = built_lake(spark, sf_dir)
+    lake = loaded_lake(spark, sf_dir)
     copy = fresh_lake(spark, "copy")
     day = max(batch_days(lake["eia_grid_batch"]))
     lake.copy_batch(copy, day)
@@ -1101,7 +1102,7 @@ def dominant_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         order by observation_date desc, region limit 1""",
 )
 def latest_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.latest_parameters(built_lake(spark, sf_dir)["agg_load_daily"])
+    return serving.latest_parameters(loaded_lake(spark, sf_dir)["agg_load_daily"])
 
 
 # Write jobs
@@ -1109,12 +1110,12 @@ def latest_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("load_table_written", DAILY_COLUMNS, "select * from agg_load_daily")
 def load_table_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return built_lake(spark, sf_dir)["agg_load_daily"]
+    return loaded_lake(spark, sf_dir)["agg_load_daily"]
 
 
 @register("mix_table_written", MIX_COLUMNS, "select * from agg_generation_mix")
 def mix_table_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return built_lake(spark, sf_dir)["agg_generation_mix"]
+    return loaded_lake(spark, sf_dir)["agg_generation_mix"]
 
 
 @register("anomaly_table_written", SCORE_COLUMNS + " run_id t:checked_at",

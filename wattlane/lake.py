@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wattlane.book import BOOKED, BOOKED_BY, Book
 from wattlane.schemas import TABLES, Table
 from wattlane.segments import Segments
-from wattlane.session import prepare
+from wattlane.session import prepare, prepare_folders
 
 # Partition column to wanted values, as they are spelt in folder names.
 Leaves = Mapping[str, set[str]]
@@ -40,7 +40,7 @@ class Lake:
         sample: bool = False,
         datasets: Mapping[str, str] | None = None,
     ) -> None:
-        self.spark = prepare(spark)
+        self.spark = prepare_folders(prepare(spark))
         self.root = root.rstrip("/")
         suffix = "_sample" if sample else ""
         self.datasets = {name: f"{name}{suffix}" for name in DATASETS} | dict(datasets or {})
@@ -151,6 +151,10 @@ class Lake:
         are still listed afterwards.
         """
         self.book.touch(name, leaves)
+        if not self.exists(name):
+            # Nothing to replace: Spark moves folders as they are, without a look at each.
+            self._writer(name, rows, laid_out).mode("append").parquet(self.path(name))
+            return []
         before = self.files(name, leaves) if leaves is not None else set()
         (
             self._writer(name, rows, laid_out)
