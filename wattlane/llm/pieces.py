@@ -5,10 +5,14 @@ is a piece. A sequence of pieces is that result just when each two neighbours ar
 again from their characters, themselves. So the encoder takes the longest piece found by
 an Aho-Corasick automaton, asks whether it goes with its left neighbour (remembered per
 pair), tries the next shorter one if not, and steps back over the last piece when none
-goes; a bitfield remembers from which positions no way leads on.
+goes; it remembers from which positions no way leads on.
 
-Texts are cut where no piece can reach across: between a character and a following ``\\u2581``
-and around characters that are in no piece. Those are written as byte pieces.
+Whether two pieces go together is read from the merges of each, noted when the model is
+loaded: they do unless their boundary is, at some turn, better than what both merge next.
+
+Texts are cut where no piece can reach across: between a character and a following ``\\u2581``,
+between letters and others (letters are the largest set of characters that pieces chain
+together) and around characters that are in no piece. Those are written as byte pieces.
 
 Model files of this kind only: identity normalisation, byte fallback. The path is a
 parameter; each Python worker reads the file it names.
@@ -22,8 +26,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import ahocorasick
 import numpy as np
@@ -38,6 +44,9 @@ SPACE = "▁"
 REMEMBERED_CHUNKS = 200_000
 REMEMBERED_PAIRS = 400_000
 
+#: What is this long is not remembered.
+LONG = 64
+
 #: Rows that leave a worker together: token ids take several times the room of the texts.
 SENT_ROWS = 500
 
@@ -45,6 +54,25 @@ SENT_ROWS = 500
 _WHOLE = "__whole_text"
 
 
+class Remembered(dict):
+    """Answers of ``make``. At ``most`` it starts anew; what is asked again comes back."""
+
+    def __init__(self, make: Callable, most: int) -> None:
+        super().__init__()
+        self._make, self._most, self._older = make, most, {}
+
+    def __missing__(self, asked):
+        answer = self._older.get(asked)
+        if answer is None:
+            answer = self._make(asked)
+        if len(asked) < LONG:
+            if len(self) >= self._most:
+                self._older = dict(self)
+                self.clear()
+            self[asked] = answer
+        return answer
+
+
 class PieceCodec:
     """Encoder and decoder over the pieces and scores of a model file."""
 
@@ -69,8 +97,16 @@ class PieceCodec:
                 self.scores[piece] = model.get_score(i)
                 self.decoded[i] = piece.replace(SPACE, " ").encode()
         self.known = {c for piece in self.ids for c in piece}
-        # A piece that its own merges do not lead to is never a result.
-        reached = {piece for piece in self.ids if self._merged(piece) == [piece]}
+        #: Of each merge that a piece comes from, and at its end: the score, and the symbol
+        #: that the piece has last (first) until then.
+        self._last: dict[str, list[tuple[float, str]]] = {}
+        self._first: dict[str, list[tuple[float, str]]] = {}
+        for piece in self.ids:
+            symbols, turns = self._merged(piece)
+            if symbols == [piece]:  # else never a result
+                self._last[piece] = [(score, last) for score, _, last in turns]
+                self._first[piece] = [(score, first) for score, first, _ in turns]
+        reached = self._last
         self._automaton = ahocorasick.Automaton()
         #: The longest piece that is a shorter prefix, or nothing.
         self._shorter: dict[str, str] = {}
@@ -81,80 +117,96 @@ class PieceCodec:
         self._automaton.make_automaton()
         self._longest_piece = max(map(len, reached), default=1)
         self._numbers = {piece: str(i) for piece, i in self.ids.items()}
-        self._pairs: dict[tuple[str, str], bool] = {}
-        self._chunks: dict[str, str] = {}
-        self._older_chunks: dict[str, str] = {}
+        self._pairs = Remembered(self._go_together, REMEMBERED_PAIRS)
+        #: A chunk's ids in decimal, one space between, and what these are decoded to.
+        self._chunks = Remembered(self._coded_chunk, REMEMBERED_CHUNKS)
         spaced = any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
         if spaced:
             raise ValueError("pieces with an inner space mark are not of this kind")
-        self._line_apart = "\n" not in self.known
-        self._parts = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-
-    def _merged(self, text: str) -> list[str]:
-        """The merges from single characters: best score first, leftmost of equals."""
-        symbols = list(text)
-        while len(symbols) > 1:
-            best, place = None, -1
+        letters = re.escape("".join(sorted(self._letters())))
+        marks, other = f"{SPACE}+", f"[^{letters}{SPACE}]+"
+        self._parts = re.compile(f"{SPACE}*[{letters}]+|{SPACE}*{other}|{marks}")
+
+    def _letters(self) -> set[str]:
+        """The largest set of characters that no piece has next to any other, but for marks."""
+        kinds = {c: {c} for c in self.known if c != SPACE}
+        for piece in self.ids:
+            for a, b in pairwise(piece.lstrip(SPACE)):
+                if kinds[a] is not kinds[b]:
+                    joined = kinds[a] | kinds[b]
+                    kinds |= dict.fromkeys(joined, joined)
+        return max(kinds.values(), key=lambda kind: (len(kind), min(kind)), default=set())
+
+    def _merged(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
+        """What single characters merge to, best score first, leftmost of equals; and each
+        merge's score with the first and last symbol before it, ending with no score."""
+        symbols, turns, scores = list(text), [], self.scores
+        while True:
+            best, place = -math.inf, -1
             for i in range(len(symbols) - 1):
-                score = self.scores.get(symbols[i] + symbols[i + 1])
-                if score is not None and (best is None or score > best):
+                score = scores.get(symbols[i] + symbols[i + 1])
+                if score is not None and score > best:
                     best, place = score, i
+            turns.append((best, symbols[0], symbols[-1]))
             if place < 0:
-                break
+                return symbols, turns
             symbols[place : place + 2] = [symbols[place] + symbols[place + 1]]
-        return symbols
 
-    def _go_together(self, left: str, right: str) -> bool:
-        """Whether both are what their characters, merged again, come to."""
-        if len(self._pairs) >= REMEMBERED_PAIRS:
-            self._pairs.clear()
-        fit = self._pairs[left, right] = self._merged(left + right) == [left, right]
-        return fit
+    def _go_together(self, pair: tuple[str, str]) -> bool:
+        """Whether both are what their characters, merged again, come to: no merge across
+        their boundary is better than the next on its left and as good as that on its right."""
+        scores = self.scores
+        lefts, rights = iter(self._last[pair[0]]), iter(self._first[pair[1]])
+        left, last = next(lefts)
+        right, first = next(rights)
+        while True:
+            score = scores.get(last + first)
+            if score is not None and score > left and score >= right:
+                return False
+            if left < right:
+                right, first = next(rights)
+            elif left > -math.inf:
+                left, last = next(lefts)
+            else:
+                return True
 
     def _tokens(self, text: str) -> list[str]:
         """The pieces of a text whose characters are all known."""
-        greedy = [piece for _, piece in self._automaton.iter_long(text)]
-        pairs = self._pairs
-        left = greedy[0]
-        for i in range(1, len(greedy)):
-            right = greedy[i]
-            fit = pairs.get((left, right))
-            if fit is None:
-                fit = self._go_together(left, right)
-            if not fit:
-                return self._backtracked(text, greedy[:i])
-            left = right
-        return greedy
-
-    def _backtracked(self, text: str, taken: list[str]) -> list[str]:
-        """The pieces of ``text``, searched onward from those already ``taken``."""
         longest, shorter, pairs = self._automaton.iter_long, self._shorter, self._pairs
         size, reach = len(text), self._longest_piece
-        failed = bytearray(size // 8 + 1)  # one bit a position
-        at = sum(map(len, taken))
-        piece = next(longest(text[at : at + reach]))[1]
+        seen = 4 * reach
+        failed = bytearray(size + 1)  # by position
+        taken: list[str] = []
+        at, left = 0, ""
+        # Longest pieces one after the other, as they are in the whole text while they begin
+        # at ``sure`` or before; a shorter piece or a step back needs a new look.
+        ahead, sure, moved = longest(text[:seen]), seen - reach, False
+        piece = next(ahead)[1]
         while True:
-            left = taken[-1] if taken else ""
+            first = piece
             while piece:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1:
-                    fit = pairs.get((left, piece)) if left else True
-                    if fit is None:
-                        fit = self._go_together(left, piece)
-                    if fit:
-                        break
+                if not failed[end] and (not left or pairs[left, piece]):
+                    break
                 piece = shorter[piece]
             if piece:
                 taken.append(piece)
-                at += len(piece)
-                if at == size:
+                if end == size:
                     return taken
-                piece = next(longest(text[at : at + reach]))[1]
+                at, left = end, piece
+                if moved or piece is not first or at > sure:
+                    ahead, sure, moved = longest(text[at : at + seen]), at + seen - reach, False
+                piece = next(ahead)[1]
             else:
-                failed[at >> 3] |= 1 << (at & 7)
-                left = taken.pop()
-                at -= len(left)
-                piece = shorter[left]
+                failed[at] = True
+                piece = taken.pop()
+                at -= len(piece)
+                left = taken[-1] if taken else ""
+                piece, moved = shorter[piece], True
+
+    def _coded_chunk(self, chunk: str) -> tuple[str, bytes]:
+        ids = self._chunk_ids(chunk)
+        return " ".join(ids), b"".join(map(self._written.__getitem__, ids))
 
     def _chunk_ids(self, chunk: str) -> list[str]:
         numbers = self._numbers
@@ -172,38 +224,23 @@ class PieceCodec:
             ids += [numbers[piece] for piece in self._tokens(chunk[start:])]
         return ids
 
-    def _chunk_text(self, chunk: str) -> str:
-        """The chunk's ids in decimal, one space between; the form that is remembered."""
-        known = self._older_chunks.get(chunk) or " ".join(self._chunk_ids(chunk))
-        if len(chunk) < 64:
-            if len(self._chunks) >= REMEMBERED_CHUNKS:  # what is asked again comes back
-                self._older_chunks, self._chunks = self._chunks, {}
-            self._chunks[chunk] = known
-        return known
-
     def _cut(self, text: str) -> Iterable[str]:
-        if not text:
-            return ()
-        if "  " in text or text[0] == " " or text[-1] == " " or SPACE in text or not self._line_apart:
-            return self._parts.findall(SPACE + text.replace(" ", SPACE))
-        # The usual text: one space between words, so marks never run together.
-        marked = SPACE + text.replace(" ", f" {SPACE}").replace("\n", " \n ")
-        return filter(None, marked.split(" "))
-
-    def encode_text(self, text: str) -> str:
-        """All ids of a text with the end id, in decimal, one space between."""
-        make = self._chunk_text
-        out = []
-        for chunk in self._cut(text):
-            out.append(self._chunks.get(chunk) or make(chunk))
-        out.append(str(self.end_id))
-        return " ".join(out)
+        return self._parts.findall(SPACE + text.replace(" ", SPACE)) if text else ()
+
+    def coded(self, text: str) -> tuple[str, str]:
+        """All ids of a text with the end id, in decimal, one space between, and the text
+        that they are decoded to."""
+        end = (str(self.end_id), b"")
+        parts, written = zip(*map(self._chunks.__getitem__, self._cut(text)), end, strict=True)
+        ids = " ".join(parts)
+        return ids, self._as_text(b"".join(written), ids)
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for i in self.encode_text(text).split(" ")]
+        return [int(i) for i in self.coded(text)[0].split(" ")]
 
     def decode(self, ids: Iterable[int]) -> str:
-        return self.decode_text(" ".join(map(str, ids)))
+        parts = [*map(str, ids)]
+        return self._as_text(b"".join(map(self._written.__getitem__, parts)), " ".join(parts))
 
     @functools.cached_property
     def _written(self) -> dict[str, bytes]:
@@ -212,23 +249,23 @@ class PieceCodec:
             for i, piece in enumerate(self.decoded)
         }
 
-    def decode_text(self, ids: str) -> str:
-        """Text of decimal ids: control ids vanish, as does the first space of the text;
-        bytes that are no UTF-8 each give the replacement character."""
-        parts = ids.split(" ") if ids else []
+    def _as_text(self, written: bytes, ids: str) -> str:
+        """Text of decimal ids and their bytes: control ids vanish, as does the first space
+        of the text; bytes that are no UTF-8 each give the replacement character."""
+        pieces = (self.decoded[int(i[0])] for i in re.finditer("[0-9]+", ids))
         try:
-            text = b"".join(map(self._written.__getitem__, parts)).decode()
+            text = written.decode()
         except UnicodeDecodeError:
-            return self._decoded_with_loose_bytes(map(int, parts))
+            return self._decoded_with_loose_bytes(pieces)
         if text[:1] == " ":
-            first = next(p for p in (self.decoded[int(i)] for i in parts) if p != b"")
+            first = next(piece for piece in pieces if piece != b"")
             if not isinstance(first, int) and first is not self.unknown:
                 return text[1:]
         return text
 
-    def _decoded_with_loose_bytes(self, ids: Iterable[int]) -> str:
+    def _decoded_with_loose_bytes(self, pieces: Iterable[bytes | int]) -> str:
         out, loose, first = bytearray(), bytearray(), True
-        for piece in (self.decoded[i] for i in ids):
+        for piece in pieces:
             if isinstance(piece, int):
                 loose.append(piece)
                 continue
@@ -277,10 +314,10 @@ def _encoded(model_path: str, with_ids: bool):
         for batch in (b.slice(at, SENT_ROWS) for b in batches for at in range(0, len(b), SENT_ROWS)):
             counts, id_hashes, text_hashes, ids = [], [], [], []
             for text in batch[_WHOLE]:
-                written = tool.encode_text(text.as_py())
+                written, decoded = tool.coded(text.as_py())
                 counts.append(written.count(" ") + 1)
                 id_hashes.append(hashlib.sha256(written.encode()).hexdigest())
-                text_hashes.append(hashlib.sha256(tool.decode_text(written).encode()).hexdigest())
+                text_hashes.append(hashlib.sha256(decoded.encode()).hexdigest())
                 if with_ids:
                     ids.append(np.array(written.split(" "), np.int32))
             columns = {
